@@ -106,3 +106,7 @@ def p2_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = table(spark, sf_dir, "facts").select(F.lit("evidence").alias("field"), F.col("evidence").alias("text"))
     turns = table(spark, sf_dir, "turn_rows").select(F.lit("patient_utterance").alias("field"), F.col("patient_utterance").alias("text"))
     return one_form(facts.unionByName(turns), {"text": "form"}, '"text" <> "form"').groupBy("field", "text", "form").agg(F.count("*").alias("n"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_forms": p2_forms}
+ORACLE_SQL: dict[str, str] = {}
