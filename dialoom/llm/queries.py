@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dialoom.llm import frequency, language, leakage, lookalike
+from dialoom.llm import canonical, frequency, language, leakage, lookalike, packing
 
-MODULES = [lookalike, frequency, leakage, language]
+MODULES = [lookalike, frequency, canonical, packing, leakage, language]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in module.ORACLE_SQL.items()}
