@@ -50,6 +50,15 @@ def fold(text: str | None) -> str:
     return unicodedata.normalize("NFC", "".join(table.get(c, c) for c in flat)) if not flat.isascii() else flat
 
 
+@functools.cache
+def unified() -> tuple[str, str]:
+    """Characters with another single character as compatibility form (radicals, ideographs, full and half width), and these."""
+    ranges = (range(0x2E80, 0x2FD6), range(0xF900, 0xFB00), range(0xFF01, 0xFFEF))
+    pairs = [(chr(c), unicodedata.normalize("NFKC", chr(c))) for r in ranges for c in r]
+    pairs = [(a, b) for a, b in pairs if a != b and len(b) == 1]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def simplified(spark) -> dict[int, str]:
     """Traditional to simplified Chinese, one character to one, as ICU's transliterator in Spark's own JVM has it."""
     chars = "".join(map(chr, (*range(0x3400, 0x4DC0), *range(0x4E00, 0xA000))))
