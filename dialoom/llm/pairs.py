@@ -38,7 +38,7 @@ WORDS = {
     "en": "the a an and of to in is are was were have has had do does did you your my i it how what when where which while with for on at been any than not or so far get take please she he after before late until this that but",
     "es": "el la los las un una y de del en es está tiene tengo ha he para por con que qué cuándo cómo dónde desde sobre todo lo se su me mi más muy no algo cuando como si después días nadie durante llevo cuánto",
     "pt": "o a os as um uma e do da em é está tem tenho há para por com que quando como desde quanto tempo senhor senhora não mais muito se seu sua meu minha depois jantar dias nenhuma noite tomei você fritura",
-    "fr": "le la les un une et de du des en est ai avez vous je ma mon mes pour par avec que quand depuis où comment ne pas plus très ces cette ce il elle si jours après nous quelque chose combien votre aucun",
+    "fr": "rien n l j c qu le la les un une et de du des en est ai avez vous je ma mon mes pour par avec que quand depuis où comment ne pas plus très ces cette ce il elle si jours après nous quelque chose combien votre aucun",
     "de": "der die das ein eine und von zu in ist sind haben habe ich sie ihr mein meine für mit wenn wann wie wo seit nicht mehr sehr nach vor allem bei den dem es keine tagen beschwerden auf werden etwas schon oder",
     "vi": "tôi bạn bị và của có không là từ bao giờ khi vào đã được cho rất như này ngày sau trước nặng hơn triệu chứng nên uống đau người bệnh nhân nếu",
 }
