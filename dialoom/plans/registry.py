@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dialoom.operators import history
+from dialoom.operators import dialogue, history
 
-MODULES = [history]
+MODULES = [dialogue, history]
 
 
 def queries() -> dict:
