@@ -12,7 +12,8 @@ def json_object_text(text: Column) -> Column:
     inner = F.regexp_extract(clean, r"(?s)\{.*\}", 0)
 
     def is_object(t: Column) -> Column:
-        return t.rlike(r"(?s)^\s*\{.*\}\s*$") & F.try_parse_json(t).isNotNull()
+        # in brackets, as the parser does not mind what follows an object
+        return t.rlike(r"(?s)^\s*\{.*\}\s*$") & F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))).isNotNull()
 
     return F.when(is_object(clean), clean).when((inner != "") & is_object(inner), inner)
 

@@ -343,7 +343,7 @@ FROM (SELECT dialogue_id, block_id, unnest(patient_turn_ids) AS turn_id FROM blo
     WHEN len(complaints) > 0 AND regexp_matches(raw, '{"|".join(COMPLAINT_CUES)}') AND NOT list_bool_or(list_transform(complaints, lambda a: len(list_filter(earlier, lambda b: contains(a, b) OR contains(b, a))) > 0)) THEN 'complaint' ELSE 'ambiguous' END AS reason FROM looked)
 SELECT dialogue_id, CAST(1 + count(*) FILTER (reason IN ('topic', 'complaint')) AS INTEGER) AS sessions, count(*) FILTER (reason = 'ambiguous') AS ambiguous, count(*) AS blocks FROM reasons GROUP BY dialogue_id""",
     "message_flags": f"""WITH {MESSAGES_SQL}, bare AS (
-  SELECT dialogue_id, turn_id, regexp_replace(content, '[。！？!?，,\\s　]', '', 'g') AS s, regexp_replace(content, '[。！？!?，,、~～.\\s　]', '', 'g') AS c FROM messages_in_order WHERE role = 'user'
+  SELECT dialogue_id, turn_id, regexp_replace(content, '[。！？!?，,\\s\\p{{Z}}]', '', 'g') AS s, regexp_replace(content, '[。！？!?，,、~～.\\s\\p{{Z}}]', '', 'g') AS c FROM messages_in_order WHERE role = 'user'
 ), rest AS (
   SELECT *, {_rest("c")} AS left_over FROM bare
 ), flags AS (

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dialoom.operators import dialogue, history
+from dialoom.operators import dialogue, facts, history
 
-MODULES = [dialogue, history]
+MODULES = [dialogue, facts, history]
 
 
 def queries() -> dict:
