@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dialoom.operators import dialogue, facts, history
+from dialoom.operators import dialogue, facts, history, state, terms
 
-MODULES = [dialogue, facts, history]
+MODULES = [dialogue, facts, terms, state, history]
 
 
 def queries() -> dict:
