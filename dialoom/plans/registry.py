@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from dialoom.operators import dialogue, facts, history, state, terms
+from dialoom.operators import dialogue, facts, history, interview, ledger, metrics, splits, state, terms
+from dialoom.sources import io
+from dialoom.streaming import sessions
 
-MODULES = [dialogue, facts, terms, state, history]
+MODULES = [dialogue, facts, terms, state, interview, ledger, splits, metrics, history, sessions, io]
 
 
 def queries() -> dict:
