@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +39,19 @@ def bounded_rows(df: DataFrame, bound: int = BROADCAST_ROWS) -> list | None:
     """All rows of ``df`` if there are at most ``bound``, else None; never more than ``bound + 1`` rows reach the driver."""
     rows = df.limit(bound + 1).collect()
     return rows if len(rows) <= bound else None
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable on the executors, once per application; Spark's file server hands it out."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    aside = tempfile.mkdtemp()
+    copy = Path(aside, "package", package.name)
+    shutil.copytree(package, copy, ignore=shutil.ignore_patterns("__pycache__"))
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{aside}/{package.name}", "zip", copy.parent))
+    _SHIPPED.add(app)
