@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.functions.unicode import INVISIBLE, fold
+from dialoom.llm.arrow import bounded
 from dialoom.session import table
 
 LANGUAGES = ["zh", "en", "ja", "ko", "es", "pt", "fr", "de", "ru", "vi"]
@@ -99,7 +100,9 @@ class NaiveBayes:
             counts[k] = np.bincount(bucket[owner == k], minlength=BUCKETS)
         total = counts.sum(axis=1, keepdims=True)
         counts = counts / np.maximum(total, 1) * 1e5 + 0.02
-        return cls(np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
+        log_p = np.log(counts / counts.sum(axis=1, keepdims=True))
+        log_p[total[:, 0] == 0] = -100.0  # a language without a sample is never the likeliest
+        return cls(log_p.astype(np.float32))
 
     def scores(self, bucket: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Log-likelihood of each line in each language."""
@@ -110,6 +113,17 @@ class NaiveBayes:
                 out[some, k] = np.add.reduceat(self.log_p[k][bucket].astype(np.float64), starts[some])
         return out
 
+    def line_scores(self, lines: list[str], step: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of lines and their numbers of n-grams, worked out in parts of about ``step`` characters."""
+        cuts = np.cumsum([len(x) for x in lines]) // step
+        starts = np.flatnonzero(np.r_[True, cuts[1:] != cuts[:-1]])
+        scores, sizes = [], []
+        for a, b in zip(starts, [*starts[1:], len(lines)], strict=True):
+            bucket, ends = features(lines[a:b])
+            scores.append(self.scores(bucket, ends))
+            sizes.append(np.diff(ends))
+        return np.concatenate(scores), np.concatenate(sizes)
+
 
 def visible_lines(text: str | None) -> list[str]:
     """Lines with visible text, split at the newline character."""
@@ -149,7 +163,7 @@ _LINES = "doc_id long, label string, seg int, lang string, confidence double"
 
 
 def _label(batches: Iterator[pa.RecordBatch], model: NaiveBayes) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in bounded(batches, ["text"]):
         lines, sizes = [], []
         for text in batch.column("text").to_pylist():
             own = visible_lines(text)
@@ -157,13 +171,12 @@ def _label(batches: Iterator[pa.RecordBatch], model: NaiveBayes) -> Iterator[pa.
             sizes.append(len(own))
         if not lines:
             continue
-        bucket, starts = features(lines)
-        scores = model.scores(bucket, starts)
+        scores, size = model.line_scores(lines)
         doc = np.repeat(np.arange(len(sizes)), sizes)
         first = np.searchsorted(doc, np.arange(len(sizes) + 1))
         # main language of a document: most characters by each line's own choice
         weight = np.zeros((len(sizes), len(LANGUAGES)))
-        np.add.at(weight, (doc, scores.argmax(axis=1)), np.diff(starts) + 1e-9)
+        np.add.at(weight, (doc, scores.argmax(axis=1)), size + 1e-9)
         main = weight.argmax(axis=1)
         scores[np.arange(len(lines)), main[doc]] += MARGIN
         best = scores.argmax(axis=1)

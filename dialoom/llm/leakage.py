@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.functions.unicode import fold
+from dialoom.llm.arrow import bounded
+from dialoom.llm.lookalike import sql_form
 from dialoom.session import bounded_rows, table
 
 #: Characters of a k-gram and hashes of a window: runs of K + WINDOW - 1 = 12 characters are always found.
@@ -63,6 +65,14 @@ def winnow(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.unique(np.lib.stride_tricks.sliding_window_view(hashes, window).min(axis=1))
 
 
+def fingerprints(text: str, step: int = 1 << 20) -> np.ndarray:
+    """Winnowed hashes of a text, worked out in overlapping parts of ``step`` characters."""
+    if len(text) <= step:
+        return winnow(kgram_hashes(text))
+    overlap = K + WINDOW - 2
+    return np.unique(np.concatenate([winnow(kgram_hashes(text[a : a + step + overlap])) for a in range(0, len(text) - overlap, step)]))
+
+
 def held(document: str, item: str, piece: int) -> int:
     """How many characters of ``item`` stand in ``document`` in pieces of at least ``piece`` consecutive characters."""
     covered = until = 0
@@ -84,7 +94,7 @@ class Items:
     owners: np.ndarray = field(default=None)
 
     def index(self) -> Items:
-        prints = [winnow(kgram_hashes(t)) for t in self.texts]
+        prints = [fingerprints(t) for t in self.texts]
         hashes = np.concatenate([*prints, np.zeros(0, np.uint64)])
         owners = np.repeat(np.arange(len(prints)), [len(p) for p in prints])
         by = np.argsort(hashes, kind="stable")
@@ -109,21 +119,21 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in bounded(batches, ["text"]):
         out = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             own = letters(text)
-            for j in items.hit(winnow(kgram_hashes(own))).tolist():
+            for j in items.hit(fingerprints(own)).tolist():
                 if n := held(own, items.texts[j], items.pieces[j]):
                     out.append((doc, items.ids[j], n, len(items.texts[j])))
         yield _rows(out)
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in bounded(batches, ["text"]):
         ids, hashes = [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = winnow(kgram_hashes(letters(text))).view(np.int64)
+            own = fingerprints(letters(text)).view(np.int64)
             ids.append(np.full(len(own), key))
             hashes.append(own)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*ids, np.zeros(0, np.int64)])), pa.array(np.concatenate([*hashes, np.zeros(0, np.int64)]))], ["id", "hash"])
@@ -179,4 +189,24 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p8_found": p8_found, "p8_spans": p8_spans}
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _letters_sql(column: str) -> str:
+    return f"regexp_replace(lower({sql_form(column)}), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+
+
+_HELD_SQL = f"""
+WITH docs AS (SELECT DISTINCT doc_id, {_letters_sql("text")} AS t FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL), items AS (
+  SELECT item_id, {_letters_sql("text")} AS t, CASE WHEN lower(lang) LIKE 'en%' THEN 30 ELSE 12 END AS piece FROM eval_items
+), doc_grams AS (
+  SELECT DISTINCT doc_id, piece, substr(t, i, piece) AS gram FROM (SELECT *, unnest(range(1, length(t) - piece + 2)) AS i FROM docs, (SELECT DISTINCT piece FROM items))
+), item_grams AS (
+  SELECT item_id, piece, i, substr(t, i, piece) AS gram FROM (SELECT *, unnest(range(1, length(t) - piece + 2)) AS i FROM items)
+), covered AS (
+  SELECT DISTINCT doc_id, item_id, unnest(range(i, i + piece)) AS place FROM item_grams JOIN doc_grams USING (piece, gram)
+), counts AS (SELECT doc_id, item_id, count(*) AS held FROM covered GROUP BY ALL)
+"""
+ORACLE_SQL = {
+    "p8_found": _HELD_SQL + "SELECT doc_id, item_id FROM counts JOIN items USING (item_id) WHERE 2 * held >= length(t)",
+    "p8_spans": _HELD_SQL + "SELECT doc_id, item_id, held, length(t) AS size, held / length(t) AS share FROM counts JOIN items USING (item_id)",
+}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dialoom.functions.unicode import INVISIBLE_RE, lookalikes, shape
+from dialoom.llm.arrow import bounded
 from dialoom.session import table
 
 
@@ -61,12 +62,12 @@ def _run(batches: Iterator[pa.RecordBatch], columns: dict[str, str], where: str)
     import duckdb
 
     con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-    for batch in batches:
+    for batch in bounded(batches, list(columns)):
         rows = pa.Table.from_batches([batch])
         forms = {new: form_sql(f'"{old}"', _characters(rows.column(old).combine_chunks())) for old, new in columns.items()}
         con.register("batch", rows)
         sql = f"SELECT *, {', '.join(f'{expr} AS "{new}"' for new, expr in forms.items())} FROM batch"
-        out = con.execute(f"SELECT * FROM ({sql}) WHERE {where}").to_arrow_table()
+        out = con.sql(f"SELECT * FROM ({sql}) WHERE {where}").to_arrow_table()
         con.unregister("batch")
         names = [*rows.column_names, *columns.values()]
         out = out.select(names).cast(pa.schema([*rows.schema, *(pa.field(n, pa.string()) for n in columns.values())]))
@@ -88,9 +89,11 @@ def same_reading(texts: DataFrame, pieces: DataFrame, keys: list[str], text: str
     Null keys, texts and pieces give no row. Pieces that stand there as stored are settled in the JVM; the others
     reach DuckDB. One shuffle of each side by ``keys``; several texts of one key are each compared.
     """
-    joined = pieces.where(F.col(piece).isNotNull()).join(texts.where(F.col(text).isNotNull()), keys)
-    open_ = joined.where(~F.contains(F.col(text), F.col(piece)))
-    return one_form(open_, {text: "_text", piece: "_piece"}, 'contains("_text", "_piece")').drop("_text", "_piece")
+    own = texts.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("__text"))
+    joined = pieces.where(F.col(piece).isNotNull()).withColumn("__piece", F.col(piece)).join(own, keys)
+    open_ = joined.where(~F.contains(F.col("__text"), F.col("__piece")))
+    forms = one_form(open_, {"__text": "__text_form", "__piece": "__piece_form"}, 'contains("__text_form", "__piece_form")')
+    return forms.drop("__text", "__piece", "__text_form", "__piece_form")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,5 +111,22 @@ def p2_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_form(facts.unionByName(turns), {"text": "form"}, '"text" <> "form"').groupBy("field", "text", "form").agg(F.count("*").alias("n"))
 
 
+def _whole_table() -> str:
+    """The characters of the scripts and symbols of the tables, for the form as one fixed SQL expression."""
+    blocks = (range(0xA0, 0x530), range(0x1F00, 0x2070), range(0x2E80, 0x2FD6), range(0x3000, 0x3040), range(0x3380, 0x33E0), range(0xF900, 0xFB00), range(0xFE00, 0xFE10), range(0xFEFF, 0xFFF0))
+    return "".join(c for c in (chr(p) for r in blocks for p in r) if shape(c) != c)
+
+
+def sql_form(column: str) -> str:
+    """The form of a column as one DuckDB expression over all characters of :func:`_whole_table`."""
+    return form_sql(column, _whole_table())
+
+
 QUERIES = {"p2_found": p2_found, "p2_forms": p2_forms}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "p2_found": f"""
+WITH utterances AS (SELECT dialogue_id, turn_id, arg_max(patient_utterance, processed_at) AS u FROM turn_rows GROUP BY ALL), open_facts AS (
+  SELECT DISTINCT dialogue_id, turn_id, fact_pos, u, evidence AS e FROM facts JOIN utterances USING (dialogue_id, turn_id) WHERE NOT contains(u, evidence)
+)
+SELECT DISTINCT dialogue_id, turn_id, fact_pos FROM open_facts WHERE contains({sql_form("u")}, {sql_form("e")})"""
+}

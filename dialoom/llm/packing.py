@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialoom.functions.text import is_visible
+from dialoom.llm.arrow import bounded
 from dialoom.session import cut, table
 
 CAPACITY = 4096
@@ -32,7 +33,6 @@ TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Rows of one length are numbered in so many shares, each sorted on its own.
 SHARES = 64
-#: Characters handed to the tokenizer at once; longer texts are counted in pieces cut at white space.
 _ENCODER: dict[str, object] = {}
 
 
@@ -55,7 +55,7 @@ def _encoder(path: str):
 
 def _sizes(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     encode = _encoder(path).encode_ordinary
-    for batch in batches:
+    for batch in bounded(batches, ["text"]):
         tokens = [len(encode(text)) for text in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64())], ["doc_id", "tokens"])
 

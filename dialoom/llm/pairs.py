@@ -63,17 +63,17 @@ def _count(text: Column, pattern: str) -> Column:
 def script(text: Column) -> Column:
     """Language of a plain text by its script: zh, ja, ko, ru, or latin; null without a clear one.
 
-    Latin words inside another script (names of medicines, abbreviations) weigh as one letter per word.
+    Latin words inside another script (names of medicines, abbreviations) weigh as one letter each, Cyrillic ones as two.
     """
     han, kana, hangul, cyrillic = (_count(text, p) for p in (r"\p{IsHan}", r"[ぁ-ヺ]", r"[가-힣]", r"\p{IsCyrillic}"))
     latin = _count(text, r"(?U)\p{IsLatin}+")
     words = _count(text, r"(?U)\p{IsCyrillic}{2,}")
-    best = F.greatest(han + kana, hangul, words, latin)
+    best = F.greatest(han + kana, hangul, 2 * words, latin)
     return (
         F.when(best == 0, F.lit(None))
         .when((kana >= 2) & (kana * 4 >= han) & (han + kana >= hangul), "ja")
         .when((hangul == best) & (hangul > 1), "ko")
-        .when((words == best) & (cyrillic >= 3), "ru")
+        .when((2 * words == best) & (cyrillic >= 3), "ru")
         .when((han + kana) == best, "zh")
         .when(latin >= 2, "latin")
     )
@@ -149,7 +149,7 @@ def defective_pairs(pairs: DataFrame, ids: list[str], support: int = 3) -> DataF
     written once; the endings of all closed questions are counted with map-side combination and joined to the few
     questions that are left open.
     """
-    rules = cut(pair_rules(pairs.dropDuplicates(ids)).select(*ids, "empty", "refusal", "copy", "language", "unclosed", "closed", "particle", "ending"))
+    rules = cut(pair_rules(pairs.select(*ids, "block", "question", "target").dropDuplicates(ids)).select(*ids, "empty", "refusal", "copy", "language", "unclosed", "closed", "particle", "ending"))
     sound = ~(F.col("empty") | F.col("refusal") | F.col("copy"))
     endings = rules.where(sound & F.col("closed") & ~F.col("unclosed")).groupBy("ending").agg(F.count("*").alias("seen")).where(F.col("seen") >= support)
     open_ = rules.where(~F.col("closed") & ~F.col("unclosed") & ~F.col("particle") & ~F.col("empty"))
