@@ -7,7 +7,9 @@ import json
 import logging
 import re
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -73,9 +75,20 @@ def read_delimited(spark: SparkSession, path: str) -> DataFrame:
     if not path.endswith((".csv", ".tsv", ".txt")):
         raise ValueError(f"{path}: unknown kind of table")
     encoding, delimiter = sniff(path)
-    reader = spark.read.option("header", True).option("sep", delimiter).option("multiLine", True).option("escape", '"')
-    df = reader.option("encoding", "gb18030" if encoding == "gb18030" else "UTF-8").csv(path)
-    return df.toDF(*(c.lstrip("﻿") for c in df.columns))
+    if encoding == "gb18030":  # no encoding of Spark's reader: decoded in Python, line by line
+        with open(path, encoding=encoding, newline="") as f:
+            header = next(csv.reader([f.readline()], delimiter=delimiter))
+        fields = ", ".join(f"`{c.strip()}` string" for c in header)
+
+        def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for content in batch["content"]:
+                    yield pd.DataFrame({"value": [line for line in content.decode(encoding).splitlines()[1:] if line.strip()]})
+
+        lines = spark.read.format("binaryFile").load(path).select("content").mapInPandas(decoded, "value string")
+        return lines.select(F.from_csv("value", fields, {"sep": delimiter, "escape": '"'}).alias("row")).select("row.*")
+    df = spark.read.option("header", True).option("sep", delimiter).option("multiLine", True).option("escape", '"').csv(path)
+    return df.toDF(*(c.lstrip("\ufeff") for c in df.columns))
 
 
 def pick(df: DataFrame, names: list[str]) -> Column:
