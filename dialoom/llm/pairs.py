@@ -30,8 +30,9 @@ REFUSALS = [
     r"\b(no puedo (ayudar|responder|continuar|ofrecer)|lo siento pero|modelo de lenguaje|não posso (ajudar|responder|continuar)|sinto muito mas|je ne peux pas|je suis désolée? mais|modèle de langage|ich kann (dabei |ihnen )?(leider )?nicht|tut mir leid|sprachmodell|tôi không thể|rất tiếc|mô hình ngôn ngữ)\b",
     r"(お答えできません|対応できません|お手伝いできません|言語モデル|申し訳ありません|답변할 수 없|도와드릴 수 없|언어 모델|죄송하지만|не могу (помочь|ответить|продолжить)|к сожалению я не|языковая модель)",
 ]
-#: A declined question that asks all the same is none.
-ASKS = r"[?？]\s*$|(吗|呢|么)\s*$"
+#: A final particle closes a question; a declined question that asks all the same is none.
+PARTICLE = r"(吗|呢|(?<![什怎多这那要])么)\s*$"
+ASKS = r"[?？]\s*$|" + PARTICLE
 
 # Frequent words that tell the languages of Latin script apart.
 WORDS = {
@@ -137,7 +138,7 @@ def pair_rules(pairs: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "empty": empty, "refusal": refusal & ~(asks & F.col("said").rlike(r"^(对不起|抱歉|不好意思|仅凭|如果|这个问题)")), "copy": F.coalesce(copy, F.lit(False)), "language": F.coalesce(mismatch, F.lit(False)),
-            "unclosed": opened | ellipsis, "closed": closed, "particle": F.col("said").rlike(r"(吗|呢|么)\s*$"), "ending": ending,
+            "unclosed": opened | ellipsis, "closed": closed, "particle": F.col("said").rlike(PARTICLE), "ending": ending,
         }
     ).drop("messages", "joined", "letters", "said")
 
