@@ -21,21 +21,23 @@ def version_history(snapshots: DataFrame, key: str, order: str, items: str, late
     array of ``struct(item, version)`` with at most one entry per item, null if the snapshot says nothing. Of several
     rows for one place the one greatest in ``latest_by`` counts, among ties one that says something. ``valid_to`` is
     the next place in the order that shows another version or none, -1 if there is none. Null key or order: no row.
-    Exact copies of a row collapse before the shuffle. Extra columns are ignored.
+    Extra columns are ignored.
 
-    One shuffle of the snapshots by key and range of the order, so that a key with any share of all rows is spread
-    over tasks; each range is one sorted array of structs folded by a higher-order function that appends a version
-    only upon change. The folded versions alone are shuffled again, to join up neighbouring ranges.
+    Copies and earlier attempts of a place collapse before the shuffle, so that any number of them is one row per
+    task; places are gathered by key and range of the order, so that a key with any share of all rows is spread over
+    tasks. Each range is one sorted array of at most ``chunk`` structs, folded by a higher-order function that appends
+    a version only upon change. The folded versions alone are shuffled again, to join up neighbouring ranges.
     """
+    says = F.col(items).isNotNull()
     rows = snapshots.where(F.col(key).isNotNull() & F.col(order).isNotNull()).select(
         F.col(key).alias("key"),
         F.floor(F.col(order) / F.lit(chunk)).cast("int").alias("part"),
-        F.struct(F.col(order).cast("int").alias("place"), F.col(latest_by).alias("at"), F.col(items).isNotNull().alias("says"), F.col(items).alias("items")).alias("shot"),
+        F.col(order).cast("int").alias("place"),
+        F.struct(F.col(latest_by).alias("at"), says.alias("says")).alias("rank"),
+        F.col(items).alias("items"),
     )
-    shots = rows.groupBy("key", "part").agg(F.array_sort(F.collect_set("shot")).alias("shots"))
-    # after the sort the last attempt of a place is the one whose successor has another place
-    last = F.filter("shots", lambda s, i: s["says"] & ((i + 1 == F.size("shots")) | (F.get(F.col("shots"), i + 1)["place"] != s["place"])))
-    shots = shots.select("key", "part", last.alias("shots")).where(F.size("shots") > 0)
+    last = rows.groupBy("key", "part", "place").agg(F.max_by("items", "rank").alias("items")).where("items is not null")
+    shots = last.groupBy("key", "part").agg(F.array_sort(F.collect_list(F.struct("place", "items"))).alias("shots"))
 
     # a run of one item is open (valid_to null) while the newest place shows it; the fold closes and opens runs
     nothing = F.array().cast(_VERSIONS)
