@@ -148,10 +148,13 @@ def term_frequencies(df: DataFrame, record: str, terms: str, spread: list[str] =
     """``term, occurrences, records`` of every distinct entry of the array column ``terms``, or with ``max_n`` of every
     run of up to so many characters inside the entries.
 
-    ``spread``: further columns of the range partitioning, by which a record with any share of all rows is cut up.
+    ``spread``: further columns of the range partitioning. A record with any share of all rows is cut up by them and by
+    the place of the rows.
     """
     rows = df.select(F.col(record).cast("string").alias("record"), F.filter(terms, lambda t: F.coalesce(strip(t) != "", F.lit(False))).alias("terms"), *(F.col(c).alias(f"__spread{n}") for n, c in enumerate(spread)))
-    rows = rows.where(F.size("terms") > 0).repartitionByRange("record", *(f"__spread{n}" for n in range(len(spread)))).sortWithinPartitions("record").select("record", "terms")
+    # the last key cuts up copies of one row, however many
+    rows = rows.where(F.size("terms") > 0).withColumn("__row", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange("record", *(f"__spread{n}" for n in range(len(spread))), "__row").sortWithinPartitions("record").select("record", "terms")
     blocks = rows.mapInArrow(lambda batches: _count(batches, max_n), _DDL)
     whole = blocks.groupBy("term", "record").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
     counted = F.when(F.col("record").isNull(), F.col("records")).otherwise(F.lit(1))

@@ -99,7 +99,8 @@ def same_reading(texts: DataFrame, pieces: DataFrame, keys: list[str], text: str
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts whose evidence is in the utterance only in the one form of both."""
     turns = table(spark, sf_dir, "turn_rows").groupBy("dialogue_id", "turn_id").agg(F.max_by("patient_utterance", "processed_at").alias("patient_utterance"))
-    facts = table(spark, sf_dir, "facts").select("dialogue_id", "turn_id", "fact_pos", "evidence")
+    # copies collapse before the shuffle; the groups are those of the join
+    facts = table(spark, sf_dir, "facts").where("evidence is not null").groupBy("dialogue_id", "turn_id").agg(F.collect_set(F.struct("fact_pos", "evidence")).alias("facts")).select("dialogue_id", "turn_id", F.inline("facts"))
     found = same_reading(turns, facts, ["dialogue_id", "turn_id"], "patient_utterance", "evidence")
     return found.select("dialogue_id", "turn_id", "fact_pos").distinct()
 

@@ -31,8 +31,8 @@ BUCKETS = 12
 #: Where the public tokenizers' files lie, and which one counts.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Rows of one length are numbered in so many shares, each sorted on its own.
-SHARES = 64
+#: Items of one length are numbered in shares of about so many items at most, each sorted on its own.
+SHARE_ITEMS = 200_000
 _ENCODER: dict[str, object] = {}
 
 
@@ -166,7 +166,8 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS, top
     for row in pieces.groupBy("tokens").agg(F.count("*").alias("n")).collect():  # a row per length: the capacity at most
         counts[row["tokens"]] = row["n"]
     plan = make_plan(counts, capacity, buckets, top_up)
-    shared = pieces.withColumn("share", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SHARES)))
+    shares = max(16, int(counts.max()) // SHARE_ITEMS)
+    shared = pieces.withColumn("share", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shares)))
     before = Window.partitionBy("tokens").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
     offsets = shared.groupBy("tokens", "share").agg(F.count("*").alias("n")).select("tokens", "share", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("tokens", "share").orderBy("doc_id", "piece")
