@@ -61,44 +61,48 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
-def script(text: Column) -> Column:
-    """Language of a plain text by its script: zh, ja, ko, ru, or latin; null without a clear one.
+def _scripts(text: Column) -> Column:
+    """How much of a plain text is in each script."""
+    patterns = {"han": r"\p{IsHan}", "kana": r"[ぁ-ヺ]", "hangul": r"[가-힣]", "cyrillic": r"\p{IsCyrillic}", "words": r"(?U)\p{IsCyrillic}{2,}", "latin": r"(?U)\p{IsLatin}+"}
+    return F.struct(*(_count(text, p).alias(n) for n, p in patterns.items()))
+
+
+def _script(c: Column) -> Column:
+    """zh, ja, ko, ru, or latin; null without a clear script.
 
     Latin words inside another script (names of medicines, abbreviations) weigh as one letter each, Cyrillic ones as two.
     """
-    han, kana, hangul, cyrillic = (_count(text, p) for p in (r"\p{IsHan}", r"[ぁ-ヺ]", r"[가-힣]", r"\p{IsCyrillic}"))
-    latin = _count(text, r"(?U)\p{IsLatin}+")
-    words = _count(text, r"(?U)\p{IsCyrillic}{2,}")
-    best = F.greatest(han + kana, hangul, 2 * words, latin)
+    east = c["han"] + c["kana"]
+    best = F.greatest(east, c["hangul"], 2 * c["words"], c["latin"])
     return (
         F.when(best == 0, F.lit(None))
-        .when((kana >= 2) & (kana * 4 >= han) & (han + kana >= hangul), "ja")
-        .when((hangul == best) & (hangul > 1), "ko")
-        .when((2 * words == best) & (cyrillic >= 3), "ru")
-        .when((han + kana) == best, "zh")
-        .when(latin >= 2, "latin")
+        .when((c["kana"] >= 2) & (c["kana"] * 4 >= c["han"]) & (east >= c["hangul"]), "ja")
+        .when((c["hangul"] == best) & (c["hangul"] > 1), "ko")
+        .when((2 * c["words"] == best) & (c["cyrillic"] >= 3), "ru")
+        .when(east == best, "zh")
+        .when(c["latin"] >= 2, "latin")
     )
 
 
-def latin_language(text: Column) -> Column:
-    """The language of a plain text in Latin script by its frequent words and letters; null if none is ahead."""
-    own = {lang: _count(text, r"(?U)\b(" + "|".join(words.split()) + r")\b") for lang, words in WORDS.items()}
-    own["vi"] = own["vi"] + 2 * _count(text, "[ăđơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹ]")
-    own["es"] = own["es"] + 2 * _count(text, "[¿¡ñ]")
-    own["pt"] = own["pt"] + 2 * _count(text, "[ãõ]")
-    own["de"] = own["de"] + 2 * _count(text, "[ß]")
-    best = F.greatest(*own.values())
-    first = F.lit(None).cast("string")
-    for lang, n in own.items():
-        first = F.when((n == best) & (best > 0), lang).otherwise(first)
-    tied = sum(((n == best).cast("int") for n in own.values()), F.lit(0)) > 1
-    return F.when(~tied, first)
+def _latin_ranks(text: Column) -> Column:
+    """Languages of Latin script by how many of their frequent words and letters a plain text has, the most first."""
+    letters = {"vi": "[ăđơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹ]", "es": "[¿¡ñ]", "pt": "[ãõ]", "de": "[ß]"}
+    own = []
+    for lang, words in WORDS.items():
+        n = _count(text, r"(?U)\b(" + "|".join(words.split()) + r")\b")
+        own.append(F.struct((n + 2 * _count(text, letters[lang]) if lang in letters else n).alias("n"), F.lit(lang).alias("lang")))
+    return F.sort_array(F.array(*own), asc=False)
 
 
-def language(text: Column) -> Column:
-    """Language of a plain text; null if unclear."""
-    by_script = script(text)
-    return F.when(by_script == "latin", latin_language(text)).otherwise(by_script)
+def with_language(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the language of a plain text under ``out``; null if unclear, as where two languages are even.
+
+    Step by step, as columns, so that no pattern is matched twice.
+    """
+    df = df.withColumn("__c", _scripts(F.col(text))).withColumn("__s", _script(F.col("__c")))
+    df = df.withColumn("__l", F.when(F.col("__s") == "latin", _latin_ranks(F.col(text))))
+    first, second = F.get(F.col("__l"), F.lit(0)), F.get(F.col("__l"), F.lit(1))
+    return df.withColumn(out, F.when(F.col("__s") == "latin", F.when(first["n"] > second["n"], first["lang"])).otherwise(F.col("__s"))).drop("__c", "__s", "__l")
 
 
 def _close(a: Column, b: Column, least: float = 0.8) -> Column:
@@ -113,21 +117,19 @@ def pair_rules(pairs: DataFrame) -> DataFrame:
 
     ``pairs``: ``block`` (messages, ARRAY<STRING>), ``question``, ``target`` (name of what is asked about) and others.
     """
-    question = plain(F.col("question"))
-    rows = pairs.withColumn("said", question).withColumn("messages", F.transform(F.coalesce("block", F.array().cast("array<string>")), plain))
-    rows = rows.withColumn("joined", F.array_join("messages", " ")).withColumn("letters", bare(F.col("said")))
-    target = plain(F.col("target"))
+    rows = pairs.withColumns({"said": plain(F.col("question")), "aim": plain(F.col("target")), "messages": F.transform(F.coalesce("block", F.array().cast("array<string>")), plain)})
+    rows = rows.withColumns({"joined": F.array_join("messages", " "), "letters": bare(F.col("said")), "spaced": F.regexp_replace("said", "['’]", " "), "own": F.regexp_replace("said", "[“\"「][^”\"」]*[”\"」]", "")})
+    target = F.col("aim")
     empty = (F.col("letters") == "") | F.col("letters").isin(NOTHING) | (bare(target) == "")
     asks = F.col("said").rlike(ASKS)
-    refusal = F.lit(False)
-    for phrase in REFUSALS:
-        refusal = refusal | F.regexp_replace(F.col("said"), "['’]", " ").rlike("(?U)" + phrase)
+    refusal = F.col("spaced").rlike("(?U)" + "|".join(REFUSALS))
     # "you said" before the patient's words, and a mark or greeting about them, are no question
     stripped = F.regexp_replace(F.col("letters"), r"^(您说|你说|您刚才说|你刚才说|患者说|yousaid|您好|你好)", "")
     sources = F.array_distinct(F.filter(F.concat(F.transform("messages", bare), F.array(bare(F.col("joined")))), lambda m: m != ""))
-    copy = F.exists(sources, lambda m: _close(F.col("letters"), m) | _close(stripped, m))
-    mine, theirs = language(F.regexp_replace(F.col("said"), "[“\"「][^”\"」]*[”\"」]", "")), language(F.col("joined"))
-    mismatch = mine.isNotNull() & theirs.isNotNull() & (mine != theirs)
+    rows = rows.withColumns({"stripped": stripped, "sources": sources})
+    rows = with_language(with_language(rows, "own", "mine"), "joined", "theirs")
+    copy = F.exists("sources", lambda m: _close(F.col("letters"), m) | _close(F.col("stripped"), m))
+    mismatch = F.col("mine") != F.col("theirs")
     opened = sum(((_count(F.col("said"), a) > _count(F.col("said"), b)).cast("int") for a, b in ((r"[(（]", r"[)）]"), ("[“「『]", "[”」』]"), (r"\[|【", r"\]|】"))), F.lit(0)) > 0
     ellipsis = F.col("said").rlike(r"(…|\.\.\.?|。。+|[,，、;；:：\-—])\s*$")
     closed = F.col("said").rlike(r"[?？。.!！｡」”\"）)]\s*$") & ~ellipsis
@@ -140,7 +142,7 @@ def pair_rules(pairs: DataFrame) -> DataFrame:
             "empty": empty, "refusal": refusal & ~(asks & F.col("said").rlike(r"^(对不起|抱歉|不好意思|仅凭|如果|这个问题)")), "copy": F.coalesce(copy, F.lit(False)), "language": F.coalesce(mismatch, F.lit(False)),
             "unclosed": opened | ellipsis, "closed": closed, "particle": F.col("said").rlike(PARTICLE), "ending": ending,
         }
-    ).drop("messages", "joined", "letters", "said")
+    ).drop("messages", "joined", "letters", "said", "aim", "spaced", "own", "stripped", "sources", "mine", "theirs")
 
 
 def defective_pairs(pairs: DataFrame, ids: list[str], support: int = 3) -> DataFrame:
