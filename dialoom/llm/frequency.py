@@ -144,17 +144,19 @@ def _count(batches: Iterator[pa.RecordBatch], max_n: int | None) -> Iterator[pa.
         yield from _block(records, np.concatenate(owner), terms, max_n)
 
 
-def term_frequencies(df: DataFrame, record: str, terms: str, spread: list[str] = (), max_n: int | None = None) -> DataFrame:
-    """``term, occurrences, records`` of every distinct entry of the array column ``terms``, or with ``max_n`` of every
+def term_frequencies(df: DataFrame, record: str, terms: str | Column, spread: list[str] = (), max_n: int | None = None) -> DataFrame:
+    """``term, occurrences, records`` of every distinct entry of the array ``terms``, or with ``max_n`` of every
     run of up to so many characters inside the entries.
 
     ``spread``: further columns of the range partitioning. A record with any share of all rows is cut up by them and by
     the place of the rows.
     """
-    rows = df.select(F.col(record).cast("string").alias("record"), F.filter(terms, lambda t: F.coalesce(strip(t) != "", F.lit(False))).alias("terms"), *(F.col(c).alias(f"__spread{n}") for n, c in enumerate(spread)))
+    keys = {"__record": F.col(record).cast("string")} | {f"__spread{n}": F.col(c) for n, c in enumerate(spread)}
     # the last key cuts up copies of one row, however many
-    rows = rows.where(F.size("terms") > 0).withColumn("__row", F.monotonically_increasing_id())
-    rows = rows.repartitionByRange("record", *(f"__spread{n}" for n in range(len(spread))), "__row").sortWithinPartitions("record").select("record", "terms")
+    rows = df.withColumns(keys | {"__row": F.monotonically_increasing_id()}).repartitionByRange(*keys, "__row").sortWithinPartitions("__record")
+    # terms are made after the shuffle, as the sampling of the ranges goes over what is before it, too
+    kept = F.filter(terms, lambda t: F.coalesce(strip(t) != "", F.lit(False)))
+    rows = rows.select(F.col("__record").alias("record"), kept.alias("terms")).where(F.size("terms") > 0)
     blocks = rows.mapInArrow(lambda batches: _count(batches, max_n), _DDL)
     whole = blocks.groupBy("term", "record").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
     counted = F.when(F.col("record").isNull(), F.col("records")).otherwise(F.lit(1))
@@ -164,22 +166,21 @@ def term_frequencies(df: DataFrame, record: str, terms: str, spread: list[str] =
 FIELDS = ["normalized_name", "attribute_key", "attribute_value"]
 
 
-def fact_terms(facts: DataFrame) -> DataFrame:
-    """``dialogue_id, turn_id, terms``: the terms of a fact, each behind the number of its field in ``FIELDS``."""
+def fact_terms() -> Column:
+    """The terms of a fact, each behind the number of its field in ``FIELDS``."""
 
     def tagged(values: Column, k: int) -> Column:
         kept = F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda t: F.coalesce(strip(t) != "", F.lit(False)))
         return F.transform(kept, lambda t: F.concat(F.lit(str(k)), t))
 
     values = F.flatten(F.transform(F.map_values("attribute"), lambda v: F.split(F.coalesce(v, F.lit("")), "；")))
-    terms = F.concat(tagged(F.array("normalized_name"), 0), tagged(F.map_keys("attribute"), 1), tagged(values, 2))
-    return facts.select("dialogue_id", "turn_id", terms.alias("terms"))
+    return F.concat(tagged(F.array("normalized_name"), 0), tagged(F.map_keys("attribute"), 1), tagged(values, 2))
 
 
 def marked_frequencies(facts: DataFrame, rare: int = 2, common: float = 0.05) -> DataFrame:
     """``field, term, occurrences, dialogues, mark`` of all terms of the facts; mark is rare, common or null."""
     total = facts.select(F.count_distinct("dialogue_id")).first()[0]
-    counts = term_frequencies(fact_terms(facts), "dialogue_id", "terms", ["turn_id"])
+    counts = term_frequencies(facts.select("dialogue_id", "turn_id", "normalized_name", "attribute"), "dialogue_id", fact_terms(), ["turn_id"])
     field = F.get(F.array(*map(F.lit, FIELDS)), F.substring("term", 1, 1).cast("int"))
     mark = F.when(F.col("records") <= rare, "rare").when(F.col("records") >= F.lit(common) * total, "common")
     return counts.select(field.alias("field"), F.substr("term", F.lit(2)).alias("term"), "occurrences", F.col("records").alias("dialogues"), mark.alias("mark"))
