@@ -41,13 +41,18 @@ def shape(char: str) -> str:
     return "".join(table.get(c, c) for c in unicodedata.normalize("NFKC", char))
 
 
+@functools.cache
+def _table() -> dict[int, str]:
+    return {ord(a): b for a, b in lookalikes().items()}
+
+
 def fold(text: str | None) -> str:
     """The one form of a text in which all that reads the same is the same; "" for null."""
     if not text:
         return ""
-    table = lookalikes()
-    flat = unicodedata.normalize("NFKC", INVISIBLE_RE.sub("", text))
-    return unicodedata.normalize("NFC", "".join(table.get(c, c) for c in flat)) if not flat.isascii() else flat
+    if text.isascii():
+        return text
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFKC", INVISIBLE_RE.sub("", text)).translate(_table()))
 
 
 @functools.cache
