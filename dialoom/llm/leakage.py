@@ -73,14 +73,27 @@ def fingerprints(text: str, step: int = 1 << 20) -> np.ndarray:
     return np.unique(np.concatenate([winnow(kgram_hashes(text[a : a + step + overlap])) for a in range(0, len(text) - overlap, step)]))
 
 
-def held(document: str, item: str, piece: int) -> int:
-    """How many characters of ``item`` stand in ``document`` in pieces of at least ``piece`` consecutive characters."""
-    covered = until = 0
-    for i in range(len(item) - piece + 1):
-        if item[i : i + piece] in document:
-            covered += i + piece - max(i, until)
-            until = i + piece
-    return covered
+class Held:
+    """What one document holds of items, in pieces of at least so many consecutive characters."""
+
+    #: Beyond so many characters the pieces are looked for in the text itself, to keep no set of that size.
+    LONGEST = 1 << 18
+
+    def __init__(self, document: str) -> None:
+        self.document = document
+        self.grams: dict[int, set[str] | str] = {}
+
+    def __call__(self, item: str, piece: int) -> int:
+        """How many characters of ``item`` the document holds."""
+        if piece not in self.grams:
+            text = self.document
+            self.grams[piece] = text if len(text) > self.LONGEST else {text[i : i + piece] for i in range(len(text) - piece + 1)}
+        own, covered, until = self.grams[piece], 0, 0
+        for i in range(len(item) - piece + 1):
+            if item[i : i + piece] in own:
+                covered += i + piece - max(i, until)
+                until = i + piece
+        return covered
 
 
 @dataclass
@@ -104,10 +117,9 @@ class Items:
     def hit(self, prints: np.ndarray) -> np.ndarray:
         """Numbers of the items that share a fingerprint."""
         lo, hi = np.searchsorted(self.hashes, prints, "left"), np.searchsorted(self.hashes, prints, "right")
-        found = np.flatnonzero(hi > lo)
-        if not len(found):
-            return found
-        return np.unique(np.concatenate([self.owners[lo[j] : hi[j]] for j in found]))
+        n = hi - lo
+        spots = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.unique(self.owners[spots])
 
 
 _PAIRS = "doc_id long, item_id long, held long, size long"
@@ -123,8 +135,9 @@ def _scan(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.Record
         out = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             own = letters(text)
+            held = Held(own)
             for j in items.hit(fingerprints(own)).tolist():
-                if n := held(own, items.texts[j], items.pieces[j]):
+                if n := held(items.texts[j], items.pieces[j]):
                     out.append((doc, items.ids[j], n, len(items.texts[j])))
         yield _rows(out)
 
@@ -144,7 +157,7 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for doc, text, item, passage, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             own = letters(passage)
-            if n := held(letters(text), own, piece):
+            if n := Held(letters(text))(own, piece):
                 out.append((doc, item, n, len(own)))
         yield _rows(out)
 
