@@ -108,6 +108,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.select("dialogue_id", "item", F.col("valid_from").alias("valid_from_turn"), F.col("valid_to").alias("valid_to_turn"))
 
 
+def p4_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions themselves, as readable text."""
+    versions = version_history(state_snapshots(table(spark, sf_dir, "turn_rows")), "dialogue_id", "turn_id", "items", "processed_at")
+    text = F.translate("version", "\u0001\u0002\u0003\u0004", "=,:|")
+    return versions.select("dialogue_id", "item", text.alias("version"), F.col("valid_from").alias("valid_from_turn"), F.nullif("valid_to", F.lit(-1)).alias("valid_to_turn"))
+
+
 P4_FOUND_SQL = """
 WITH latest AS (
   SELECT dialogue_id, turn_id, patient_state_after_turn AS s,
@@ -144,5 +151,9 @@ SELECT dialogue_id, item, CAST(min(turn_id) AS INTEGER) AS valid_from_turn, CAST
 FROM numbered GROUP BY dialogue_id, item, run
 """.replace("{B}", BLANKS)
 
-QUERIES = {"p4_found": p4_found}
-ORACLE_SQL = {"p4_found": P4_FOUND_SQL}
+P4_HISTORY_SQL = P4_FOUND_SQL.rsplit("SELECT dialogue_id, item,", 1)[0] + """SELECT dialogue_id, item, translate(min(version), chr(1) || chr(2) || chr(3) || chr(4), '=,:|') AS version, CAST(min(turn_id) AS INTEGER) AS valid_from_turn,
+  CAST(arg_max({'n': next_turn}, turn_id).n AS INTEGER) AS valid_to_turn FROM numbered GROUP BY dialogue_id, item, run
+"""
+
+QUERIES = {"p4_found": p4_found, "p4_history": p4_history}
+ORACLE_SQL = {"p4_found": P4_FOUND_SQL, "p4_history": P4_HISTORY_SQL}
