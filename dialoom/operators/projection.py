@@ -11,7 +11,7 @@ from dialoom.operators.dialogue import running_total
 from dialoom.operators.facts import distinct_facts, latest_turns
 from dialoom.operators.interview import asked_before, canonical_attribute, is_compound, question_slots, questions
 from dialoom.operators.state import ITEM_DDL
-from dialoom.operators.terms import standardized
+from dialoom.operators.terms import MATCH_SQL, standardized
 from dialoom.session import table
 
 # Fields that no prompt or training text may show.
@@ -197,6 +197,9 @@ def _sql() -> dict[str, str]:
     items = " + ".join(f"coalesce(len(s.{b}), 0)" for b in FULL + BRIEF)
     name = "coalesce(nullif(i.normalized_name, ''), nullif(i.name, ''))"
     return {
+        "standardization_changes": MATCH_SQL + """, changed AS (
+  SELECT CASE WHEN coalesce(m.n, nullif(normalized_name, ''), name) IS DISTINCT FROM normalized_name THEN 1 END AS names, CASE WHEN m IS NOT NULL AND m.c IS DISTINCT FROM standard_code THEN 1 END AS codes FROM probed)
+SELECT 'normalized_name' AS field, count(names) AS n FROM changed HAVING count(names) > 0 UNION ALL SELECT 'standard_code', count(codes) FROM changed HAVING count(codes) > 0""",
         "prompt_states": f"WITH {states} SELECT dialogue_id, turn_id, s.chief_complaint AS chief_complaint, CAST({items} AS INTEGER) AS items, 0 AS hidden FROM states",
         "question_states": f"WITH {states} SELECT dialogue_id, turn_id, coalesce(array_to_string(list_filter(list_transform(s.problems, lambda i: {name}), lambda n: n IS NOT NULL), '|'), '') AS problems, CAST(coalesce(len(list_filter(s.negative_findings, lambda i: {name} IS NOT NULL)), 0) AS INTEGER) AS negative FROM states",
         "positional_join": "SELECT TRUE AS agree, count(*) AS n, count(*) - 1 AS last FROM (SELECT DISTINCT dialogue_id, turn_id FROM turn_rows)",

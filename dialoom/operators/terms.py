@@ -246,7 +246,7 @@ _DIMENSION = f"""dimension AS (
 _BUILTIN = "builtin(normalized_key, preferred_name, code, terminology, alias) AS (VALUES " + ", ".join(
     f"('{alias}', '{name}', {code and repr(code) or 'NULL'}, {term and repr(term) or 'NULL'}, '{alias}')" for name, code, term, aliases in BUILTIN_EXAMINATIONS for alias in aliases
 ) + ")"
-_MATCH = f"""WITH {_DIMENSION}, {_BUILTIN}, facts_once AS (SELECT DISTINCT ON (dialogue_id, turn_id, fact_pos) * FROM facts), keyed AS (
+MATCH_SQL = f"""WITH {_DIMENSION}, {_BUILTIN}, facts_once AS (SELECT DISTINCT ON (dialogue_id, turn_id, fact_pos) * FROM facts), keyed AS (
   SELECT *, {_key("name")} AS k1, {_key("normalized_name")} AS k2, CASE type WHEN 'disease' THEN 'ICD-10-CN' WHEN 'examination' THEN 'LOINC' END AS expected FROM facts_once
 ), probed AS (
   SELECT f.*, coalesce(
@@ -261,8 +261,8 @@ ORACLE_SQL = {
     "term_dimension_dedup": f"WITH {_DIMENSION} SELECT id, terminology, semantic_type, code, normalized_key, alias FROM dimension",
     "term_exact_lookup_top1": f"WITH {_DIMENSION} SELECT n.type, n.name, t.terminology, t.code, t.alias FROM (SELECT DISTINCT type, name, {_key('name')} AS k FROM facts) n JOIN in_terminology t ON t.semantic_type = n.type AND t.normalized_key = n.k",
     "term_unique_lookup": f"WITH {_DIMENSION} SELECT n.type, n.name, t.terminology, t.code, t.alias FROM (SELECT DISTINCT type, name, {_key('name')} AS k FROM facts) n JOIN unambiguous t ON t.semantic_type = n.type AND t.normalized_key = n.k",
-    "term_coalesced_match": _MATCH + "SELECT dialogue_id, turn_id, fact_pos, m.n AS preferred_name, m.c AS code, m.t AS terminology FROM probed WHERE m IS NOT NULL",
-    "term_standardized": _MATCH + "SELECT type, count(*) AS facts, count(CASE WHEN m IS NOT NULL THEN m.c ELSE standard_code END) AS coded, count(DISTINCT coalesce(m.n, nullif(normalized_name, ''), name)) AS names FROM probed GROUP BY type",
+    "term_coalesced_match": MATCH_SQL + "SELECT dialogue_id, turn_id, fact_pos, m.n AS preferred_name, m.c AS code, m.t AS terminology FROM probed WHERE m IS NOT NULL",
+    "term_standardized": MATCH_SQL + "SELECT type, count(*) AS facts, count(CASE WHEN m IS NOT NULL THEN m.c ELSE standard_code END) AS coded, count(DISTINCT coalesce(m.n, nullif(normalized_name, ''), name)) AS names FROM probed GROUP BY type",
     "term_verify_semi": """WITH facts_once AS (SELECT DISTINCT ON (dialogue_id, turn_id, fact_pos) * FROM facts), checked AS (
   SELECT type, (standard_code IS NULL AND terminology IS NULL) OR (coalesce(terminology = CASE type WHEN 'disease' THEN 'ICD-10-CN' WHEN 'examination' THEN 'LOINC' END, TRUE)
     AND EXISTS (SELECT 1 FROM terms t WHERE t.semantic_type = f.type AND t.terminology = f.terminology AND t.code = f.standard_code)) AS verified FROM facts_once f)

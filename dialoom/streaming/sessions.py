@@ -123,8 +123,12 @@ def event_time_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages by day of receipt as a stream with a watermark, closed days only."""
     rows = stream_table(spark, sf_dir, "messages").withColumn("at", F.col("received_at").cast("timestamp"))
     days = rows.withWatermark("at", "2 days").groupBy(F.window("at", "1 day")).agg(F.count("*").alias("n"))
-    return run_to_table(days.select(F.col("window.start").alias("day"), "n"))
+    return run_to_table(days.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "n"))
 
 
 QUERIES = {"stream_keyed_state": stream_keyed_state, "stream_event_time_counts": event_time_counts}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "stream_event_time_counts": """
+SELECT strftime(date_trunc('day', received_at), '%Y-%m-%d') AS day, count(*) AS n FROM messages
+WHERE date_trunc('day', received_at) + INTERVAL 1 DAY <= (SELECT max(received_at) - INTERVAL 2 DAY FROM messages) GROUP BY 1"""
+}
