@@ -129,5 +129,10 @@ ORACLE_SQL = {
 WITH utterances AS (SELECT dialogue_id, turn_id, arg_max(patient_utterance, processed_at) AS u FROM turn_rows GROUP BY ALL), open_facts AS (
   SELECT DISTINCT dialogue_id, turn_id, fact_pos, u, evidence AS e FROM facts JOIN utterances USING (dialogue_id, turn_id) WHERE NOT contains(u, evidence)
 )
-SELECT DISTINCT dialogue_id, turn_id, fact_pos FROM open_facts WHERE contains({sql_form("u")}, {sql_form("e")})"""
+SELECT DISTINCT dialogue_id, turn_id, fact_pos FROM open_facts WHERE contains({sql_form("u")}, {sql_form("e")})""",
+    "p2_forms": f"""
+WITH texts AS (SELECT 'evidence' AS field, evidence AS text FROM facts UNION ALL SELECT 'patient_utterance', patient_utterance FROM turn_rows), forms AS (
+  SELECT field, text, {sql_form("text")} AS form FROM texts
+)
+SELECT field, text, form, count(*) AS n FROM forms WHERE text <> form GROUP BY ALL""",
 }
