@@ -75,7 +75,8 @@ def canonical_attributes(attributes: Column) -> Column:
     """A map as text in which the order of keys and of parts joined by ``；`` and blank values have no meaning."""
 
     def parts(value: Column) -> Column:
-        return F.array_join(F.array_sort(F.array_distinct(F.filter(F.transform(F.split(value, "；"), strip), lambda p: p != ""))), "；")
+        several = F.array_join(F.array_sort(F.array_distinct(F.filter(F.transform(F.split(value, "；"), strip), lambda p: p != ""))), "；")
+        return F.when(F.contains(value, F.lit("；")), several).otherwise(strip(value))
 
     entries = F.transform(F.map_entries(attributes), lambda e: F.struct(strip(e["key"]).alias("key"), parts(e["value"]).alias("value")))
     entries = F.array_sort(F.filter(entries, lambda e: F.coalesce(e["value"] != "", F.lit(False))))
