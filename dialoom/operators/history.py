@@ -11,6 +11,7 @@ from dialoom.session import table
 #: Snapshots of one key that are folded in one array; a longer history is folded in several and joined up.
 CHUNK = 256
 
+_ITEMS = "array<struct<item:string,version:string>>"
 _VERSIONS = "array<struct<item:string,version:string,valid_from:int,valid_to:int>>"
 
 
@@ -91,16 +92,21 @@ def state_snapshots(turn_rows: DataFrame) -> DataFrame:
     state = F.col("patient_state_after_turn")
     complaint = strip(state["chief_complaint"])
     chief = F.when(complaint != "", F.array(F.struct(F.lit("chief_complaint").alias("item"), complaint.alias("version")))).otherwise(F.array())
+    # taken field by field, so that the scan reads these fields of the problems alone
+    needed = "array<struct<normalized_name:string,status:string,attributes:map<string,string>>>"
+    read = F.arrays_zip(*(state["problems"][f] for f in ("normalized_name", "status", "attributes"))).cast(needed)
     problems = F.transform(
-        F.filter(F.coalesce(state["problems"], F.array()), lambda p: F.coalesce(strip(p["normalized_name"]) != "", F.lit(False))),
+        F.filter(F.coalesce(read, F.array().cast(needed)), lambda p: F.coalesce(strip(p["normalized_name"]) != "", F.lit(False))),
         lambda p: F.struct(p["normalized_name"].alias("item"), F.concat(F.coalesce(strip(p["status"]), F.lit("")), F.lit("\u0003"), canonical_attributes(p["attributes"])).alias("version")),
     )
-    names = F.transform(problems, lambda p: p["item"])
-    merged = F.when(F.size(F.array_distinct(names)) == F.size(names), problems).otherwise(
-        F.transform(F.array_distinct(names), lambda n: F.struct(n.alias("item"), F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter(problems, lambda p: p["item"] == n), lambda p: p["version"]))), "\u0004").alias("version")))
+    # step by step, as columns, so that nothing is worked out twice
+    rows = turn_rows.select("dialogue_id", "turn_id", "processed_at", state.isNotNull().alias("says"), chief.cast(_ITEMS).alias("chief"), problems.cast(_ITEMS).alias("problems"))
+    rows = rows.withColumn("names", F.array_distinct(F.col("problems.item")))
+    together = F.transform(
+        "names", lambda n: F.struct(n.alias("item"), F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter("problems", lambda p: p["item"] == n), lambda p: p["version"]))), "\u0004").alias("version"))
     )
-    items = F.when(state.isNotNull(), F.concat(chief, merged)).cast("array<struct<item:string,version:string>>")
-    return turn_rows.select("dialogue_id", "turn_id", "processed_at", items.alias("items"))
+    merged = F.when(F.size("names") == F.size("problems"), F.col("problems")).otherwise(together)
+    return rows.select("dialogue_id", "turn_id", "processed_at", F.when(F.col("says"), F.concat("chief", merged)).alias("items"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
