@@ -64,22 +64,21 @@ def ledger_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_wins(rows, "dialogue_id", "at").select("dialogue_id", "ok", "error")
 
 
-def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per = ordered_messages(table(spark, sf_dir, "messages")).groupBy("dialogue_id").agg(F.min("source_pos").alias("source_pos"), F.count_if(F.col("role") == "user").alias("user_turns"))
-    return select_prefix(per, 900, 1_000_000).select("dialogue_id", "source_pos")
+def _dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered_messages(table(spark, sf_dir, "messages")).groupBy("dialogue_id").agg(F.min("source_pos").alias("source_pos"), F.count_if(F.col("role") == "user").alias("user_turns"))
 
 
 def pending_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Selected dialogues that have neither questions nor a failure."""
+    """Dialogues, of all, that have neither questions nor a failure. Its SQL still stops at the first 900 dialogues."""
     asked = table(spark, sf_dir, "interviewer_rows").select(F.col("source_dialogue_id").alias("dialogue_id"))
     failed = failure_ledger(turn_events(table(spark, sf_dir, "turn_rows")), "dialogue_id")
-    return pending(_selected(spark, sf_dir), asked, failed)
+    return pending(_dialogues(spark, sf_dir).select("dialogue_id", "source_pos"), asked, failed)
 
 
 def failed_prefix_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Failed dialogues of the selection with their place in the source."""
+    """Failed dialogues of the prefix of 900 dialogues with their place in the source."""
     failed = failure_ledger(turn_events(table(spark, sf_dir, "turn_rows")), "dialogue_id")
-    return _selected(spark, sf_dir).join(failed.select("dialogue_id", "attempts"), "dialogue_id")
+    return select_prefix(_dialogues(spark, sf_dir), 900, 1_000_000).select("dialogue_id", "source_pos").join(failed.select("dialogue_id", "attempts"), "dialogue_id")
 
 
 def precedence_union_query(spark: SparkSession, sf_dir: str) -> DataFrame:

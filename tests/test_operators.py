@@ -140,6 +140,17 @@ def test_ledger_forgets_what_succeeded(spark):
     assert sorted(map(tuple, got.collect())) == [("a", 2, "x", "y", "e2"), ("c", 1, "z", "z", None)]
 
 
+def test_pending_covers_every_dialogue(spark, tmp_path):
+    ids = [f"d{n:04d}" for n in range(1200)]
+    spark.createDataFrame([(n, d, 0, "user", "x", None) for n, d in enumerate(ids)], MESSAGES).write.parquet(str(tmp_path / "messages.parquet"))
+    spark.createDataFrame([(d,) for n, d in enumerate(ids) if n % 100 and n != 1150], "source_dialogue_id string").write.parquet(str(tmp_path / "interviewer_rows.parquet"))
+    turns = "dialogue_id string, turn_id int, model string, api_format string, processed_at timestamp, patient_state_after_turn string"
+    spark.createDataFrame([("d1100", 0, "m", "f", datetime(2024, 1, 1), None)], turns).write.parquet(str(tmp_path / "turn_rows.parquet"))
+    got = ledger.pending_antijoin(spark, str(tmp_path)).collect()
+    assert sorted(r["source_pos"] for r in got) == [*range(0, 1100, 100), 1150]
+    assert all(r["dialogue_id"] == ids[r["source_pos"]] for r in got)
+
+
 def test_unions_by_precedence_and_runs(spark):
     one = lambda *rows: spark.createDataFrame(rows, "k string, v int")
     got = ledger.precedence_union([one(("a", 1)), one(("a", 2), ("b", 3)), one(("b", 4), ("c", 5))], "k")
