@@ -14,9 +14,12 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from datetime import datetime
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,9 +31,9 @@ from dialoom.session import cut, table
 #: Turns back that a message may answer, and turns of a channel that one task links in one go.
 WINDOW = 8
 CHUNK = 1024
-#: Messages that stand for a turn as candidates, the first by speaker and content. A turn has one message in a sound
-#: dialogue; one with several is broken whatever they answer, and all of its messages are kept and linked.
-PER_TURN = 32
+#: Messages of a turn beyond which they are indexed as candidates instead of being scored one by one; the choice is
+#: the same. A turn has one message in a sound dialogue.
+LISTED = 32
 #: Seconds in which the nearness in time falls by e.
 FADE = 3600.0
 WEIGHTS = {"turn": 1.0, "time": 0.5, "speaker": 0.5, "mention": 1.0, "overlap": 1.5}
@@ -67,27 +70,115 @@ class _Message:
         self.anchor, self.settled = turn, True
 
 
-def link_score(message: _Message, other: _Message) -> float:
-    """How likely ``message`` answers ``other``."""
-    score = WEIGHTS["turn"] / (message.turn - other.turn)
-    if message.at and other.at:
-        score += WEIGHTS["time"] * math.exp(-abs((message.at - other.at).total_seconds()) / FADE)
-    if message.speaker != other.speaker:
+def _score(message: _Message, turn: int, who: str | None, at: datetime | None, quoted: bool, shared: int, size: int) -> float:
+    score = WEIGHTS["turn"] / (message.turn - turn)
+    if message.at and at:
+        score += WEIGHTS["time"] * math.exp(-abs((message.at - at).total_seconds()) / FADE)
+    if message.speaker != who:
         score += WEIGHTS["speaker"]
-    if any(q in other.text for q in _QUOTE.findall(message.text)):
+    if quoted:
         score += WEIGHTS["mention"]
-    elif (address := ADDRESS.get(other.speaker)) and address.search(message.text):
+    elif (address := ADDRESS.get(who)) and address.search(message.text):
         score += WEIGHTS["mention"] / 4
-    if message.pairs and other.pairs:
-        score += WEIGHTS["overlap"] * len(message.pairs & other.pairs) / min(len(message.pairs), len(other.pairs))
+    if message.pairs and size:
+        score += WEIGHTS["overlap"] * shared / min(len(message.pairs), size)
     return score
 
 
+def link_score(message: _Message, other: _Message) -> float:
+    """How likely ``message`` answers ``other``."""
+    quoted = any(q in other.text for q in _QUOTE.findall(message.text))
+    return _score(message, other.turn, other.speaker, other.at, quoted, len(message.pairs & other.pairs), len(other.pairs))
+
+
+class _Crowd:
+    """The messages of one turn with many: an index from character pairs to them, and columns to score all at once.
+
+    Scores in columns may differ from :func:`link_score` in the last digits, so all within ``NEAR`` of the highest are
+    scored again as there.
+    """
+
+    NEAR = 1e-9
+
+    def __init__(self, messages: list[_Message]) -> None:
+        self.turn = messages[0].turn
+        self.pairs: dict[str, array] = {}
+        self.texts, self.speakers, self.ats, self.trees = [], [], [], []
+        self.sizes, self.columns = array("i"), None
+        for message in messages:
+            self.add(message)
+
+    def add(self, message: _Message) -> None:
+        for pair in message.pairs:
+            self.pairs.setdefault(pair, array("i")).append(len(self.texts))
+        self.texts.append(message.text)
+        self.speakers.append(message.speaker)
+        self.ats.append(message.at)
+        self.sizes.append(len(message.pairs))
+        self.trees.append((message.anchor, message.settled))
+
+    def _fill(self) -> None:
+        """The columns, once the turn is over; texts go into one that quotations are looked up in."""
+        self.since = next((at for at in self.ats if at), None)
+        seconds = np.array([(at - self.since).total_seconds() if at else math.nan for at in self.ats])
+        self.columns = seconds, np.array([str(who) for who in self.speakers]), np.frombuffer(self.sizes, "i")
+        ends = np.cumsum([len(t) for t in self.texts]).tolist()
+        self.starts, self.joined = [0, *ends], "".join(self.texts)
+        self.texts = None
+
+    def _quoted(self, quotes: list[str]) -> np.ndarray:
+        out = np.zeros(len(self.ats), bool)
+        for quote in quotes:
+            spot = self.joined.find(quote)
+            while spot >= 0:
+                k = bisect_right(self.starts, spot) - 1
+                inside = spot + len(quote) <= self.starts[k + 1]
+                out[k] |= inside
+                spot = self.joined.find(quote, self.starts[k + 1] if inside else spot + 1)
+        return out
+
+    def best(self, message: _Message) -> tuple[float, tuple[int, bool]]:
+        """Score, and anchor and state, of the message of the turn that ``message`` most likely answers, the last of equals."""
+        if self.columns is None:
+            self._fill()
+        seconds, speakers, sizes = self.columns
+        shared = np.zeros(len(self.ats), "i")
+        for pair in message.pairs:
+            if pair in self.pairs:
+                shared[np.frombuffer(self.pairs[pair], "i")] += 1
+        quoted = self._quoted(_QUOTE.findall(message.text))
+        score = WEIGHTS["speaker"] * (speakers != str(message.speaker)) + WEIGHTS["mention"] * quoted
+        if message.at and self.since:
+            score += WEIGHTS["time"] * np.nan_to_num(np.exp(-np.abs(seconds - (message.at - self.since).total_seconds()) / FADE))
+        for who, address in ADDRESS.items():
+            if address.search(message.text):
+                score += WEIGHTS["mention"] / 4 * ((speakers == who) & ~quoted)
+        score += WEIGHTS["overlap"] * shared / np.maximum(np.minimum(len(message.pairs), sizes), 1)
+        best, of, seen = -math.inf, -1, set()
+        for k in np.flatnonzero(score >= score.max() - self.NEAR)[::-1].tolist():
+            like = (self.speakers[k], self.ats[k], bool(quoted[k]), int(shared[k]), self.sizes[k])
+            if like not in seen:
+                seen.add(like)
+                if (exact := _score(message, self.turn, *like)) > best:
+                    best, of = exact, k
+        return best, self.trees[of]
+
+
+def _keep(recent: list[_Message | _Crowd], message: _Message, at_turn: int) -> None:
+    """Adds a message, the ``at_turn``-th of its turn, to the candidates."""
+    if at_turn <= LISTED:
+        recent.append(message)
+    elif at_turn == LISTED + 1:
+        recent[-LISTED:] = [_Crowd([*recent[-LISTED:], message])]
+    else:
+        recent[-1].add(message)
+
+
 _LINK_FIELDS = [("parent", pa.int32()), ("score", pa.float64()), ("anchor", pa.int32()), ("settled", pa.bool_()), ("again", pa.bool_())]
 
 
 def _link(batches: Iterator[pa.RecordBatch], least: float | None) -> Iterator[pa.RecordBatch]:
-    """Rows in the order of channel, chunk and turn; a window of messages is all that is kept."""
+    """Rows in the order of channel, chunk and turn; a window of turns is all that is kept."""
     now, recent, at_turn = None, [], 0
     for batch in batches:
         out: list[tuple] = []
@@ -104,21 +195,21 @@ def _link(batches: Iterator[pa.RecordBatch], least: float | None) -> Iterator[pa
                 recent = [m for m in recent if m.turn >= turn - WINDOW]
             if halo:  # belongs to the chunk before: a candidate, whose own tree is settled there
                 message.settled = False
-                if at_turn <= PER_TURN:
-                    recent.append(message)
+                _keep(recent, message, at_turn)
                 out.append((None, None, turn, False, False))
                 continue
-            best, best_score = None, -math.inf
+            parent, best_score, tree = None, -math.inf, None
             for other in reversed(recent):
-                if other.turn < turn and (score := link_score(message, other)) > best_score:
-                    best, best_score = other, score
-            if best is not None and (least is None or best_score >= least):
-                message.anchor, message.settled = best.anchor, best.settled
-                out.append((best.turn, best_score, best.anchor, best.settled, at_turn > 1))
+                if other.turn < turn:
+                    score, its = other.best(message) if isinstance(other, _Crowd) else (link_score(message, other), (other.anchor, other.settled))
+                    if score > best_score:
+                        parent, best_score, tree = other.turn, score, its
+            if parent is not None and (least is None or best_score >= least):
+                message.anchor, message.settled = tree
+                out.append((parent, best_score, *tree, at_turn > 1))
             else:
                 out.append((None, None, turn, True, at_turn > 1))
-            if at_turn <= PER_TURN:
-                recent.append(message)
+            _keep(recent, message, at_turn)
         links = [pa.array(c, kind) for c, (_, kind) in zip(zip(*out, strict=True), _LINK_FIELDS, strict=True)] if out else [pa.array([], k) for _, k in _LINK_FIELDS]
         rows = pa.RecordBatch.from_arrays([*batch.columns, *links], [*batch.schema.names, *(n for n, _ in _LINK_FIELDS)])
         yield rows.filter(pa.compute.invert(rows.column("halo")))

@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 
 from dialoom.llm import conversations as C
@@ -75,6 +76,30 @@ def test_chunks_change_nothing(spark, monkeypatch, least):
     assert C.dialogue_defects(C.reply_links(df, "dialogue_id"), "dialogue_id").first()["defect"] == "broken"
 
 
+def test_every_message_of_a_crowded_turn_is_a_candidate(spark):
+    crowd = [(0, "doctor", f"第{n:03d}条通知") for n in range(300)] + [(0, "patient", "右下腹刺痛三天")]
+    df = spark.createDataFrame(rows(*crowd, (1, "patient", "还有失眠"), (2, "doctor", "您刚才说“右下腹刺痛”，程度如何")), DDL)
+    got = {(r["turn_id"], r["parent"]): r["score"] for r in C.reply_links(df, "dialogue_id").where("turn_id > 0").collect()}
+    assert sorted(got) == [(1, 0), (2, 0)] and got[2, 0] > 2.5
+
+
+@pytest.mark.parametrize("least", [None, 1.6])
+def test_indexed_turns_give_the_same_links(monkeypatch, least):
+    rng = random.Random(5)
+    found, names = [], ("channel", "chunk", "turn_id", "speaker", "content", "received_at", "halo")
+    for turn, n in enumerate([1, 60, 3, 90, 40, 1, 1, 70, 2, 30, 1, 50]):
+        texts = ["".join(rng.choice("腹痛胀头晕多久Aa ") for _ in range(rng.randrange(8))) for _ in range(n)]
+        texts = [t + rng.choice(["", "", "医生", "您说", f"“{rng.choice('腹痛胀')}{rng.choice('头晕多')}”"]) for t in texts]
+        own = {(rng.choice(["doctor", "patient", "system", None]), t or None): rng.choice([None, T, T + timedelta(seconds=rng.randrange(9_000)), T + timedelta(days=40)]) for t in texts}
+        found += [("d", 0, turn, who, text, at, turn == 0) for (who, text), at in sorted(own.items(), key=lambda r: (r[0][0] or "", r[0][1] or ""))]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], names)
+    links = []
+    for listed in (10_000, 32, 1):
+        monkeypatch.setattr(C, "LISTED", listed)
+        links.append([r for b in C._link(iter([batch.slice(0, 77), batch.slice(77)]), least) for r in b.to_pylist()])
+    assert links[0] == links[1] == links[2] and len(links[0]) > 300
+
+
 def test_empty_table(spark):
     links = C.reply_links(spark.createDataFrame([], DDL), "dialogue_id")
     assert links.count() == C.dialogue_defects(links, "dialogue_id").count() == C.conversations(links, "dialogue_id").count() == 0
