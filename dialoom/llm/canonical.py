@@ -128,15 +128,14 @@ class Entries:
         near = {name} & self.codes.keys() or {a for _, a in self.mentions(name)[:1]} | {a for _, a in (self.similar(name) if len(name) <= LONGEST_NAME else [])}
         return [(a, c) for a in near for c in self.codes[a]]
 
-    def code(self, name: str, hint: str) -> tuple[str | None, str, float]:
-        """Code, way (exact, mention, similar, none) and confidence of a name in comparison form."""
+    def code(self, name: str, hinted: set[str]) -> tuple[str | None, str, float]:
+        """Code, way (exact, mention, similar, none) and confidence of a name in comparison form; ``hinted``: codes of its hint."""
         if not name:
             return None, "none", 0.0
 
         def pick(aliases: list[str]) -> str:
             codes = set().union(*(self.codes[a] for a in aliases))
-            hinted = codes & self.codes.get(hint, set())
-            return min(hinted or codes)
+            return min(codes & hinted or codes)
 
         if name in self.codes:
             return pick([name]), "exact", 1.0
@@ -158,20 +157,25 @@ class Entries:
             return None, "none", 0.0
         least = min(c for c, _ in nearest)
         best = [a for c, a in nearest if c <= least + 1e-9]
-        hinted = [a for a in best if self.codes[a] & self.codes.get(hint, set())]
-        longest = max(len(a) for a in hinted or best)
-        return pick([a for a in hinted or best if len(a) == longest]), way, 1 / (1 + least)
+        best = [a for a in best if self.codes[a] & hinted] or best
+        longest = max(len(a) for a in best)
+        return pick([a for a in best if len(a) == longest]), way, 1 / (1 + least)
 
 
 def _without_extras(name: str | None) -> str | None:
     return name and (_AMOUNT.sub("", _ASIDE.sub("", name)) or name)
 
 
-def _choose(entries: Entries | None, name: str | None, hint: str | None, chinese: dict[int, str]) -> tuple[str | None, str, float]:
+def _choose(entries: Entries | None, name: str | None, hinted: set[str], chinese: dict[int, str]) -> tuple[str | None, str, float]:
     if entries is None:
         return None, "none", 0.0
-    whole, rough = key(name, chinese), key(hint, chinese)
-    return entries.code(whole if whole in entries.codes else key(_without_extras(fold(name)), chinese), rough)
+    whole = key(name, chinese)
+    return entries.code(whole if whole in entries.codes else key(_without_extras(fold(name)), chinese), hinted)
+
+
+def _hinted(entries: Entries | None, hint: str | None, chinese: dict[int, str]) -> set[str]:
+    """Codes of the entries that a hint stands for."""
+    return entries.codes.get(key(hint, chinese), set()) if entries else set()
 
 
 def _indexed(rows: list[tuple[str, str, str]], chinese: dict[int, str]) -> dict[str, Entries]:
@@ -185,7 +189,7 @@ def _match(batches: Iterator[pa.RecordBatch], rows: list[tuple[str, str, str]],
     entries = _indexed(rows, chinese)
     for batch in batches:
         kinds, names, hints = (batch.column(c).to_pylist() for c in ("type", "name", "hint"))
-        found = [_choose(entries.get(k), n, h, chinese) for k, n, h in zip(kinds, names, hints, strict=True)]
+        found = [_choose(own := entries.get(k), n, _hinted(own, h, chinese), chinese) for k, n, h in zip(kinds, names, hints, strict=True)]
         columns = [pa.array([f[n] for f in found], kind) for n, kind in enumerate((pa.string(), pa.string(), pa.float64()))]
         yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "code", "way", "confidence"])
 
@@ -193,19 +197,22 @@ def _match(batches: Iterator[pa.RecordBatch], rows: list[tuple[str, str, str]],
 def _rivals(batches: Iterator[pa.RecordBatch], rows: list[tuple[str, str, str]], chinese: dict[int, str]) -> Iterator[pa.RecordBatch]:
     entries = _indexed(rows, chinese)
     for batch in batches:
-        kinds, names = (batch.column(c).to_pylist() for c in ("type", "name"))
+        kinds, names, hints = (batch.column(c).to_pylist() for c in ("type", "name", "hint"))
         out = []
-        for kind, name in zip(kinds, names, strict=True):
+        for kind, name, hint in zip(kinds, names, hints, strict=True):
             own = entries.get(kind)
             forms = {key(name, chinese), key(_without_extras(fold(name)), chinese)}
-            out.append(sorted({f"{a}\t{c}" for f in forms for a, c in own.rivals(f)}) if own else [])
+            rivals = {f"{a}\t{c}" for f in forms for a, c in own.rivals(f)} if own else set()
+            # no alias is empty: these are the codes of the hint, which is no rival by itself
+            out.append(sorted(rivals | {f"\t{c}" for c in _hinted(own, hint, chinese)}))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.string()))], [*batch.schema.names, "rivals"])
 
 
 def _decide(batches: Iterator[pa.RecordBatch], chinese: dict[int, str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names, hints, rivals = (batch.column(c).to_pylist() for c in ("name", "hint", "rivals"))
-        found = [_choose(Entries([tuple(x.split("\t")) for x in own]), n, h, chinese) for n, h, own in zip(names, hints, rivals, strict=True)]
+        names, rivals = (batch.column(c).to_pylist() for c in ("name", "rivals"))
+        pairs = [[tuple(x.split("\t")) for x in own] for own in rivals]
+        found = [_choose(Entries(own), n, {c for a, c in own if not a}, chinese) for n, own in zip(names, pairs, strict=True)]
         columns = [pa.array([f[n] for f in found], kind) for n, kind in enumerate((pa.string(), pa.string(), pa.float64()))]
         kept = [c for c in batch.schema.names if c != "rivals"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], [*kept, "code", "way", "confidence"])

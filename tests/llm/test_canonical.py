@@ -34,6 +34,15 @@ def test_hints_settle_ties(spark):
     assert coded(spark, [("disease", "旧称4号症", "旧称4号症")])["disease", "旧称4号症", "旧称4号症"] == ("D1", "exact")
 
 
+def test_hints_settle_ties_in_blocks(spark):
+    entries = spark.createDataFrame([("symptom", "旧称4号症", "D1"), ("symptom", "旧称4号症", "D2"), ("symptom", "水肿", "D2"), *(("symptom", f"别名{n}", f"X{n}") for n in range(20))], "type string, alias string, code string")
+    names = [("symptom", "旧称4号症", "水肿"), ("symptom", "旧称4号症", None), ("symptom", "那个旧称4号症", "水肿"), ("symptom", "头晕", "水肿")]
+    df = spark.createDataFrame(names, "type string, name string, hint string")
+    for block in (C.BLOCK_ENTRIES, 6):
+        got = {(r["name"], r["hint"]): r["code"] for r in C.map_names(df, entries, block).collect()}
+        assert [got[n[1:]] for n in names] == ["D2", "D1", "D2", None]
+
+
 def test_long_names_and_empty_lists(spark):
     long = "说不清楚" * 50_000 + "里急后重" + "没有" * 1000
     assert coded(spark, [("symptom", long, None)])["symptom", long, None] == ("S4", "mention")
