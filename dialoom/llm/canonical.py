@@ -6,8 +6,8 @@ token-set similarity, and the nearest entries are aligned with the name to the l
 
 Defined results: a null or blank name has no entry; among equally near entries the one that the hint (a rough
 canonical name) stands for counts, then the longer alias, then the smaller code; repeated rows are mapped alike;
-in a name
-of more than ``LONGEST_NAME`` characters, which is a text, the longest mention counts; extra columns pass through; an empty list maps nothing.
+a name of more than ``PIECE`` characters, which is a text, is compared in overlapping pieces; extra columns pass
+through; an empty list maps nothing.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ BLOCK_ENTRIES = 50_000
 #: Least token-set similarity of a name to an entry, and most edits inside the aligned part, as a share of the alias.
 SIMILARITY = 0.5
 EDITS = 0.34
-#: Characters beyond which a name is a text, whose longest mention counts, and isn't compared as a whole.
-LONGEST_NAME = 200
+#: Characters of a piece in which a longer name is compared; a multiple for aliases that don't fit into half of it.
+PIECE = 200
 #: Cost of words before or after the aligned part, in edits.
 AFFIX = 0.4
 
@@ -52,13 +52,14 @@ def tokens(text: str) -> set[str]:
     return set(text) | {text[i : i + 2] for i in range(len(text) - 1)}
 
 
-def aligned(name: str, alias: str, most: float) -> float:
+def aligned(name: str, alias: str, most: float, first: bool = True, last: bool = True) -> float:
     """Least edits (insertion, deletion, change, swap of neighbours) that turn a part of ``name`` into ``alias``.
 
-    Words before and after the part cost ``AFFIX`` each. Infinite beyond ``most``.
+    Words before and after the part cost ``AFFIX`` each; if ``name`` is not the ``first`` or ``last`` piece of a text,
+    there are some in any case. Infinite beyond ``most``.
     """
     n = len(name)
-    before = [0.0] + [AFFIX] * n
+    before = [0.0 if first else AFFIX] + [AFFIX] * n
     older: list[float] = []
     for i, a in enumerate(alias, 1):
         row = [float(i)]
@@ -70,10 +71,23 @@ def aligned(name: str, alias: str, most: float) -> float:
         if min(row) > most:
             return float("inf")
         older, before = before, row
-    cost = min(x + AFFIX * (j < n) for j, x in enumerate(before))
+    cost = min(x + AFFIX * (j < n or not last) for j, x in enumerate(before))
     return cost if cost <= most else float("inf")
 
 
+def most_edits(alias: str) -> float:
+    """Most cost at which a part of a name is aligned with ``alias``."""
+    return max(1.0, EDITS * len(alias)) + 2 * AFFIX
+
+
+def piece_size(alias: str) -> int:
+    """Characters of the pieces in which ``alias`` is looked for; half of one holds the alias with its edits."""
+    size = PIECE
+    while size < 2 * (len(alias) + most_edits(alias)):
+        size *= 2
+    return size
+
+
 class Entries:
     """The automaton and the token index of the entries of one type."""
 
@@ -84,6 +98,7 @@ class Entries:
                 self.codes[alias].add(code)
         self.aliases = sorted(self.codes)
         self.sizes = [len(tokens(a)) for a in self.aliases]
+        self.pieces = [piece_size(a) for a in self.aliases]
         self.index: dict[str, list[int]] = defaultdict(list)
         self.automaton = ahocorasick.Automaton()
         for k, alias in enumerate(self.aliases):
@@ -105,27 +120,40 @@ class Entries:
         return taken
 
     def similar(self, name: str) -> list[tuple[float, str]]:
-        """Entries of at least the least token-set similarity, each with its edits and what is left over of the name."""
+        """Entries of at least the least token-set similarity, each with its edits and what is left over of the name.
+
+        A long name is cut into pieces that overlap by half, so that one of them holds any part that is like an alias.
+        """
+        least: dict[str, float] = {}
+        for size in sorted(set(self.pieces)):
+            starts = range(0, max(len(name) - size // 2, 1), size // 2)
+            # repeated pieces of a text are alike, except for its ends
+            for piece, first, last in {(name[n : n + size], n == 0, n + size >= len(name)) for n in starts}:
+                for cost, alias in self._similar(piece, size, first, last):
+                    least[alias] = min(cost, least.get(alias, cost))
+        return [(cost, alias) for alias, cost in least.items()]
+
+    def _similar(self, name: str, size: int, first: bool, last: bool) -> list[tuple[float, str]]:
         own = tokens(name)
         shared: Counter[int] = Counter()
         for token in own:
             shared.update(self.index.get(token, ()))
         out = []
         for k, n in shared.items():
-            if n < SIMILARITY * 0.7 * min(len(own), self.sizes[k]):
+            if self.pieces[k] != size or n < SIMILARITY * 0.7 * min(len(own), self.sizes[k]):
                 continue
             alias = self.aliases[k]
             chars = set(alias)
             if len(chars & set(name)) < SIMILARITY * len(chars):
                 continue
-            cost = aligned(name, alias, max(1.0, EDITS * len(alias)) + 2 * AFFIX)
+            cost = aligned(name, alias, most_edits(alias), first, last)
             if cost < float("inf"):
                 out.append((cost, alias))
         return out
 
     def rivals(self, name: str) -> list[tuple[str, str]]:
         """All entries, as alias and code, that the choice for ``name`` is made from."""
-        near = {name} & self.codes.keys() or {a for _, a in self.mentions(name)[:1]} | {a for _, a in (self.similar(name) if len(name) <= LONGEST_NAME else [])}
+        near = {name} & self.codes.keys() or {a for _, a in self.mentions(name)[:1]} | {a for _, a in self.similar(name)}
         return [(a, c) for a in near for c in self.codes[a]]
 
     def code(self, name: str, hinted: set[str]) -> tuple[str | None, str, float]:
@@ -141,7 +169,7 @@ class Entries:
             return pick([name]), "exact", 1.0
         nearest: list[tuple[float, str]] = [(AFFIX * ((s > 0) + (s + len(a) < len(name))), a) for s, a in self.mentions(name)[:1]]
         way = "mention" if nearest else "similar"
-        found = self.similar(name) if len(name) <= LONGEST_NAME else []
+        found = self.similar(name)
         if found:
             least = min(c for c, _ in found)
             if not nearest or least < nearest[0][0] or (least <= nearest[0][0] + 1e-9 and max(len(a) for c, a in found if c <= least + 1e-9) > len(nearest[0][1])):

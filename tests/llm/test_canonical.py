@@ -51,6 +51,23 @@ def test_long_names_and_empty_lists(spark):
     assert C.map_names(df, none).first()["code"] is None and C.map_names(df.limit(0), none).count() == 0
 
 
+@pytest.mark.parametrize("words", [40, 60, 94, 95, 96, 97, 98, 99, 100, 150, 5000])
+def test_misspelt_entries_are_found_in_long_names(words):
+    filled = "说不" * words
+    entries = C.Entries([("感染性胃体水肿", "D1"), ("里急后重", "S4")])
+    for name in (filled + "感染性味体水肿" + filled, filled + "感染性味体水肿", "感染性味体水肿" + filled):
+        affixes = C.AFFIX * (name.startswith("说") + name.endswith("不"))
+        assert entries.code(name, set()) == ("D1", "similar", pytest.approx(1 / (2 + affixes)))
+        assert ("感染性胃体水肿", "D1") in entries.rivals(name)
+    assert entries.code(filled, set())[0] is None
+
+
+def test_an_alias_longer_than_half_a_piece_is_found_in_long_names():
+    alias = "".join(chr(0x4E00 + n) for n in range(150))
+    name = "说不" * 200 + alias[:70] + "误" + alias[71:] + "说不" * 200
+    assert C.Entries([(alias, "L"), ("腹痛", "S1")]).code(name, set())[:2] == ("L", "similar")
+
+
 def test_facts_are_coded_once(spark):
     ddl = "dialogue_id string, turn_id int, fact_pos int, type string, name string, normalized_name string, standard_code string, code string, way string"
     rows = [("d", 1, 0, "symptom", "腹痛吧", None, None, "clash", ""), ("d", 1, 0, "symptom", "腹痛吧", None, None, "clash", ""), ("d", 1, 1, "symptom", None, None, None, "", ""), ("d", 2, 0, "symptom", "腹痛", None, "X", "", ""), ("d", 2, 1, "other", "腹痛", None, None, "", "")]
