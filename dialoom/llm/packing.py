@@ -1,8 +1,8 @@
 """Documents packed into training sequences of fixed capacity, sizes in tokens of a public tokenizer.
 
 A dynamic programme over the global histogram of lengths chooses the length buckets that leave the least padding.
-Token-budget batches form bucket by bucket, the longest first; the room that a batch of long items leaves is topped
-up with the longest items of shorter buckets that fit, as batches from one bucket alone would leave it empty.
+By default they don't enter the packing and only label its items: token-budget batches take the longest item that
+fits, whatever its bucket, as batches from one bucket alone (``top_up=False``) leave room empty.
 The plan is made from the histogram, whose size is the capacity and not the corpus; documents find their sequence by
 their number among those of their length.
 
@@ -107,7 +107,7 @@ class Plan:
 
 
 def make_plan(counts: np.ndarray, capacity: int = CAPACITY, buckets: int = BUCKETS, top_up: bool = True) -> Plan:
-    """Batches of whole items within the token budget. ``top_up=False``: each batch has items of one bucket alone."""
+    """Batches of whole items within the token budget, of any bucket. ``top_up=False``: each has items of one bucket alone."""
     left = counts.astype(np.int64).copy()
     bounds = best_buckets(left, buckets)
     bucket_of = np.searchsorted(bounds, np.arange(capacity + 1))
