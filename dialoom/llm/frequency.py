@@ -1,9 +1,14 @@
 """Occurrences and record counts of every distinct term and n-gram, by suffix arrays with common-prefix intervals.
 
-Each task sorts the suffixes of bounded blocks of text. An interval of suffixes with a common prefix gives the
-occurrences of that prefix; taking off the neighbours that come from one record gives the number of records.
-Records lie together after a range partitioning, so that a block counts whole records; only the first and the last
-record of a block may go on elsewhere, and their counts carry the record's id until all blocks are added up.
+Each task works on bounded blocks. A block keeps every distinct term once, with its occurrences; the suffixes of these
+terms are sorted, and neighbouring suffixes with a common prefix of ``n`` characters form the interval of that n-gram.
+A whole term is the n-gram of the term in its frame of two marks that no text has, so that it is read from the same
+intervals. The occurrences of an interval are those of its suffixes' terms; in the order of their records, every
+neighbour from the same record is taken off, which leaves the number of records.
+
+Records lie together after a hash partitioning, so that a block counts whole records. Only the first and the last
+record of a block may go on elsewhere, as do records of more than ``RECORD_ROWS`` rows, which are cut up; their counts
+carry the record's id until all blocks are added up.
 
 Defined results: null and blank terms are left out, null records count as one record, empty tables give no row,
 repeated rows count as often as they are there, terms of any length are whole, extra columns are ignored.
@@ -19,145 +24,236 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.functions.text import strip
+from dialoom.functions.text import BLANKS
 from dialoom.session import table
 
-#: Characters of one block, whose suffix array is held in memory (about 100 bytes a character).
-BLOCK_CHARS = 1 << 20
+#: Characters of the terms of one block.
+BLOCK_CHARS = 1 << 21
+#: Rows of a record from which on it is cut up, and most records that are (those with the most rows).
+RECORD_ROWS = 200_000
+CUT_RECORDS = 10_000
+
+#: Marks around a term in the text of the suffixes, beyond all code points.
+_BEGIN, _END = 0x110001, 0x110000
 
 _SCHEMA = pa.schema([("term", pa.string()), ("record", pa.string()), ("occurrences", pa.int64()), ("records", pa.int64())])
 _DDL = "term string, record string, occurrences long, records long"
 
 
-def prefix_ranks(text: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
-    """Rank of every suffix by its first ``length`` characters, none beyond its sequence's end, by prefix doubling."""
-    at = np.arange(len(text))
-    _, rank = np.unique(text, return_inverse=True)
-    rank = rank.astype(np.int64) + 1
-    done = 1
-    while done < length:
-        nxt = at + done
-        inside = nxt < ends
-        second = np.where(inside, rank[np.minimum(nxt, len(text) - 1)], 0)
-        _, new = np.unique(rank * (rank.max() + 1) + second, return_inverse=True)
-        new = new.astype(np.int64) + 1
-        done *= 2
-        if new.max() == rank.max():  # all that differ are told apart already
-            return new
-        rank = new
-    return rank
-
-
-def common_prefix(text: np.ndarray, ends: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """Length of the common prefix of each suffix in ``order`` with the one before it, ``length`` at most."""
-    lcp = np.zeros(len(order), dtype=np.int32)
-    if len(order) < 2:
+class Suffixes:
+    """The suffix array of distinct terms, each in its frame, with the common prefixes of neighbours."""
+
+    def __init__(self, terms: list[str], whole: bool) -> None:
+        """``whole``: only the suffixes that begin with a frame are sorted, from which whole terms are read."""
+        lengths = np.array([len(t) for t in terms], dtype=np.int64)
+        stops = np.cumsum(lengths + 2)
+        self.begins = stops - lengths - 2
+        self.text = np.full(int(stops[-1]), _END, dtype=np.uint32)
+        inner = np.ones(len(self.text), dtype=bool)
+        inner[self.begins] = inner[stops - 1] = False
+        self.text[self.begins] = _BEGIN
+        self.text[inner] = np.frombuffer("".join(terms).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        self.term = np.repeat(np.arange(len(terms)), lengths + 2)
+        # a frame's end belongs to whole terms alone: an n-gram ends before it
+        self.ends = np.repeat(stops if whole else stops - 1, lengths + 2)
+        levels = self._ranks(int((lengths + 2).max()))
+        spots = self.begins if whole else np.flatnonzero(inner)
+        self.order = spots[np.argsort(levels[-1][spots], kind="stable")]
+        self.lcp = self._common_prefixes(levels)
+
+    def _ranks(self, length: int) -> list[np.ndarray]:
+        """Rank of every suffix by its first 1, 2, 4, … characters, none beyond its end, until all that differ are told apart."""
+        at = np.arange(len(self.text))
+        levels, done = [np.unique(self.text, return_inverse=True)[1].astype(np.int64) + 1], 1
+        while done < length:
+            rank, nxt = levels[-1], at + done
+            second = np.where(nxt < self.ends, rank[np.minimum(nxt, len(rank) - 1)], 0)
+            new = np.unique(rank * (rank.max() + 1) + second, return_inverse=True)[1].astype(np.int64) + 1
+            levels.append(new)
+            done *= 2
+            if new.max() == rank.max():
+                break
+        return levels
+
+    def _common_prefixes(self, levels: list[np.ndarray]) -> np.ndarray:
+        """Characters that each suffix of the order has in common with the one before it."""
+        lcp = np.zeros(len(self.order), dtype=np.int64)
+        a, b = self.order[:-1].copy(), self.order[1:].copy()
+        for k in range(len(levels) - 1, -1, -1):
+            # the top level may be passed several times, as ranks end where all that differ are told apart
+            while True:
+                inside = (a < self.ends[self.order[:-1]]) & (b < self.ends[self.order[1:]])
+                last = len(self.text) - 1
+                same = inside & (levels[k][np.minimum(a, last)] == levels[k][np.minimum(b, last)])
+                step = np.where(same, np.minimum(1 << k, self.ends[self.order[:-1]] - a), 0)
+                lcp[1:] += step
+                a += step
+                b += step
+                if k < len(levels) - 1 or not same.any():
+                    break
         return lcp
-    a, b = order[:-1].copy(), order[1:].copy()
-    same = np.arange(len(a))
-    for n in range(length):
-        x, y = a[same] + n, b[same] + n
-        inside = (x < ends[a[same]]) & (y < ends[b[same]])
-        equal = inside & (text[np.minimum(x, len(text) - 1)] == text[np.minimum(y, len(text) - 1)])
-        same = same[equal]
-        if not len(same):
-            break
-        lcp[same + 1] = n + 1
-    return lcp
-
-
-def interval_counts(group: np.ndarray, record: np.ndarray, spot: np.ndarray, is_open: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Spot, open record (-1: closed ones together), occurrences and records of each interval ``group``.
-
-    Within an interval the suffixes are in the order of their records, so that those of one record are neighbours.
-    """
-    by = np.lexsort((record, group))
-    group, record, spot = group[by], record[by], spot[by]
-    part = np.where(is_open[record], record, -1)
-    new_record = np.r_[True, (group[1:] != group[:-1]) | (record[1:] != record[:-1])]  # else a duplicate adjacency
-    key = np.lexsort((part, group))
-    g, p = group[key], part[key]
-    starts = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (p[1:] != p[:-1])])
-    occurrences = np.diff(np.r_[starts, len(g)])
-    records = np.add.reduceat(new_record[key].astype(np.int64), starts)
-    return spot[key][starts], p[starts], occurrences, records
-
-
-def _block(records: list[str | None], owner: np.ndarray, terms: list[str], max_n: int | None) -> Iterator[pa.RecordBatch]:
-    lengths = np.array([len(t) for t in terms], dtype=np.int64)
-    joined = "".join(terms)
-    text = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    stops = np.cumsum(lengths)
-    starts = stops - lengths
-    ends = np.repeat(stops, lengths)
-    is_open = np.zeros(len(records), dtype=bool)
-    is_open[[0, -1]] = True
-
-    def rows(spot: np.ndarray, part: np.ndarray, occurrences: np.ndarray, counts: np.ndarray, until: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for k in range(0, len(spot), 50_000):
-            s = slice(k, k + 50_000)
-            texts = [joined[a:b] for a, b in zip(spot[s].tolist(), until[s].tolist(), strict=True)]
-            # a null record is told from the closed ones by its mark
-            ids = [None if p < 0 else "n" if records[p] is None else "r" + records[p] for p in part[s].tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(ids, pa.string()), pa.array(occurrences[s]), pa.array(counts[s])], schema=_SCHEMA)
-
-    if max_n is None:  # whole terms: the suffixes that begin where a term begins
-        rank = prefix_ranks(text, ends, int(lengths.max()))
-        found = interval_counts(rank[starts], owner, starts, is_open)
-        yield from rows(*found, ends[found[0]])
+
+    def intervals(self, n: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The suffixes that have ``n`` characters (one number, or one a suffix of the order) and the interval of each."""
+        long = self.order + n <= self.ends[self.order]
+        group = np.cumsum(self.lcp < n)[long]
+        return self.order[long], np.cumsum(np.r_[False, group[1:] != group[:-1]][: len(group)])
+
+
+class Occurrences:
+    """Where the distinct terms of a block occur: the records of each one's occurrences."""
+
+    def __init__(self, codes: np.ndarray, records: np.ndarray, terms: int) -> None:
+        by = np.argsort(codes, kind="stable")
+        self.records = records[by]
+        self.counts = np.bincount(codes, minlength=terms)
+        self.first = np.cumsum(self.counts) - self.counts
+
+    def of(self, group: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Interval and record of every occurrence of the suffixes of the intervals ``group``, in that order."""
+        n = self.counts[term]
+        spots = np.repeat(self.first[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        size = int(self.records.max()) + 1
+        # sorted, so that the occurrences from one record are neighbours
+        key = np.sort(np.repeat(group, n) * size + self.records[spots])
+        return key // size, key % size
+
+
+def interval_counts(group: np.ndarray, record: np.ndarray, is_open: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Interval, open record (-1: closed ones together), occurrences and records, of sorted occurrences."""
+    # the duplicate adjacencies: neighbours from one record
+    again = np.r_[False, (group[1:] == group[:-1]) & (record[1:] == record[:-1])]
+    closed = ~is_open[record]
+    size = int(group.max()) + 1
+    occurrences = np.bincount(group[closed], minlength=size)
+    records = occurrences - np.bincount(group[closed & again], minlength=size)
+    some = np.flatnonzero(occurrences)
+    starts = np.flatnonzero(~again)
+    times = np.diff(np.r_[starts, len(group)])
+    mine = is_open[record[starts]]
+    ones = starts[mine]
+    return (
+        np.r_[some, group[ones]],
+        np.r_[np.full(len(some), -1), record[ones]],
+        np.r_[occurrences[some], times[mine]],
+        np.r_[records[some], np.ones(len(ones), dtype=np.int64)],
+    )
+
+
+def _block(record: pa.Array, cut_up: np.ndarray, lists: pa.Array, tag: int, max_n: int | None) -> Iterator[pa.RecordBatch]:
+    flat = pc.list_flatten(lists)
+    row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+    distinct = flat.dictionary_encode()
+    codes = pc.fill_null(distinct.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    terms = distinct.dictionary.to_pylist()
+    kept = np.array([bool(t[tag:].strip(BLANKS)) for t in terms] + [False])
+    row, codes = row[kept[codes]], codes[kept[codes]]
+    if not len(codes):
         return
-    rank = prefix_ranks(text, ends, max_n)
-    who = np.repeat(owner, lengths)
-    order = np.argsort(rank, kind="stable")
-    lcp = common_prefix(text, ends, order, max_n)
-    for n in range(1, max_n + 1):
-        group = np.cumsum(lcp < n)
-        whole = order + n <= ends[order]
-        if not whole.any():
-            return
-        spots = order[whole]
-        found = interval_counts(group[whole], who[spots], spots, is_open)
-        yield from rows(*found, found[0] + n)
-
-
-def _count(batches: Iterator[pa.RecordBatch], max_n: int | None) -> Iterator[pa.RecordBatch]:
-    records: list[str | None] = []
-    owner: list[np.ndarray] = []
-    terms: list[str] = []
+    # records in the order of their rows; a null record is one
+    known = record.dictionary_encode()
+    names = [*known.dictionary.to_pylist(), None]
+    own = pc.fill_null(known.indices, len(names) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+    is_open = np.zeros(len(names), dtype=bool)
+    is_open[[own[0], own[-1]]] = True
+    is_open[own[cut_up]] = True
+    record_of = own[row]
+
+    def rows(texts: pa.Array, found: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+        _, part, occurrences, records = found
+        ids = pa.array([None if p < 0 else "n" if names[p] is None else "r" + names[p] for p in part.tolist()], pa.string())
+        whole = pa.RecordBatch.from_arrays([texts, ids, pa.array(occurrences), pa.array(records)], schema=_SCHEMA)
+        for k in range(0, whole.num_rows, 50_000):
+            yield whole.slice(k, 50_000)
+
+    # terms of one tag are one text
+    used, codes = np.unique(codes, return_inverse=True)
+    used_terms = [terms[k] for k in used.tolist()]
+    tags: dict[str, list[int]] = {}
+    for k, term in enumerate(used_terms):
+        tags.setdefault(term[:tag], []).append(k)
+    place = np.zeros(len(used), dtype=np.int64)
+    label = np.zeros(len(used), dtype=np.int64)
+    for n, (_, mine) in enumerate(tags.items()):
+        place[mine], label[mine] = np.arange(len(mine)), n
+    for n, (mark, mine) in enumerate(tags.items()):
+        here = label[codes] == n
+        own_terms = [used_terms[k][tag:] for k in mine]
+        spread = Occurrences(place[codes[here]], record_of[here], len(mine))
+        suffixes = Suffixes(own_terms, whole=max_n is None)
+        if max_n is None:
+            spots, group = suffixes.intervals(suffixes.ends[suffixes.order] - suffixes.order)
+            term_of = np.zeros(int(group.max()) + 1, dtype=np.int64)
+            term_of[group] = suffixes.term[spots]
+            found = interval_counts(*spread.of(group, suffixes.term[spots]), is_open)
+            yield from rows(pa.array([mark + own_terms[k] for k in term_of[found[0]].tolist()], pa.string()), found)
+            continue
+        joined = "".join(own_terms)
+        for size in range(1, min(max_n, max(map(len, own_terms))) + 1):
+            spots, group = suffixes.intervals(size)
+            if not len(spots):
+                break
+            found = interval_counts(*spread.of(group, suffixes.term[spots]), is_open)
+            begin = np.zeros(int(group.max()) + 1, dtype=np.int64)
+            begin[group] = spots - 2 * suffixes.term[spots] - 1  # the place without the frames
+            yield from rows(pa.array([mark + joined[a : a + size] for a in begin[found[0]].tolist()], pa.string()), found)
+
+
+def _count(batches: Iterator[pa.RecordBatch], tag: int, max_n: int | None) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
     chars = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        record, cut_up, lists = (rows.column(c).combine_chunks() for c in ("record", "cut_up", "terms"))
+        yield from _block(record, cut_up.to_numpy(zero_copy_only=False), lists, tag, max_n)
+
     for batch in batches:
-        lists = batch.column(1)
-        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        for k, (record, n) in enumerate(zip(batch.column(0).to_pylist(), counts.tolist(), strict=True)):
-            if not n:
-                continue
-            if not records or records[-1] != record:
-                records.append(record)
-            owner.append(np.full(n, len(records) - 1))
-            own = lists[k].as_py()
-            terms += own
-            chars += sum(map(len, own))
+        if not batch.num_rows:
+            continue
+        lists = batch.column("terms")
+        length = pc.fill_null(pc.utf8_length(pc.list_flatten(lists)), 0).to_numpy(zero_copy_only=False)
+        upto = np.cumsum(np.bincount(pc.list_parent_indices(lists).to_numpy(zero_copy_only=False), length, minlength=batch.num_rows))
+        at = 0
+        while at < batch.num_rows:
+            before = upto[at - 1] if at else 0
+            end = min(int(np.searchsorted(upto, before + BLOCK_CHARS - chars)) + 1, batch.num_rows)
+            held.append(batch.slice(at, end - at))
+            chars += int(upto[end - 1] - before)
+            at = end
             if chars >= BLOCK_CHARS:
-                yield from _block(records, np.concatenate(owner), terms, max_n)
-                records, owner, terms, chars = [], [], [], 0
-    if terms:
-        yield from _block(records, np.concatenate(owner), terms, max_n)
+                yield from flush()
+                held, chars = [], 0
+    if held:
+        yield from flush()
+
+
+def record_sizes(df: DataFrame, record: str) -> tuple[int, dict[str | None, int]]:
+    """How many records there are, and the rows of those that are to be cut up."""
+    sizes = df.groupBy(F.col(record).cast("string").alias("record")).agg(F.count("*").alias("n"))
+    records, most = sizes.agg(F.count("record"), F.coalesce(F.max("n"), F.lit(0))).first()
+    large = sizes.where(F.col("n") > RECORD_ROWS).orderBy(F.desc("n")).limit(CUT_RECORDS).collect() if most > RECORD_ROWS else []
+    return records, {r["record"]: r["n"] for r in large}
 
 
-def term_frequencies(df: DataFrame, record: str, terms: str | Column, spread: list[str] = (), max_n: int | None = None) -> DataFrame:
+def term_frequencies(df: DataFrame, record: str, terms: str | Column, max_n: int | None = None, tag: int = 0, large: dict[str | None, int] | None = None) -> DataFrame:
     """``term, occurrences, records`` of every distinct entry of the array ``terms``, or with ``max_n`` of every
     run of up to so many characters inside the entries.
 
-    ``spread``: further columns of the range partitioning. A record with any share of all rows is cut up by them and by
-    the place of the rows.
+    ``tag``: so many first characters of every entry name its kind; they stand before every term, and runs of
+    different kinds are counted apart. ``large``: the records to be cut up, by :func:`record_sizes` if not given. A
+    record with any share of all rows, or any number of copies of one row, is cut up by the place of its rows.
     """
-    keys = {"__record": F.col(record).cast("string")} | {f"__spread{n}": F.col(c) for n, c in enumerate(spread)}
-    # the last key cuts up copies of one row, however many
-    rows = df.withColumns(keys | {"__row": F.monotonically_increasing_id()}).repartitionByRange(*keys, "__row").sortWithinPartitions("__record")
-    # terms are made after the shuffle, as the sampling of the ranges goes over what is before it, too
-    kept = F.filter(terms, lambda t: F.coalesce(strip(t) != "", F.lit(False)))
-    rows = rows.select(F.col("__record").alias("record"), kept.alias("terms")).where(F.size("terms") > 0)
-    blocks = rows.mapInArrow(lambda batches: _count(batches, max_n), _DDL)
+    if large is None:
+        large = record_sizes(df, record)[1]
+    name = F.col(record).cast("string")
+    shares = F.lit(1)
+    for own, n in large.items():
+        shares = F.when(name.eqNullSafe(F.lit(own)), -(-n // RECORD_ROWS)).otherwise(shares)
+    cut_up, share = (shares > 1), (F.pmod(F.monotonically_increasing_id(), shares) if large else F.lit(0))
+    rows = df.select(name.alias("record"), cut_up.alias("cut_up"), share.alias("share"), (F.col(terms) if isinstance(terms, str) else terms).alias("terms"))
+    rows = rows.repartition("record", "share").sortWithinPartitions("record").drop("share")
+    blocks = rows.mapInArrow(lambda batches: _count(batches, tag, max_n), _DDL)
     whole = blocks.groupBy("term", "record").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
     counted = F.when(F.col("record").isNull(), F.col("records")).otherwise(F.lit(1))
     return whole.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum(counted).alias("records"))
@@ -168,22 +264,24 @@ FIELDS = ["normalized_name", "attribute_key", "attribute_value"]
 
 def fact_terms() -> Column:
     """The terms of a fact, each behind the number of its field in ``FIELDS``."""
+    none = F.array().cast("array<string>")
+    values = F.split(F.array_join(F.map_values("attribute"), "；"), "；")
+    name = F.array(F.concat(F.lit("0"), F.col("normalized_name")))
+    keys = F.transform(F.coalesce(F.map_keys("attribute"), none), lambda t: F.concat(F.lit("1"), t))
+    return F.concat(name, keys, F.transform(F.coalesce(values, none), lambda t: F.concat(F.lit("2"), t)))
 
-    def tagged(values: Column, k: int) -> Column:
-        kept = F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda t: F.coalesce(strip(t) != "", F.lit(False)))
-        return F.transform(kept, lambda t: F.concat(F.lit(str(k)), t))
 
-    values = F.flatten(F.transform(F.map_values("attribute"), lambda v: F.split(F.coalesce(v, F.lit("")), "；")))
-    return F.concat(tagged(F.array("normalized_name"), 0), tagged(F.map_keys("attribute"), 1), tagged(values, 2))
+def _field_and(out: str) -> list[Column]:
+    """The field that a tagged term is of, and the term."""
+    return [F.get(F.array(*map(F.lit, FIELDS)), F.substring("term", 1, 1).cast("int")).alias("field"), F.substr("term", F.lit(2)).alias(out)]
 
 
 def marked_frequencies(facts: DataFrame, rare: int = 2, common: float = 0.05) -> DataFrame:
     """``field, term, occurrences, dialogues, mark`` of all terms of the facts; mark is rare, common or null."""
-    total = facts.select(F.count_distinct("dialogue_id")).first()[0]
-    counts = term_frequencies(facts.select("dialogue_id", "turn_id", "normalized_name", "attribute"), "dialogue_id", fact_terms(), ["turn_id"])
-    field = F.get(F.array(*map(F.lit, FIELDS)), F.substring("term", 1, 1).cast("int"))
+    total, large = record_sizes(facts, "dialogue_id")
+    counts = term_frequencies(facts, "dialogue_id", fact_terms(), tag=1, large=large)
     mark = F.when(F.col("records") <= rare, "rare").when(F.col("records") >= F.lit(common) * total, "common")
-    return counts.select(field.alias("field"), F.substr("term", F.lit(2)).alias("term"), "occurrences", F.col("records").alias("dialogues"), mark.alias("mark"))
+    return counts.select(*_field_and("term"), "occurrences", F.col("records").alias("dialogues"), mark.alias("mark"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,10 +294,14 @@ def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked_frequencies(table(spark, sf_dir, "facts"))
 
 
+#: Longer runs of a text are counted only on demand: their number grows with the square of its length.
+LONGEST_RUN = 64
+
+
 def p5_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Occurrences and dialogues of all runs of up to four characters of the normalized names."""
-    facts = table(spark, sf_dir, "facts").select("dialogue_id", "turn_id", F.array("normalized_name").alias("terms"))
-    return term_frequencies(facts, "dialogue_id", "terms", ["turn_id"], max_n=4).withColumnsRenamed({"term": "ngram", "records": "dialogues"})
+    """Occurrences and dialogues of all runs of up to ``LONGEST_RUN`` characters of the terms of the facts, by field."""
+    counts = term_frequencies(table(spark, sf_dir, "facts"), "dialogue_id", fact_terms(), max_n=LONGEST_RUN, tag=1)
+    return counts.select(*_field_and("ngram"), "occurrences", F.col("records").alias("dialogues"))
 
 
 _TERMS_SQL = """
@@ -218,10 +320,11 @@ QUERIES = {"p5_found": p5_found, "p5_counts": p5_counts, "p5_ngrams": p5_ngrams}
 ORACLE_SQL = {
     "p5_found": _TERMS_SQL + "SELECT field, term, mark FROM marked WHERE mark IS NOT NULL",
     "p5_counts": _TERMS_SQL + "SELECT field, term, occurrences, dialogues, mark FROM marked",
-    "p5_ngrams": """
-SELECT ngram, count(*) AS occurrences, count(DISTINCT dialogue_id) AS dialogues
-FROM (SELECT dialogue_id, unnest(list_transform(range(1, length(t) - n + 2), lambda i: array_slice(t, i, i + n - 1))) AS ngram
-      FROM (SELECT dialogue_id, normalized_name AS t FROM facts WHERE trim(normalized_name) <> ''), range(1, 5) AS r(n) WHERE length(t) >= n)
-GROUP BY ngram
+    "p5_ngrams": _TERMS_SQL
+    + f"""
+SELECT field, ngram, count(*) AS occurrences, count(DISTINCT dialogue_id) AS dialogues
+FROM (SELECT field, dialogue_id, unnest(list_transform(range(1, length(term) - n + 2), lambda i: array_slice(term, i, i + n - 1))) AS ngram
+      FROM (SELECT * FROM terms WHERE term IS NOT NULL AND NOT regexp_full_match(term, '[\\s\\p{{Z}}\\p{{Cf}}]*')), range(1, {LONGEST_RUN + 1}) AS r(n) WHERE length(term) >= n)
+GROUP BY ALL
 """,
 }
