@@ -20,7 +20,8 @@ def strip(text: Column | str) -> Column:
 
 def is_visible(text: Column | str) -> Column:
     """Whether ``text`` has visible text; false for null."""
-    return F.coalesce(F.length(F.regexp_replace(text, r"(?U)[\s\p{Z}\p{C}\u034f\u115f\u1160\u3164\ufe00-\ufe0f\uffa0]", "")) > 0, F.lit(False))
+    own = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(own.rlike(r"(?U)[^\s\p{Z}\p{C}\u034f\u115f\u1160\u3164\ufe00-\ufe0f\uffa0]"), F.lit(False))
 
 
 # The normalisers below differ on purpose and are not interchangeable.
