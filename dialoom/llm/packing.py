@@ -1,9 +1,9 @@
 """Documents packed into training sequences of fixed capacity, sizes in tokens of a public tokenizer.
 
 A dynamic programme over the global histogram of lengths chooses the length buckets that leave the least padding.
-By default they don't enter the packing and only label its items: token-budget batches take the longest item that
-fits, whatever its bucket, as batches from one bucket alone (``top_up=False``) leave room empty.
-The plan is made from the histogram, whose size is the capacity and not the corpus; documents find their sequence by
+Token-budget batches form inside each bucket, from the longest on, as long as they leave next to no room (``SLACK``);
+the items of the bucket that are left over are topped up with shorter ones, the longest that fits first, as batches
+from one bucket alone (``top_up=False``) would leave room empty. The plan is made from the histogram, whose size is the capacity and not the corpus; documents find their sequence by
 their number among those of their length.
 
 Defined results: null and blank texts have no piece, a text longer than the capacity is cut into full pieces and a
@@ -13,9 +13,12 @@ the id, extra columns are ignored, an empty table gives no sequence.
 
 from __future__ import annotations
 
+import base64
+import importlib.util
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,8 @@ from dialoom.session import cut, table
 
 CAPACITY = 4096
 BUCKETS = 12
+#: Share of the capacity that a batch from inside one bucket may leave empty.
+SLACK = 1 / 64
 #: Where the public tokenizers' files lie, and which one counts.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -36,34 +41,36 @@ SHARE_ITEMS = 200_000
 _ENCODER: dict[str, object] = {}
 
 
-def _encoder(path: str):
-    if path not in _ENCODER:
-        import base64
-        import importlib.util
+def vocabulary_file(path: str) -> tuple[str, str, bytes]:
+    """Name, pattern of the pieces and ranks of a tokenizer, read where the files lie: on the driver."""
+    folder, name = path.rsplit("/", 1)
+    spec = importlib.util.spec_from_file_location("own_tokenizers", f"{folder}/__init__.py")
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    return name, module.PATTERN, Path(path).read_bytes()
 
+
+def _encoder(name: str, pattern: str, ranks: bytes):
+    if name not in _ENCODER:
         import tiktoken
 
-        folder, name = path.rsplit("/", 1)
-        spec = importlib.util.spec_from_file_location("own_tokenizers", f"{folder}/__init__.py")
-        module = importlib.util.module_from_spec(spec)
-        spec.loader.exec_module(module)
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _ENCODER[path] = tiktoken.Encoding(name, pat_str=module.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODER[path]
+        table_ = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+        _ENCODER[name] = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=table_, special_tokens={})
+    return _ENCODER[name]
 
 
-def _sizes(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encode = _encoder(path).encode_ordinary
+def _sizes(batches: Iterator[pa.RecordBatch], vocabulary: tuple[str, str, bytes]) -> Iterator[pa.RecordBatch]:
+    encode = _encoder(*vocabulary).encode_ordinary
     for batch in bounded(batches, ["text"]):
         tokens = [len(encode(text)) for text in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64())], ["doc_id", "tokens"])
 
 
 def token_sizes(documents: DataFrame, vocabulary: str = f"{TOKENIZERS}/{VOCABULARY}") -> DataFrame:
-    """``doc_id, tokens`` of every text with visible text."""
+    """``doc_id, tokens`` of every text with visible text; the vocabulary (one file) is sent to the executors."""
     rows = documents.where(is_visible(F.col("text"))).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(lambda batches: _sizes(batches, vocabulary), "doc_id long, tokens long")
+    sent = documents.sparkSession.sparkContext.broadcast(vocabulary_file(vocabulary))
+    return rows.mapInArrow(lambda batches: _sizes(batches, sent.value), "doc_id long, tokens long")
 
 
 def best_buckets(counts: np.ndarray, buckets: int = BUCKETS) -> list[int]:
@@ -106,36 +113,55 @@ class Plan:
     sequences: int
 
 
+def _batch(left: np.ndarray, capacity: int, low: int, high: int) -> tuple[Counter[int], int]:
+    """One batch of items of ``low`` to ``high`` tokens, always as many of the longest that fits, and the room it leaves."""
+    present = np.flatnonzero(left[: high + 1])
+    present = present[np.searchsorted(present, low) :]
+    items: Counter[int] = Counter()
+    room = capacity
+    while True:
+        for size in present[: np.searchsorted(present, room, "right")][::-1].tolist():
+            have = int(left[size]) - items[size]
+            if have > 0:
+                take = min(have, room // size)
+                items[size] += take
+                room -= take * size
+                break
+        else:
+            return items, room
+
+
 def make_plan(counts: np.ndarray, capacity: int = CAPACITY, buckets: int = BUCKETS, top_up: bool = True) -> Plan:
-    """Batches of whole items within the token budget, of any bucket. ``top_up=False``: each has items of one bucket alone."""
+    """Batches of whole items within the token budget: of one bucket where they fill it, of the rest of all buckets.
+
+    ``top_up=False``: each batch has items of one bucket alone, however much room it leaves.
+    """
     left = counts.astype(np.int64).copy()
     bounds = best_buckets(left, buckets)
-    bucket_of = np.searchsorted(bounds, np.arange(capacity + 1))
     used = np.zeros(capacity + 1, dtype=np.int64)
     rows: list[tuple[int, int, int, int, int]] = []
     sequence = 0
-    while (present := np.flatnonzero(left)).size:
-        items: Counter[int] = Counter()
-        room, length = capacity, int(present[-1])
-        low = 0 if top_up or bucket_of[length] == 0 else bounds[bucket_of[length] - 1] + 1
-        while True:
-            fits = present[np.searchsorted(present, low) : np.searchsorted(present, room, "right")]
-            # as many of the longest that fits as there are and fit
-            for size in fits[::-1].tolist():
-                have = int(left[size]) - items[size]
-                if have > 0:
-                    take = min(have, room // size)
-                    items[size] += take
-                    room -= take * size
-                    break
-            else:
-                break
+
+    def take(items: Counter[int]) -> None:
+        """The batch, as often as its items are there."""
+        nonlocal sequence
         times = min(int(left[size]) // n for size, n in items.items())
         for size, n in items.items():
             rows.append((size, int(used[size]), int(used[size]) + n * times, sequence, n))
             used[size] += n * times
             left[size] -= n * times
         sequence += times
+
+    for low, high in reversed(list(zip([1, *(b + 1 for b in bounds)], bounds))):
+        for longest in range(high, low - 1, -1):
+            while left[longest]:
+                items, room = _batch(left, capacity, low, longest)
+                if top_up and room > capacity * SLACK:
+                    break
+                take(items)
+        # the rest of the bucket, before shorter items are used up among themselves
+        while (present := np.flatnonzero(left[low : high + 1])).size:
+            take(_batch(left, capacity, 1, low + int(present[-1]))[0])
     rows.sort()
     cols = np.array(rows, dtype=np.int64).reshape(-1, 5).T
     return Plan(bounds, *cols, sequences=sequence)
@@ -183,12 +209,12 @@ def p7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequences and empty room of the packing, and of the one by buckets alone."""
+    """Sequences, how many hold items of one bucket alone, and empty room of the packing, and of the one by buckets alone."""
     sizes = token_sizes(table(spark, sf_dir, "documents"))
     out = None
     for way, top_up in (("topped up", True), ("bucket alone", False)):
-        filled = pack(sizes, top_up=top_up).groupBy("sequence").agg(F.sum("tokens").alias("tokens"))
-        one = filled.agg(F.lit(way).alias("way"), F.count("*").alias("sequences"), F.sum("tokens").alias("tokens"), (1 - F.sum("tokens") / (F.count("*") * CAPACITY)).alias("empty"))
+        filled = pack(sizes, top_up=top_up).groupBy("sequence").agg(F.sum("tokens").alias("tokens"), (F.min("bucket") == F.max("bucket")).alias("alike"))
+        one = filled.agg(F.lit(way).alias("way"), F.count("*").alias("sequences"), F.count_if("alike").alias("one_bucket"), F.sum("tokens").alias("tokens"), (1 - F.sum("tokens") / (F.count("*") * CAPACITY)).alias("empty"))
         out = one if out is None else out.unionByName(one)
     return out
 
