@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 import pytest
 
 from dialoom.llm import canonical as C
@@ -57,15 +60,17 @@ def test_misspelt_entries_are_found_in_long_names(words):
     entries = C.Entries([("感染性胃体水肿", "D1"), ("里急后重", "S4")])
     for name in (filled + "感染性味体水肿" + filled, filled + "感染性味体水肿", "感染性味体水肿" + filled):
         affixes = C.AFFIX * (name.startswith("说") + name.endswith("不"))
-        assert entries.code(name, set()) == ("D1", "similar", pytest.approx(1 / (2 + affixes)))
-        assert ("感染性胃体水肿", "D1") in entries.rivals(name)
-    assert entries.code(filled, set())[0] is None
+        similar = entries.similar([name])[0]
+        assert entries.code(name, set(), similar) == ("D1", "similar", pytest.approx(1 / (2 + affixes)))
+        assert ("感染性胃体水肿", "D1") in entries.rivals(name, similar)
+    assert entries.code(filled, set(), entries.similar([filled])[0])[0] is None
 
 
 def test_an_alias_longer_than_half_a_piece_is_found_in_long_names():
     alias = "".join(chr(0x4E00 + n) for n in range(150))
     name = "说不" * 200 + alias[:70] + "误" + alias[71:] + "说不" * 200
-    assert C.Entries([(alias, "L"), ("腹痛", "S1")]).code(name, set())[:2] == ("L", "similar")
+    entries = C.Entries([(alias, "L"), ("腹痛", "S1")])
+    assert entries.code(name, set(), entries.similar([name])[0])[:2] == ("L", "similar")
 
 
 def test_facts_are_coded_once(spark):
@@ -78,4 +83,47 @@ def test_facts_are_coded_once(spark):
 
 @pytest.mark.parametrize(("name", "alias", "cost"), [("腹痛", "腹痛", 0), ("那个腹痛", "腹痛", 0.4), ("那个腹痛吧", "腹痛", 0.8), ("腹疼痛", "腹痛", 1), ("痛腹", "腹痛", 1), ("上腹通", "上腹痛", 1), ("头晕", "腹痛", float("inf"))])
 def test_alignment(name, alias, cost):
-    assert C.aligned(name, alias, 1.8) == pytest.approx(cost)
+    assert C.alignments([name], [alias], np.array([1.8]), np.array([True]), np.array([True]))[0] == pytest.approx(cost)
+
+
+def slow_alignment(name, alias, most, first, last):
+    """The table of edits cell by cell."""
+    before = [0.0 if first else C.AFFIX] + [C.AFFIX] * len(name)
+    older = []
+    for i, a in enumerate(alias, 1):
+        row = [float(i)]
+        for j in range(1, len(name) + 1):
+            best = min(before[j - 1] + (a != name[j - 1]), before[j] + 1, row[j - 1] + 1)
+            if i > 1 and j > 1 and a == name[j - 2] and alias[i - 2] == name[j - 1]:
+                best = min(best, older[j - 2] + 1)
+            row.append(best)
+        older, before = before, row
+    cost = min(x + C.AFFIX * (j < len(name) or not last) for j, x in enumerate(before))
+    return cost if cost <= most + 1e-9 else float("inf")
+
+
+def test_alignments_side_by_side_equal_the_table():
+    rng = random.Random(8)
+    pairs = [("".join(rng.choice("腹痛胀头") for _ in range(rng.randrange(1, 12))), "".join(rng.choice("腹痛胀头") for _ in range(rng.randrange(1, 9))), rng.choice([0.9, 1.8, 3.0]), rng.random() < 0.7, rng.random() < 0.7) for _ in range(3000)]
+    names, aliases, most, first, last = zip(*pairs, strict=True)
+    got = C.alignments(list(names), list(aliases), np.array(most), np.array(first), np.array(last))
+    assert got.tolist() == pytest.approx([slow_alignment(*p) for p in pairs])
+
+
+def test_token_sets_leave_out_no_entry_that_is_near():
+    """Recall of the token-set similarity against an alignment of every name with every entry, of four characters and more."""
+    rng = random.Random(9)
+    aliases = sorted({"".join(rng.choice("上下左右腹胸胃肠刺胀灼痛炎症") for _ in range(rng.randrange(4, 9))) for _ in range(300)})
+    entries = C.Entries([(a, a) for a in aliases])
+    names = []
+    for alias in rng.sample(aliases, 100):
+        k = rng.randrange(len(alias))
+        names.append("有点" * rng.randrange(2) + rng.choice([alias[:k] + alias[k + 1 :], alias[:k] + "骨" + alias[k + 1 :], alias[:k] + "骨" + alias[k:]]))
+    hit = total = 0
+    for name, found in zip(names, entries.similar(names), strict=True):
+        costs = {a: slow_alignment(name, a, C.most_edits(a), True, True) for a in aliases}
+        least = min(costs.values())
+        near = {a for a, c in costs.items() if c == least < float("inf")}
+        total += len(near)
+        hit += sum(found.get(a) == pytest.approx(least) for a in near)
+    assert hit >= 0.99 * total
