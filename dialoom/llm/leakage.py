@@ -1,18 +1,19 @@
 """Test passages that stand, wholly or in part, in a training corpus: winnowing, a join of fingerprints, extension.
 
 Letters and digits alone count, in the one form of look-alikes and in lower case. Every window of ``k``-gram hashes
-keeps its least, so that any shared run of at least ``k + window - 1`` characters has a common fingerprint; hits are
-extended to the exact share of the passage that the document holds.
+keeps its least, so that any shared run of at least ``k + window - 1`` characters has a common fingerprint at the same
+place of the run; every hit is extended to both sides, letter by letter, to the whole run, and the runs of a document
+and a passage are united to the exact share of the passage that the document holds.
 
-Defined results: null, blank and too short texts have no hit, repeated rows give distinct pairs, texts of any length
-are read whole, extra columns are ignored, empty tables give no row.
+Defined results: null, blank and too short texts have no hit (a passage of fewer letters than its least piece can't be
+held), repeated rows give distinct pairs, texts of any length are read whole, extra columns are ignored, empty tables
+give no row.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -22,166 +23,196 @@ from pyspark.sql import functions as F
 from dialoom.functions.unicode import fold
 from dialoom.llm.arrow import bounded
 from dialoom.llm.lookalike import sql_form
-from dialoom.session import bounded_rows, table
+from dialoom.session import cut, table
 
 #: Characters of a k-gram and hashes of a window: runs of K + WINDOW - 1 = 12 characters are always found.
 K, WINDOW = 8, 5
-#: Characters of test passages that may be sent to every task; more passages are joined by shuffle.
+#: Passages, and characters of them, that may be sent to every task at a time; more are worked through in blocks.
 BROADCAST_CHARS = 8_000_000
 BROADCAST_ITEMS = 50_000
+#: Hits that are extended at a time.
+HITS = 1_000_000
 
-_NOT_COUNTED = re.compile(r"[\W_]+")
+#: Between texts that lie behind one another; of documents and of passages, so that no run goes beyond a text.
+_GAP, _ITEM_GAP = 0xFFFFFFFF, 0xFFFFFFFE
+_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_NOT_COUNTED = re.compile(r"(?:[^\w\x00]|_)+")
 
 
-def letters(text: str | None) -> str:
-    """Letters and digits of a text in the form in which they are compared."""
-    return _NOT_COUNTED.sub("", fold(text).lower())
+def letters(texts: list[str | None]) -> list[str]:
+    """Letters and digits of texts in the form in which they are compared; all are folded in one go."""
+    joined = "\x00".join((t or "").replace("\x00", "") for t in texts)
+    return _NOT_COUNTED.sub("", fold(joined).lower()).split("\x00") if texts else []
 
 
-def kgram_hashes(text: str, k: int = K) -> np.ndarray:
-    """64-bit hash of every ``k``-gram."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    n = len(points) - k + 1
+def laid_out(texts: list[str], gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the texts, each followed by a gap, and where each text begins (and the end)."""
+    length = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+    starts = np.r_[0, np.cumsum(length)]
+    out = np.full(int(starts[-1]), gap, dtype=np.uint32)
+    inner = np.ones(len(out), dtype=bool)
+    inner[starts[1:] - 1] = False
+    out[inner] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return out, starts
+
+
+def kgram_hashes(points: np.ndarray, gap: int) -> np.ndarray:
+    """64-bit hash of every ``K``-gram; of those that go over a gap, the greatest number, which none counts as."""
+    n = len(points) - K + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
     out = np.zeros(n, dtype=np.uint64)
+    wide = points.astype(np.uint64)
     with np.errstate(over="ignore"):
-        for j in range(k):
-            out = out * _BASE + points[j : j + n]
+        for j in range(K):
+            out *= _BASE
+            out += wide[j : j + n]
         out ^= out >> np.uint64(31)
         out *= _MIX
         out ^= out >> np.uint64(29)
+    out[out == _NONE] -= np.uint64(1)
+    gaps = np.flatnonzero(points == gap)
+    for j in range(K):
+        spots = gaps - j
+        out[spots[(spots >= 0) & (spots < n)]] = _NONE
     return out
 
 
 def winnow(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """The distinct least hashes of all windows; of a text shorter than a window, its least hash."""
-    if len(hashes) == 0:
-        return hashes
-    if len(hashes) <= window:
-        return hashes.min(keepdims=True)
-    return np.unique(np.lib.stride_tricks.sliding_window_view(hashes, window).min(axis=1))
-
-
-def fingerprints(text: str, step: int = 1 << 20) -> np.ndarray:
-    """Winnowed hashes of a text, worked out in overlapping parts of ``step`` characters."""
-    if len(text) <= step:
-        return winnow(kgram_hashes(text))
-    overlap = K + WINDOW - 2
-    return np.unique(np.concatenate([winnow(kgram_hashes(text[a : a + step + overlap])) for a in range(0, len(text) - overlap, step)]))
-
-
-class Held:
-    """What one document holds of items, in pieces of at least so many consecutive characters."""
-
-    #: Beyond so many characters the pieces are looked for in the text itself, to keep no set of that size.
-    LONGEST = 1 << 18
-
-    def __init__(self, document: str) -> None:
-        self.document = document
-        self.grams: dict[int, set[str] | str] = {}
-
-    def __call__(self, item: str, piece: int) -> int:
-        """How many characters of ``item`` the document holds."""
-        if piece not in self.grams:
-            text = self.document
-            self.grams[piece] = text if len(text) > self.LONGEST else {text[i : i + piece] for i in range(len(text) - piece + 1)}
-        own, covered, until = self.grams[piece], 0, 0
-        for i in range(len(item) - piece + 1):
-            if item[i : i + piece] in own:
-                covered += i + piece - max(i, until)
-                until = i + piece
-        return covered
-
-
-@dataclass
-class Items:
-    """Test passages with their fingerprints, of a checked size."""
-
-    ids: list[int]
-    texts: list[str]
-    pieces: list[int]
-    hashes: np.ndarray = field(default=None)
-    owners: np.ndarray = field(default=None)
-
-    def index(self) -> Items:
-        prints = [fingerprints(t) for t in self.texts]
-        hashes = np.concatenate([*prints, np.zeros(0, np.uint64)])
-        owners = np.repeat(np.arange(len(prints)), [len(p) for p in prints])
-        by = np.argsort(hashes, kind="stable")
-        self.hashes, self.owners = hashes[by], owners[by]
-        return self
+    """Places of the least hashes of all windows of a text; of a text shorter than a window, of its least hash."""
+    n = len(hashes) - window + 1
+    if n < 1:
+        least = hashes.min(initial=_NONE)
+        return np.flatnonzero((hashes == least) & (hashes != _NONE))
+    least = hashes[:n].copy()
+    for j in range(1, window):
+        np.minimum(least, hashes[j : j + n], out=least)
+    chosen = np.zeros(len(hashes), dtype=bool)
+    for j in range(window):
+        chosen[j : j + n] |= hashes[j : j + n] == least
+    return np.flatnonzero(chosen & (hashes != _NONE))
 
-    def hit(self, prints: np.ndarray) -> np.ndarray:
-        """Numbers of the items that share a fingerprint."""
-        lo, hi = np.searchsorted(self.hashes, prints, "left"), np.searchsorted(self.hashes, prints, "right")
-        n = hi - lo
-        spots = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.unique(self.owners[spots])
 
-
-_PAIRS = "doc_id long, item_id long, held long, size long"
-
-
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item_id", "held", "size"])
+class Items:
+    """Test passages behind one another, with an index from their fingerprints to places."""
+
+    #: Bits of the table that tells most foreign fingerprints before they are looked up.
+    SIEVE = 22
+
+    def __init__(self, ids: list[int], texts: list[str], pieces: list[int]) -> None:
+        self.ids, self.pieces = np.array(ids, dtype=np.int64), np.array(pieces, dtype=np.int64)
+        self.points, self.starts = laid_out(texts, _ITEM_GAP)
+        self.sizes = np.diff(self.starts) - 1
+        hashes = kgram_hashes(self.points, _ITEM_GAP)
+        spots = winnow(hashes)
+        by = np.argsort(hashes[spots], kind="stable")
+        self.spots, self.hashes = spots[by], hashes[spots][by]
+        self.sieve = np.zeros(1 << self.SIEVE, dtype=bool)
+        self.sieve[(self.hashes >> np.uint64(64 - self.SIEVE)).astype(np.int64)] = True
+
+    def hits(self, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places in documents and in passages that share a fingerprint, about ``HITS`` at a time."""
+        hashes = kgram_hashes(points, _GAP)
+        own = winnow(hashes)
+        own = own[self.sieve[(hashes[own] >> np.uint64(64 - self.SIEVE)).astype(np.int64)]]
+        lo, hi = np.searchsorted(self.hashes, hashes[own], "left"), np.searchsorted(self.hashes, hashes[own], "right")
+        own, lo, n = own[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+        cuts = np.cumsum(n) // HITS
+        edges = [*np.flatnonzero(np.r_[True, cuts[1:] != cuts[:-1]]), len(n)] if len(n) else [0]
+        for a, b in zip(edges, edges[1:]):
+            m = n[a:b]
+            yield np.repeat(own[a:b], m), self.spots[np.repeat(lo[a:b] - np.cumsum(m) + m, m) + np.arange(m.sum())]
+
+
+def extend(points: np.ndarray, items: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place in the passages and length of the run around each hit; 0 where the fingerprints agree by chance."""
+    same = np.ones(len(p), dtype=bool)
+    for j in range(K):
+        same &= points[p + j] == items[q + j]
+    length = np.where(same, K, 0)
+    first = q.copy()
+    going, j = np.flatnonzero(same), K
+    while len(going):  # to the right; a gap ends a run, and every text ends in one
+        going = going[points[p[going] + j] == items[q[going] + j]]
+        length[going] += 1
+        j += 1
+    going, j = np.flatnonzero(same), 1
+    while len(going):
+        going = going[(p[going] >= j) & (q[going] >= j)]
+        going = going[points[p[going] - j] == items[q[going] - j]]
+        length[going] += 1
+        first[going] -= 1
+        j += 1
+    return first, length
+
+
+_FOUND = ["doc_id", "item_id", "held", "size", "first", "last"]
+_PAIRS = ", ".join(f"{n} long" for n in _FOUND)
+
+
+def held(texts: list[str], items: Items) -> tuple[np.ndarray, ...]:
+    """Document, item, characters that the document holds of it, and the first and the last of these."""
+    points, starts = laid_out(texts, _GAP)
+    runs: list[np.ndarray] = []
+    for p, q in items.hits(points):
+        first, length = extend(points, items.points, p, q)
+        item = np.searchsorted(items.starts, q, "right") - 1
+        long = length >= items.pieces[item]
+        doc = np.searchsorted(starts, p[long], "right") - 1
+        # the hits of one run tell the same
+        runs.append(np.unique(np.stack([doc, item[long], first[long], first[long] + length[long]]), axis=1))
+    if not runs or not sum(r.shape[1] for r in runs):
+        return (np.zeros(0, dtype=np.int64),) * 5
+    doc, item, first, end = np.unique(np.concatenate(runs, axis=1), axis=1)
+    begins = np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]
+    # what earlier runs of the pair have covered
+    shift = np.cumsum(begins) * (len(items.points) + 1)
+    upto = np.maximum.accumulate(end + shift) - shift
+    before = np.where(begins, 0, np.r_[0, upto[:-1]])
+    new = np.maximum(end - np.maximum(first, before), 0)
+    at = np.flatnonzero(begins)
+    base = items.starts[item[at]]
+    return doc[at], item[at], np.add.reduceat(new, at), first[at] - base, np.maximum.reduceat(end, at) - 1 - base
 
 
 def _scan(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.RecordBatch]:
     for batch in bounded(batches, ["text"]):
-        out = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = letters(text)
-            held = Held(own)
-            for j in items.hit(fingerprints(own)).tolist():
-                if n := held(items.texts[j], items.pieces[j]):
-                    out.append((doc, items.ids[j], n, len(items.texts[j])))
-        yield _rows(out)
-
-
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in bounded(batches, ["text"]):
-        ids, hashes = [], []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = fingerprints(letters(text)).view(np.int64)
-            ids.append(np.full(len(own), key))
-            hashes.append(own)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*ids, np.zeros(0, np.int64)])), pa.array(np.concatenate([*hashes, np.zeros(0, np.int64)]))], ["id", "hash"])
-
-
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for doc, text, item, passage, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            own = letters(passage)
-            if n := Held(letters(text))(own, piece):
-                out.append((doc, item, n, len(own)))
-        yield _rows(out)
+        doc, item, n, first, last = held(letters(batch.column(1).to_pylist()), items)
+        columns = [batch.column(0).cast(pa.int64()).take(pa.array(doc)), *map(pa.array, (items.ids[item], n, items.sizes[item], first, last))]
+        yield pa.RecordBatch.from_arrays(columns, _FOUND)
 
 
 def shared_passages(documents: DataFrame, items: DataFrame, broadcast_items: int = BROADCAST_ITEMS) -> DataFrame:
-    """``doc_id, item_id, held, size``: characters of each item that each document holds, and the item's characters.
+    """``doc_id, item_id, held, size, first, last``: characters of each item that each document holds, the item's
+    characters, and the first and last of its characters that are held.
 
     ``documents``: ``doc_id, text``; ``items``: ``item_id, text, piece`` with the least length of a piece, at least
     ``K + WINDOW - 1``. Items of a checked size are sent to the documents, which then are neither shuffled nor read
-    twice; beyond it the fingerprints of both sides are joined, and the texts of the pairs found are fetched.
+    twice. Beyond it the items are worked through in blocks of that size, one after the other, so that no fingerprint
+    that many documents have becomes a hot key and no text is copied; the documents are read once a block.
     """
     docs = documents.select("doc_id", "text").where("doc_id is not null and text is not null")
     items = items.select("item_id", "text", "piece").where("item_id is not null and text is not null")
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    if size["n"] <= broadcast_items and size["chars"] <= BROADCAST_CHARS and (rows := bounded_rows(items, broadcast_items)) is not None:
-        own = [(r["item_id"], letters(r["text"]), r["piece"]) for r in rows]
-        own = [x for x in own if len(x[1]) >= K]
-        sent = documents.sparkSession.sparkContext.broadcast(Items([x[0] for x in own], [x[1] for x in own], [x[2] for x in own]).index())
+    blocks = max(-(-size["n"] // max(broadcast_items, 1)), -(-size["chars"] // BROADCAST_CHARS))
+
+    def found_in(own: DataFrame) -> DataFrame:
+        rows = own.collect()
+        texts = letters([r["text"] for r in rows])
+        kept = [(r["item_id"], t, r["piece"]) for r, t in zip(rows, texts, strict=True) if len(t) >= r["piece"]]
+        sent = documents.sparkSession.sparkContext.broadcast(Items(*([x[n] for x in kept] for n in range(3))))
         return docs.mapInArrow(lambda batches: _scan(batches, sent.value), _PAIRS)
-    left = docs.mapInArrow(_prints, "id long, hash long").withColumnRenamed("id", "doc_id")
-    right = items.select("item_id", "text").mapInArrow(_prints, "id long, hash long").withColumnRenamed("id", "item_id")
-    pairs = left.join(right, "hash").select("doc_id", "item_id").distinct()
-    texts = pairs.join(items.withColumnRenamed("text", "passage"), "item_id").join(docs, "doc_id")
-    return texts.select("doc_id", "text", "item_id", "passage", "piece").mapInArrow(_extend, _PAIRS)
+
+    if blocks <= 1:
+        return found_in(items)
+    # shares by hash, twice as many as needed, of about half the size that may be sent
+    out = None
+    for n in range(2 * blocks):
+        found = cut(found_in(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * blocks)) == n)))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def test_items(eval_items: DataFrame) -> DataFrame:
@@ -217,9 +248,9 @@ WITH docs AS (SELECT DISTINCT doc_id, {_letters_sql("text")} AS t FROM documents
   SELECT item_id, piece, i, substr(t, i, piece) AS gram FROM (SELECT *, unnest(range(1, length(t) - piece + 2)) AS i FROM items)
 ), covered AS (
   SELECT DISTINCT doc_id, item_id, unnest(range(i, i + piece)) AS place FROM item_grams JOIN doc_grams USING (piece, gram)
-), counts AS (SELECT doc_id, item_id, count(*) AS held FROM covered GROUP BY ALL)
+), counts AS (SELECT doc_id, item_id, count(*) AS held, min(place) - 1 AS first, max(place) - 1 AS last FROM covered GROUP BY ALL)
 """
 ORACLE_SQL = {
     "p8_found": _HELD_SQL + "SELECT doc_id, item_id FROM counts JOIN items USING (item_id) WHERE 2 * held >= length(t)",
-    "p8_spans": _HELD_SQL + "SELECT doc_id, item_id, held, length(t) AS size, held / length(t) AS share FROM counts JOIN items USING (item_id)",
+    "p8_spans": _HELD_SQL + "SELECT doc_id, item_id, held, length(t) AS size, first, last, held / length(t) AS share FROM counts JOIN items USING (item_id)",
 }

@@ -12,10 +12,10 @@ def brute(docs, items):
     out = set()
     for d, text, *_ in docs:
         for i, passage, piece, *_ in items:
-            a, b = L.letters(text), L.letters(passage)
+            a, b = L.letters([text, passage])
             spots = {p for k in range(len(b) - piece + 1) if b[k : k + piece] in a for p in range(k, k + piece)}
             if spots:
-                out.add((d, i, len(spots), len(b)))
+                out.add((d, i, len(spots), len(b), min(spots), max(spots)))
     return out
 
 
@@ -34,18 +34,39 @@ def test_pairs_equal_brute_force(spark, most):
     assert {tuple(r) for r in got.collect()} == brute(docs, items)
 
 
-def test_every_long_shared_run_has_a_common_fingerprint():
+def prints(text):
+    points, _ = L.laid_out([text], L._GAP)
+    hashes = L.kgram_hashes(points, L._GAP)
+    return hashes, L.winnow(hashes)
+
+
+def test_every_long_shared_run_has_a_common_fingerprint_at_one_place():
     rng = random.Random(9)
     text = lambda n: "".join(rng.choice("abcd") for _ in range(n))
     for _ in range(300):
-        run = text(L.K + L.WINDOW - 1)
-        a, b = text(rng.randrange(20)) + run + text(rng.randrange(20)), text(rng.randrange(20)) + run + text(rng.randrange(20))
-        assert set(L.fingerprints(a)) & set(L.fingerprints(b))
+        run, a, b = text(L.K + L.WINDOW - 1), text(rng.randrange(20)), text(rng.randrange(20))
+        (_, x), (_, y) = prints(a + run + text(rng.randrange(20))), prints(b + run + text(rng.randrange(20)))
+        assert {p - len(a) for p in x} & {p - len(b) for p in y} & set(range(L.WINDOW))
+
+
+def test_fingerprints_are_the_least_of_their_windows():
+    hashes, spots = prints("".join(random.Random(1).choice("abcdefgh") for _ in range(500)))
+    whole = hashes[: 500 - L.K + 1].tolist()
+    want = {k for n in range(len(whole) - L.WINDOW + 1) for k in range(n, n + L.WINDOW) if whole[k] == min(whole[n : n + L.WINDOW])}
+    assert want <= set(spots.tolist()) and len(spots) <= len(want) + L.WINDOW
 
 
-def test_long_texts_in_parts():
-    text = "".join(random.Random(1).choice("abcdefgh") for _ in range(5000))
-    assert np.array_equal(L.fingerprints(text), np.unique(np.concatenate([L.fingerprints(text, 700)])))
+def test_hits_in_parts_and_repeated_phrases(monkeypatch):
+    rng = random.Random(6)
+    phrase = "".join(rng.choice("一二三四五六七八九十") for _ in range(20))
+    docs = [phrase * 30, phrase[:13] * 40 + phrase, "x" * 500, phrase[5:19] + "y" + phrase[1:14]]
+    items = [(1, phrase * 2 + "甲乙", 12), (2, phrase[3:] + "丙" + phrase, 12), (3, "x" * 40, 30)]
+    built = L.Items(*map(list, zip(*items)))
+    want = {(n, i, *rest) for n, i, *rest in brute(list(enumerate(docs)), [(i, t, p) for i, t, p in items])}
+    for hits in (7, 1_000_000):
+        monkeypatch.setattr(L, "HITS", hits)
+        doc, item, n, first, last = L.held(docs, built)
+        assert set(zip(doc.tolist(), built.ids[item].tolist(), n.tolist(), built.sizes[item].tolist(), first.tolist(), last.tolist())) == want
 
 
 def test_empty_tables(spark):
