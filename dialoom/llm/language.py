@@ -24,9 +24,9 @@ from dialoom.llm.arrow import bounded
 from dialoom.session import table
 
 LANGUAGES = ["zh", "en", "ja", "ko", "es", "pt", "fr", "de", "ru", "vi"]
-#: Labelled documents of each language that the classifier is fitted on, and the most characters in all.
+#: Labelled documents of each language that the classifier is fitted on, about, and bytes of their texts at most, about.
 SAMPLE = 400
-SAMPLE_CHARS = 20_000_000
+SAMPLE_BYTES = 3_000_000
 #: Hash buckets of the n-grams of 1 to N characters.
 BUCKETS = 1 << 17
 N = 3
@@ -49,40 +49,41 @@ NAMES = {
 }
 
 _DIGITS = re.compile(r"\d+")
-_SPACES = re.compile(r"[\W_]+")
+_SPACES = re.compile(r"(?:[^\w\x00]|_)+")
+_EDGES = re.compile(r" ?\x00 ?")
 _INVISIBLE = re.compile(rf"[\s{INVISIBLE}]+")
 
 
 def label_language(label: Column) -> Column:
     """The language that a label names, by code, regional code or name; null if it names none."""
-    word = F.regexp_extract(F.lower(F.trim(label)), r"^([^-_\s(]+)", 1)
-    out = F.lit(None).cast("string")
-    for code, names in NAMES.items():
-        out = F.when(word.isin(names.split()), code).otherwise(out)
-    return out
+    known = F.create_map(*(F.lit(x) for code, names in NAMES.items() for name in names.split() for x in (name, code)))
+    return F.try_element_at(known, F.regexp_extract(F.lower(F.trim(label)), r"^([^-_\s(]+)", 1))
 
 
 def features(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of all lines one after the other, and where each line's begin (and the end)."""
-    clean = [" " + _SPACES.sub(" ", _DIGITS.sub("", fold(x).lower())).strip() + " " for x in lines]
-    lengths = np.array([len(x) for x in clean], dtype=np.int64)
-    text = np.frombuffer("".join(clean).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    line = np.repeat(np.arange(len(clean)), lengths)
-    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(text))
-    buckets, owners = [], []
+    """Buckets of the n-grams of all lines one after the other, and where each line's begin (and the end).
+
+    All lines are brought to one form in one go, each in blanks, with a character between them that no n-gram holds.
+    """
+    joined = "\x00".join(x.replace("\x00", " ") for x in lines)
+    flat = _SPACES.sub(" ", _DIGITS.sub("", fold(joined).lower()))
+    flat = " " + _EDGES.sub("\x00", flat).strip(" ").replace("\x00", " \x00 ") + " \x00" if lines else ""
+    text = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    inside = text != 0
+    buckets = np.zeros((len(text), N), dtype=np.int32)
+    there = np.zeros((len(text), N), dtype=bool)
+    h, whole = np.zeros(len(text), dtype=np.uint64), inside.copy()
     with np.errstate(over="ignore"):
-        for n in range(1, N + 1):
-            spots = np.flatnonzero(left >= n)
-            h = np.full(len(spots), n, dtype=np.uint64)
-            for j in range(n):
-                h = h * np.uint64(0x100000001B3) + text[spots + j]
-            h *= np.uint64(0x9E3779B97F4A7C15)
-            keep = text[spots] != 32 if n == 1 else np.ones(len(spots), dtype=bool)
-            buckets.append((h >> np.uint64(40)).astype(np.int64)[keep] % BUCKETS)
-            owners.append(line[spots][keep])
-    bucket, owner = np.concatenate(buckets), np.concatenate(owners)
-    by = np.argsort(owner, kind="stable")
-    return bucket[by], np.searchsorted(owner[by], np.arange(len(lines) + 1))
+        for n in range(1, min(N, len(text)) + 1):
+            # the n-gram that begins at each place, from the one before and one character more
+            whole = whole[: len(text) - n + 1] & inside[n - 1 :]
+            h = h[: len(whole)] * np.uint64(0x100000001B3) + text[n - 1 :]
+            mixed = (h + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+            buckets[: len(whole), n - 1] = (mixed >> np.uint64(40)).astype(np.int64) % BUCKETS
+            there[: len(whole), n - 1] = whole & (text[: len(whole)] != 32) if n == 1 else whole
+    upto = np.r_[0, np.cumsum(there.sum(axis=1))]
+    ends = np.flatnonzero(~inside)
+    return buckets[there], np.r_[0, upto[ends]]
 
 
 @dataclass
@@ -130,20 +131,25 @@ def visible_lines(text: str | None) -> list[str]:
     return [x for x in (text or "").split("\n") if _INVISIBLE.sub("", x)]
 
 
+def sample_of(documents: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_BYTES) -> DataFrame:
+    """``lang, text`` of about ``sample`` documents of each language that the labels name, fewer if they are long.
+
+    The share of a language is the same everywhere in the table: documents are drawn by a hash of their id.
+    """
+    labelled = documents.select(label_language(F.col("lang")).alias("lang"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("h")).where("text is not null")
+    sizes = labelled.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()
+    if not sizes:
+        return labelled.where(F.lit(False)).select("lang", "text")
+    shares = [(r["lang"], int(1_000_000 * min(1.0, sample / r["n"], chars / max(r["bytes"], 1)))) for r in sizes]
+    share = F.try_element_at(F.create_map(*(F.lit(x) for pair in shares for x in pair)), F.col("lang"))
+    return labelled.where(F.col("h") < share).select("lang", "text")
+
+
 def fit(documents: DataFrame, sample: int = SAMPLE) -> NaiveBayes:
     """Fitted on up to about ``sample`` documents of each language that the labels name."""
-    labelled = documents.select(label_language(F.col("lang")).alias("lang"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("h"))
-    labelled = labelled.where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    chosen = F.lit(False)
-    for lang, n in counts.items():
-        chosen = chosen | ((F.col("lang") == lang) & (F.col("h") < int(1_000_000 * min(1.0, sample / n))))
-    rows, lines, labels, chars = labelled.where(chosen).select("lang", "text").limit(3 * sample * len(LANGUAGES)).toLocalIterator(), [], [], 0
-    for row in rows:
+    lines, labels = [], []
+    for row in sample_of(documents, sample).collect():
         own = visible_lines(row["text"])
-        chars += len(row["text"])
-        if chars > SAMPLE_CHARS:
-            break
         lines += own
         labels += [LANGUAGES.index(row["lang"])] * len(own)
     bucket, starts = features(lines)
@@ -205,9 +211,10 @@ def line_languages(documents: DataFrame, model: NaiveBayes) -> DataFrame:
 
 
 def document_languages(lines: DataFrame) -> DataFrame:
-    """``doc_id, label, lang, confidence, languages``: the most frequent language of each document and how many it has."""
+    """``doc_id, label, lang, confidence, languages``: the language of most lines of each document and how many it has."""
     per = lines.groupBy("doc_id", "lang").agg(F.first("label").alias("label"), F.count("*").alias("n"), F.avg("confidence").alias("confidence"))
-    return per.groupBy("doc_id").agg(F.first("label").alias("label"), F.max_by("lang", F.struct("n", "lang")).alias("lang"), F.max_by("confidence", F.struct("n", "lang")).alias("confidence"), F.count("*").cast("int").alias("languages"))
+    most = F.struct("n", "lang")
+    return per.groupBy("doc_id").agg(F.first("label").alias("label"), F.max_by("lang", most).alias("lang"), F.max_by("confidence", most).alias("confidence"), F.count("*").cast("int").alias("languages"))
 
 
 def _wanted(batches: Iterator[pa.RecordBatch], model: NaiveBayes) -> Iterator[pa.RecordBatch]:
