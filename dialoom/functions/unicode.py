@@ -6,6 +6,8 @@ import functools
 import re
 import unicodedata
 
+import numpy as np
+
 # Letters of other scripts that have the shape of a Latin letter, punctuation that has the shape of another.
 GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορυχϲϳ"
 GREEK_AS = "ABEZHIKMNOPTYXaiKvopuxcj"
@@ -55,6 +57,54 @@ def fold(text: str | None) -> str:
     return unicodedata.normalize("NFC", unicodedata.normalize("NFKC", INVISIBLE_RE.sub("", text)).translate(_table()))
 
 
+class _Single:
+    """Characters whose form is one character whatever stands beside them, as a table filled as they occur."""
+
+    def __init__(self) -> None:
+        self.known = np.zeros(0x110000, dtype=bool)
+        self.alone = np.zeros(0x110000, dtype=bool)
+        self.form = np.arange(0x110000, dtype=np.uint32)
+
+    def learn(self, points: np.ndarray) -> None:
+        for point in np.unique(points[~self.known[points]]).tolist():
+            char = chr(point)
+            to = fold(char)
+            # marks and the later letters of a syllable may join with what is before them
+            joins = any(unicodedata.category(c)[0] == "M" or "\u1160" <= c <= "\u11ff" for c in char + to)
+            self.known[point] = True
+            self.alone[point] = len(to) == 1 and not joins
+            if self.alone[point]:
+                self.form[point] = ord(to)
+
+
+_SINGLE: list[_Single] = []
+
+
+def fold_joined(joined: str, between: str) -> str:
+    """:func:`fold` of texts joined by a character that none of them has and that no form changes.
+
+    Most texts have only characters that are mapped one by one, which is done for all of them in columns.
+    """
+    if joined.isascii():
+        return joined
+    if not _SINGLE:
+        _SINGLE.append(_Single())
+    table = _SINGLE[0]
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    table.learn(points)
+    mapped = table.form[points].tobytes().decode("utf-32-le", "surrogatepass")
+    hard = np.flatnonzero(~table.alone[points])
+    if not len(hard):
+        return mapped
+    ends = np.r_[np.flatnonzero(points == ord(between)), len(points)]
+    out, done = [], 0
+    for k in np.unique(np.searchsorted(ends, hard)).tolist():
+        a, b = (int(ends[k - 1]) + 1 if k else 0), int(ends[k])
+        out += [mapped[done:a], fold(joined[a:b])]
+        done = b
+    return "".join([*out, mapped[done:]])
+
+
 @functools.cache
 def unified() -> tuple[str, str]:
     """Characters with another single character as compatibility form (radicals, ideographs, full and half width), and these."""

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from dialoom.functions import jsonx, text
-from dialoom.functions.unicode import fold, lookalikes, shape, simplified
+from dialoom.functions.unicode import fold, fold_joined, lookalikes, shape, simplified
 
 
 def one(spark, expr, *values):
@@ -58,3 +60,11 @@ def test_fold_and_its_tables(spark):
     assert fold(None) == "" and fold("é") == fold("é") != fold("e")
     assert shape("​") == "" and all(len(v) == 1 for v in lookalikes().values())
     assert "過敏性膽囊".translate(simplified(spark)) == "过敏性胆囊"
+
+
+def test_texts_folded_together_are_as_alone():
+    rng = random.Random(12)
+    pool = "aZ é腹痛，ＡＢ①ﬁ½\u0301\u0308\u200b\ufeffｶﾞﾊﾟ\u1100\u1161\u11a8가각Αа…“”\u09c7\u09be\U0001f600\ud800㍿ﷺ\n\t"
+    for _ in range(300):
+        texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(8))) for _ in range(rng.randrange(1, 12))]
+        assert fold_joined("\0".join(texts), "\0").split("\0") == [fold(t) for t in texts]
