@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.functions.unicode import INVISIBLE, fold
+from dialoom.functions.unicode import INVISIBLE, fold_joined
 from dialoom.llm.arrow import bounded
 from dialoom.session import table
 
@@ -66,7 +66,7 @@ def features(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     All lines are brought to one form in one go, each in blanks, with a character between them that no n-gram holds.
     """
     joined = "\x00".join(x.replace("\x00", " ") for x in lines)
-    flat = _SPACES.sub(" ", _DIGITS.sub("", fold(joined).lower()))
+    flat = _SPACES.sub(" ", _DIGITS.sub("", fold_joined(joined, "\x00").lower()))
     flat = " " + _EDGES.sub("\x00", flat).strip(" ").replace("\x00", " \x00 ") + " \x00" if lines else ""
     text = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     inside = text != 0

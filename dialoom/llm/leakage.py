@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.functions.unicode import fold
+from dialoom.functions.unicode import fold_joined
 from dialoom.llm.arrow import bounded
 from dialoom.llm.lookalike import sql_form
 from dialoom.session import cut, table
@@ -44,7 +44,7 @@ _NOT_COUNTED = re.compile(r"(?:[^\w\x00]|_)+")
 def letters(texts: list[str | None]) -> list[str]:
     """Letters and digits of texts in the form in which they are compared; all are folded in one go."""
     joined = "\x00".join((t or "").replace("\x00", "") for t in texts)
-    return _NOT_COUNTED.sub("", fold(joined).lower()).split("\x00") if texts else []
+    return _NOT_COUNTED.sub("", fold_joined(joined, "\x00").lower()).split("\x00") if texts else []
 
 
 def laid_out(texts: list[str], gap: int) -> tuple[np.ndarray, np.ndarray]:
