@@ -1,19 +1,28 @@
 """Broken pairs of a message and the question that answers it, each with all of its defects.
 
-Ordered rules, all as JVM expressions: emptiness, refusal phrases of several languages, copied messages, script and
-language mismatch, unclosed delimiters and abrupt endings. An ending is abrupt if it is an ellipsis, or if it has no
-closing mark and is no ending that closed questions of the same table have; that is counted over all rows.
+Ordered rules, as JVM expressions: emptiness, refusal phrases of several languages, copied messages, script mismatch,
+unclosed delimiters and abrupt endings. An ending is abrupt if it is an ellipsis, or if it has no closing mark and is
+no ending that closed questions of the same table have; that is counted over all rows. Only pairs with a text in Latin
+script, which does not tell the language, go to the classifier of lines.
 
 Defined results: a null or blank question or target is empty; with null or blank messages nothing is a copy or a
-mismatch; repeated rows give one row; very long texts are compared whole; extra columns are ignored.
+mismatch; repeated rows give one row, and different pairs of one id one with the defects of all; very long texts are
+compared whole; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dialoom.functions.unicode import CYRILLIC, CYRILLIC_AS, GREEK, GREEK_AS, unified
+from dialoom.llm.arrow import bounded
+from dialoom.llm.language import LANGUAGES, NaiveBayes, fit
 from dialoom.session import cut, table
 
 DEFECTS = ["empty", "refusal", "copy", "language", "truncated"]
@@ -31,25 +40,27 @@ REFUSALS = [
     r"(お答えできません|対応できません|お手伝いできません|言語モデル|申し訳ありません|답변할 수 없|도와드릴 수 없|언어 모델|죄송하지만|не могу (помочь|ответить|продолжить)|к сожалению я не|языковая модель)",
 ]
 #: A final particle closes a question; a declined question that asks all the same is none.
-PARTICLE = r"(吗|呢|(?<![什怎多这那要])么)\s*$"
-ASKS = r"[?？]\s*$|" + PARTICLE
-
-# Frequent words that tell the languages of Latin script apart.
-WORDS = {
-    "en": "the a an and of to in is are was were have has had do does did you your my i it how what when where which while with for on at been any than not or so far get take please she he after before late until this that but",
-    "es": "el la los las un una y de del en es está tiene tengo ha he para por con que qué cuándo cómo dónde desde sobre todo lo se su me mi más muy no algo cuando como si después días nadie durante llevo cuánto",
-    "pt": "o a os as um uma e do da em é está tem tenho há para por com que quando como desde quanto tempo senhor senhora não mais muito se seu sua meu minha depois jantar dias nenhuma noite tomei você fritura",
-    "fr": "rien n l j c qu le la les un une et de du des en est ai avez vous je ma mon mes pour par avec que quand depuis où comment ne pas plus très ces cette ce il elle si jours après nous quelque chose combien votre aucun",
-    "de": "der die das ein eine und von zu in ist sind haben habe ich sie ihr mein meine für mit wenn wann wie wo seit nicht mehr sehr nach vor allem bei den dem es keine tagen beschwerden auf werden etwas schon oder",
-    "vi": "tôi bạn bị và của có không là từ bao giờ khi vào đã được cho rất như này ngày sau trước nặng hơn triệu chứng nên uống đau người bệnh nhân nếu",
-}
-
+PARTICLES = ["吗", "呢", "么"]
+#: Before the last particle these make a word that asks for something to follow.
+UNFINISHED = ["什", "怎", "多", "这", "那", "要"]
+CLOSING = ["?", "？", "。", ".", "!", "！", "｡", "」", "”", '"', "）", ")"]
+TRAILING = ["…", ",", "，", "、", ";", "；", ":", "：", "-", "—"]
+
+#: Every phrase of the first three patterns has one of these, every other one a letter of another script.
+_DECLINES = "[帮能恕法便宜难拒予绝资范超止求型智]|ai"
+_FOREIGN = "[a-z\u00c0-\u024f\u1e00-\u1effぁ-ヺ가-힣\u0400-\u04ff]"
+#: A medicine and its dose are of no language.
+_DOSE = r"[\p{L}-]+ ?\d+ ?(mg|ml|mcg|ug|g)\b"
+#: Log-odds by which a text must speak for its own language, against each other one.
+ODDS = 4.0
+#: Least n-grams of a text by which the classifier tells its language (about seven letters).
+NGRAMS = 20
 
 def plain(text: Column) -> Column:
     """Lower case, without invisible characters, look-alike letters as Latin ones, other white space as blanks."""
     flat = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\p{Cf}︀-️]", "")
     flat = F.translate(flat, *unified())
-    return F.trim(F.lower(F.regexp_replace(flat, r"(?U)[\s\p{Z}]+", " ")))
+    return F.trim(F.lower(F.regexp_replace(flat, r"[\s\u0085\p{Z}]+", " ")))
 
 
 def bare(text: Column) -> Column:
@@ -63,7 +74,7 @@ def _count(text: Column, pattern: str) -> Column:
 
 def _scripts(text: Column) -> Column:
     """How much of a plain text is in each script."""
-    patterns = {"han": r"\p{IsHan}", "kana": r"[ぁ-ヺ]", "hangul": r"[가-힣]", "cyrillic": r"\p{IsCyrillic}", "words": r"(?U)\p{IsCyrillic}{2,}", "latin": r"(?U)\p{IsLatin}+"}
+    patterns = {"han": r"[\u2e80-\u2fdf\u3005\u3007\u3021-\u3029\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}]", "kana": r"[ぁ-ヺ]", "hangul": r"[가-힣]", "cyrillic": r"[\u0400-\u04ff]", "words": r"[\u0400-\u04ff]{2,}", "latin": r"[a-z\u00aa\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u1e00-\u1eff]+"}
     return F.struct(*(_count(text, p).alias(n) for n, p in patterns.items()))
 
 
@@ -84,25 +95,38 @@ def _script(c: Column) -> Column:
     )
 
 
-def _latin_ranks(text: Column) -> Column:
-    """Languages of Latin script by how many of their frequent words and letters a plain text has, the most first."""
-    letters = {"vi": "[ăđơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹ]", "es": "[¿¡ñ]", "pt": "[ãõ]", "de": "[ß]"}
-    own = []
-    for lang, words in WORDS.items():
-        n = _count(text, r"(?U)\b(" + "|".join(words.split()) + r")\b")
-        own.append(F.struct((n + 2 * _count(text, letters[lang]) if lang in letters else n).alias("n"), F.lit(lang).alias("lang")))
-    return F.sort_array(F.array(*own), asc=False)
+def with_script(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the script of a plain text under ``out``; a text of one script alone, as most are, is not counted out."""
+    counted = df.withColumn("__f", F.col(text).rlike(_FOREIGN))
+    counted = counted.withColumn("__c", F.when(F.col("__f"), _scripts(F.col(text))))
+    alone = F.when(F.col(text).rlike("[\u2e80-\u2fdf\u3005\u3007\u3021-\u3029\u3400-\u9fff\uf900-\ufaff\\x{20000}-\\x{3ffff}]"), "zh")
+    return counted.withColumn(out, F.when(F.col("__f"), _script(F.col("__c"))).otherwise(alone)).drop("__f", "__c")
+
+
+def _mismatches(batches: Iterator[pa.RecordBatch], model: NaiveBayes) -> Iterator[pa.RecordBatch]:
+    for batch in bounded(batches, ["own", "joined"]):
+        languages = []
+        for text, script in (("own", "mine"), ("joined", "theirs")):
+            scores, size = model.line_scores([t.replace("\n", " ") for t in batch.column(text).to_pylist()])
+            top = np.sort(scores, axis=1)
+            sure = (top[:, -1] - top[:, -2] > ODDS) & (size >= NGRAMS)
+            told = np.where(sure, np.array(LANGUAGES, dtype=object)[scores.argmax(axis=1)], None)
+            known = np.array(batch.column(script).to_pylist(), dtype=object)
+            languages.append(np.where(known == "latin", told, known))
+        mine, theirs = languages
+        differ = (mine != theirs) & np.not_equal(mine, None) & np.not_equal(theirs, None)
+        kept = [c for c in batch.schema.names if c not in ("own", "joined", "mine", "theirs")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(differ.astype(bool))], [*kept, "differ"])
 
 
-def with_language(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with the language of a plain text under ``out``; null if unclear, as where two languages are even.
+def language_mismatches(texts: DataFrame, model: NaiveBayes) -> DataFrame:
+    """``texts`` (``own, joined``, their scripts ``mine, theirs`` and others) with, instead of these, whether they ``differ`` in language.
 
-    Step by step, as columns, so that no pattern is matched twice.
+    A script other than the Latin one tells the language; a text that the classifier isn't sure of differs from none.
     """
-    df = df.withColumn("__c", _scripts(F.col(text))).withColumn("__s", _script(F.col("__c")))
-    df = df.withColumn("__l", F.when(F.col("__s") == "latin", _latin_ranks(F.col(text))))
-    first, second = F.get(F.col("__l"), F.lit(0)), F.get(F.col("__l"), F.lit(1))
-    return df.withColumn(out, F.when(F.col("__s") == "latin", F.when(first["n"] > second["n"], first["lang"])).otherwise(F.col("__s"))).drop("__c", "__s", "__l")
+    sent = texts.sparkSession.sparkContext.broadcast(model)
+    schema = T.StructType([*(f for f in texts.schema.fields if f.name not in ("own", "joined", "mine", "theirs")), T.StructField("differ", T.BooleanType())])
+    return texts.mapInArrow(lambda batches: _mismatches(batches, sent.value), schema)
 
 
 def _close(a: Column, b: Column, least: float = 0.8) -> Column:
@@ -112,55 +136,73 @@ def _close(a: Column, b: Column, least: float = 0.8) -> Column:
     return (shorter > 0) & ((longer - shorter) <= most) & ((a == b) | ((longer > 3) & (F.levenshtein(a, b) <= most)))
 
 
+def _last(text: Column, n: int = 1) -> Column:
+    return F.substring(text, -n, n)
+
+
 def pair_rules(pairs: DataFrame) -> DataFrame:
-    """``id columns, said, empty, refusal, copy, language, unclosed, closed, ending``: everything that one row tells.
+    """``pairs`` with ``empty, refusal, copy, mine, theirs, own, joined, unclosed, closed, particle, ending``: what one row tells.
 
     ``pairs``: ``block`` (messages, ARRAY<STRING>), ``question``, ``target`` (name of what is asked about) and others.
+    ``mine`` and ``theirs`` are the scripts of the question without its quotations (``own``) and of the messages (``joined``).
     """
     rows = pairs.withColumns({"said": plain(F.col("question")), "aim": plain(F.col("target")), "messages": F.transform(F.coalesce("block", F.array().cast("array<string>")), plain)})
-    rows = rows.withColumns({"joined": F.array_join("messages", " "), "letters": bare(F.col("said")), "spaced": F.regexp_replace("said", "['’]", " "), "own": F.regexp_replace("said", "[“\"「][^”\"」]*[”\"」]", "")})
-    target = F.col("aim")
+    rows = rows.withColumns({"joined": F.array_join("messages", " "), "letters": bare(F.col("said")), "own": F.regexp_replace("said", "[“\"「][^”\"」]*[”\"」]", ""), "foreign": F.col("said").rlike(_FOREIGN), "last": _last(F.col("said"))})
+    said, target, last = F.col("said"), F.col("aim"), F.col("last")
     empty = (F.col("letters") == "") | F.col("letters").isin(NOTHING) | (bare(target) == "")
-    asks = F.col("said").rlike(ASKS)
-    refusal = F.col("spaced").rlike("(?U)" + "|".join(REFUSALS))
+    particle = last.isin(PARTICLES) & ~((last == "么") & _last(said, 2).isin([c + "么" for c in UNFINISHED]))
+    asks = last.isin("?", "？") | particle
+    spaced = F.regexp_replace("said", "['’]", " ")
+    refusal = (said.rlike(_DECLINES) & spaced.rlike("|".join(REFUSALS[:3]))) | (F.col("foreign") & spaced.rlike("(?U)" + "|".join(REFUSALS[3:])))
     # "you said" before the patient's words, and a mark or greeting about them, are no question
     stripped = F.regexp_replace(F.col("letters"), r"^(您说|你说|您刚才说|你刚才说|患者说|yousaid|您好|你好)", "")
     sources = F.array_distinct(F.filter(F.concat(F.transform("messages", bare), F.array(bare(F.col("joined")))), lambda m: m != ""))
     rows = rows.withColumns({"stripped": stripped, "sources": sources})
-    rows = with_language(with_language(rows, "own", "mine"), "joined", "theirs")
+    rows = with_script(with_script(rows, "own", "mine"), "joined", "theirs")
     copy = F.exists("sources", lambda m: _close(F.col("letters"), m) | _close(F.col("stripped"), m))
-    mismatch = F.col("mine") != F.col("theirs")
-    opened = sum(((_count(F.col("said"), a) > _count(F.col("said"), b)).cast("int") for a, b in ((r"[(（]", r"[)）]"), ("[“「『]", "[”」』]"), (r"\[|【", r"\]|】"))), F.lit(0)) > 0
-    ellipsis = F.col("said").rlike(r"(…|\.\.\.?|。。+|[,，、;；:：\-—])\s*$")
-    closed = F.col("said").rlike(r"[?？。.!！｡」”\"）)]\s*$") & ~ellipsis
-    masked = F.when(target != "", F.replace(F.col("said"), target, F.lit("\u0001"))).otherwise(F.col("said"))
-    tail = F.regexp_replace(masked, r"(?U)[^\p{L}\p{N}\u0001]+$", "")
+    pairs_of_marks = ((r"[(（]", r"[)）]"), ("[“「『]", "[”」』]"), (r"\[|【", r"\]|】"))
+    opened = said.rlike("[(（“「『\\[【]") & (sum(((_count(said, a) > _count(said, b)).cast("int") for a, b in pairs_of_marks), F.lit(0)) > 0)
+    ellipsis = last.isin(TRAILING) | _last(said, 2).isin("..", "。。")
+    masked = F.when(target != "", F.replace(said, target, F.lit("\u0001"))).otherwise(said)
+    tail = F.regexp_replace(masked, r"[^\p{L}\p{N}\u0001]+$", "")
     # the last letters; of scripts that write words apart, the last word and its distance from the others is enough
-    ending = F.when(F.col("said").rlike(r"(?U)[\p{IsHan}ぁ-ヺ]"), F.substring(tail, -4, 4)).otherwise(F.regexp_extract(tail, r"(?U)(\S+)$", 1))
+    ending = F.when(said.rlike("[\u3005\u3007\u3400-\u9fff\uf900-\ufaffぁ-ヺ]"), F.substring(tail, -4, 4)).otherwise(F.regexp_extract(tail, r"(?U)(\S+)$", 1))
     return rows.withColumns(
         {
-            "empty": empty, "refusal": refusal & ~(asks & F.col("said").rlike(r"^(对不起|抱歉|不好意思|仅凭|如果|这个问题)")), "copy": F.coalesce(copy, F.lit(False)), "language": F.coalesce(mismatch, F.lit(False)),
-            "unclosed": opened | ellipsis, "closed": closed, "particle": F.col("said").rlike(PARTICLE), "ending": ending,
+            "empty": empty, "refusal": refusal & ~(asks & said.rlike(r"^(对不起|抱歉|不好意思|仅凭|如果|这个问题)")), "copy": F.coalesce(copy, F.lit(False)),
+            "unclosed": opened | ellipsis, "closed": last.isin(CLOSING) & ~ellipsis, "particle": particle, "ending": ending,
         }
-    ).drop("messages", "joined", "letters", "said", "aim", "spaced", "own", "stripped", "sources", "mine", "theirs")
+    ).drop("messages", "letters", "said", "aim", "stripped", "sources", "foreign", "last")
 
 
-def defective_pairs(pairs: DataFrame, ids: list[str], support: int = 3) -> DataFrame:
+def defective_pairs(pairs: DataFrame, ids: list[str], model: NaiveBayes, share: float = 1e-5) -> DataFrame:
     """``ids, defects``: every pair with a defect, with all of its defects in the order of ``DEFECTS``.
 
-    ``support``: an ending counts as one of whole questions if so many closed ones have it. The rows of the rules are
-    written once; the endings of all closed questions are counted with map-side combination and joined to the few
-    questions that are left open.
+    ``model`` tells the languages of Latin script apart. ``share``: an ending counts as one of whole questions if more
+    than this share of the closed ones have it. The rows of the rules are written once; the endings of all closed
+    questions are counted with map-side combination and joined to the few questions that are left open, and so are the
+    verdicts of the classifier on the few pairs that it is asked about.
     """
-    rules = cut(pair_rules(pairs.select(*ids, "block", "question", "target").dropDuplicates(ids)).select(*ids, "empty", "refusal", "copy", "language", "unclosed", "closed", "particle", "ending"))
+    rows = pairs.select(*ids, "block", "question", "target").distinct().withColumn("__pair", F.xxhash64("block", "question", "target"))
+    keys = [*ids, "__pair"]
+    latin = (F.col("mine") == "latin") | (F.col("theirs") == "latin")
+    undosed = lambda c: F.regexp_replace(c, _DOSE, " ")
+    seen = pair_rules(rows).withColumns({"asked": F.coalesce(latin, F.lit(False)), "language": F.coalesce(F.col("mine") != F.col("theirs"), F.lit(False))})
+    texts = {c: F.when(F.col("asked") & F.col("theirs").isNotNull() & F.col("mine").isNotNull(), undosed(c)) for c in ("own", "joined")}
+    rules = cut(seen.withColumns(texts).select(*keys, "empty", "refusal", "copy", "language", "asked", "own", "joined", "mine", "theirs", "unclosed", "closed", "particle", "ending"))
     sound = ~(F.col("empty") | F.col("refusal") | F.col("copy"))
-    endings = rules.where(sound & F.col("closed") & ~F.col("unclosed")).groupBy("ending").agg(F.count("*").alias("seen")).where(F.col("seen") >= support)
-    open_ = rules.where(~F.col("closed") & ~F.col("unclosed") & ~F.col("particle") & ~F.col("empty"))
-    abrupt = open_.join(endings, "ending", "left_anti").select(*ids, F.lit(True).alias("abrupt"))
-    rest = rules.where(F.col("closed") | F.col("unclosed") | F.col("particle") | F.col("empty")).select(*ids, "empty", "refusal", "copy", "language", (F.col("unclosed") & ~F.col("empty")).alias("truncated"))
-    hung = open_.join(abrupt, ids, "left").select(*ids, "empty", "refusal", "copy", "language", F.coalesce("abrupt", F.lit(False)).alias("truncated"))
-    named = F.filter(F.array(*(F.when(F.col(d), d) for d in DEFECTS)), lambda d: d.isNotNull())
-    return rest.unionByName(hung).select(*ids, named.alias("defects")).where(F.size("defects") > 0)
+    endings = rules.where(sound & F.col("closed") & ~F.col("unclosed")).groupBy("ending").agg(F.count("*").alias("seen"))
+    whole = endings.select(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
+    open_ = ~F.col("closed") & ~F.col("unclosed") & ~F.col("particle") & ~F.col("empty")
+    abrupt = rules.where(open_).join(endings.where(F.col("seen") > share * whole), "ending", "left_anti").select(*keys, F.lit("truncated").alias("defect"))
+    differ = language_mismatches(rules.where(F.col("asked") & F.col("own").isNotNull()).select(*keys, "own", "joined", "mine", "theirs"), model).where("differ").select(*keys, F.lit("language").alias("defect"))
+    told = F.filter(
+        F.array(*(F.when(F.col(d), d) for d in ("empty", "refusal", "copy")), F.when(F.col("language") & ~F.col("asked"), "language"), F.when(F.col("unclosed") & ~F.col("empty"), "truncated")), lambda d: d.isNotNull()
+    )
+    every = rules.select(*keys, F.explode(told).alias("defect")).unionByName(abrupt).unionByName(differ)
+    # all defects of one id, however many pairs it has, are five at most
+    sets = every.groupBy(*ids).agg(F.collect_set("defect").alias("found"))
+    return sets.select(*ids, F.filter(F.array(*map(F.lit, DEFECTS)), lambda d: F.array_contains("found", d)).alias("defects"))
 
 
 def asked_pairs(rows: DataFrame) -> DataFrame:
@@ -169,15 +211,18 @@ def asked_pairs(rows: DataFrame) -> DataFrame:
     return asked.select("dialogue_id", "block_id", F.col("patient_block").alias("block"), F.col("utterance").alias("question"), F.col("next_question_target.name").alias("target"))
 
 
+def _defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defective_pairs(asked_pairs(table(spark, sf_dir, "interviewer_rows")), ["dialogue_id", "block_id"], fit(table(spark, sf_dir, "documents")))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defective questions with the first of their defects."""
-    found = defective_pairs(asked_pairs(table(spark, sf_dir, "interviewer_rows")), ["dialogue_id", "block_id"])
-    return found.select("dialogue_id", "block_id", F.col("defects")[0].alias("defect"))
+    return _defects(spark, sf_dir).select("dialogue_id", "block_id", F.col("defects")[0].alias("defect"))
 
 
 def p3_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defective questions with all of their defects."""
-    return defective_pairs(asked_pairs(table(spark, sf_dir, "interviewer_rows")), ["dialogue_id", "block_id"]).withColumn("defects", F.array_join("defects", ","))
+    return _defects(spark, sf_dir).withColumn("defects", F.array_join("defects", ","))
 
 
 QUERIES = {"p3_found": p3_found, "p3_defects": p3_defects}

@@ -1,15 +1,27 @@
+from pathlib import Path
+
 import pytest
 
+from dialoom.llm import language
 from dialoom.llm.pairs import defective_pairs
+from dialoom.session import table
 
 DDL = "id int, block array<string>, question string, target string, said string, empty int"
 #: Sound questions, from which the endings are learnt.
 SOUND = [(1000 + n, ["我腹痛三天"], q, "腹痛", "clash", 1) for n, q in enumerate(["腹痛的程度怎么样？", "家里人有没有同样的腹痛？", "您吃过什么药物？", "腹痛的部位在哪里？", "腹痛多久了？"] * 4)]
 
 
-def judged(spark, block, question, target="腹痛"):
+@pytest.fixture(scope="module")
+def model(spark):
+    path = Path("/root/testdata/sf0.01")
+    if not path.exists():
+        pytest.skip("no test tables")
+    return language.fit(table(spark, str(path), "documents"))
+
+
+def judged(spark, model, block, question, target="腹痛"):
     df = spark.createDataFrame([*SOUND, (1, block, question, target, "clash", 1), (1, block, question, target, "clash", 1)], DDL)
-    rows = defective_pairs(df, ["id"]).collect()
+    rows = defective_pairs(df, ["id"], model).collect()
     assert [r["id"] for r in rows] in ([], [1])
     return rows[0]["defects"] if rows else []
 
@@ -28,24 +40,29 @@ BLOCK = ["右下腹刺痛三天，吃过 Norvial 10 mg"]
         ("您刚才说“右下腹刺痛三天”，腹痛多久了？", "腹痛", []), ("Seit wann haben Sie Blähungen?", "腹痛", ["language"]), ("Как давно у вас изжога?", "腹痛", ["language"]), ("便秘は一日に何回くらい起こりますか。", "腹痛", ["language"]), ("설사 증상은 언제부터 있었나요?", "腹痛", ["language"]),
     ],
 )
-def test_defects(spark, question, target, want):
-    assert judged(spark, BLOCK, question, target) == want
+def test_defects(spark, model, question, target, want):
+    assert judged(spark, model, BLOCK, question, target) == want
 
 
 @pytest.mark.parametrize(
     ("block", "question", "want"),
     [
-        (["I have had nausea for 17 days and it usually starts late at night."], "How long have you had nausea?", []), (["I have had nausea for 17 days and it usually starts late at night."], "O incômodo piora de madrugada?", []),
+        (["I have had nausea for 17 days and it usually starts late at night."], "How long have you had nausea?", []), (["I have had nausea for 17 days and it usually starts late at night."], "O incômodo piora de madrugada?", ["language"]),
         (["I have had nausea for 17 days and it usually starts late at night."], "Depuis quand avez-vous ces symptômes ?", ["language"]), (["I have had nausea for 17 days and it usually starts late at night."], "腹痛多久了？", ["language"]),
+        (["腹痛三天了"], "O incômodo piora de madrugada?", ["language"]), (["吃过 Vél-inol 15 mg"], "腹痛多久了？", []), (["Omeprazol 20 mg"], "腹痛多久了？", []),
         (None, "腹痛多久了？", []), ([None, ""], "腹痛多久了？", []), (["嗯"], "腹痛多久了？", []),
     ],
 )
-def test_languages(spark, block, question, want):
-    got = judged(spark, block, question)
-    assert got == want or (question.startswith("O inc") and got == ["language"])
+def test_languages(spark, model, block, question, want):
+    assert judged(spark, model, block, question) == want
 
 
-def test_long_texts_and_empty_tables(spark):
+def test_long_texts_and_empty_tables(spark, model):
     long = "腹痛三天，" * 20_000
-    assert judged(spark, [long], long + "好") == ["copy", "truncated"]
-    assert defective_pairs(spark.createDataFrame([], DDL), ["id"]).count() == 0
+    assert judged(spark, model, [long], long + "好") == ["copy", "truncated"]
+    assert defective_pairs(spark.createDataFrame([], DDL), ["id"], model).count() == 0
+
+
+def test_several_pairs_of_one_id(spark, model):
+    rows = [*SOUND, (1, BLOCK, "", "腹痛", "", 1), (1, BLOCK, "腹痛多久了？", "腹痛", "", 1), (1, BLOCK, "腹痛的程度怎", "腹痛", "", 1), (1, BLOCK, "腹痛的程度怎", "腹痛", "", 1)]
+    assert [tuple(r) for r in defective_pairs(spark.createDataFrame(rows, DDL), ["id"], model).collect()] == [(1, ["empty", "truncated"])]
