@@ -27,7 +27,8 @@ def version_history(snapshots: DataFrame, key: str, order: str, items: str, late
     Copies and earlier attempts of a place collapse before the shuffle, so that any number of them is one row per
     task; places are gathered by key and range of the order, so that a key with any share of all rows is spread over
     tasks. Each range is one sorted array of at most ``chunk`` structs, folded by a higher-order function that appends
-    a version only upon change. The folded versions alone are shuffled again, to join up neighbouring ranges.
+    a version only upon change. Of keys of several ranges, the versions at the ends of a range alone are shuffled again,
+    to join up neighbouring ranges.
     """
     says = F.col(items).isNotNull()
     rows = snapshots.where(F.col(key).isNotNull() & F.col(order).isNotNull()).select(
@@ -53,23 +54,26 @@ def version_history(snapshots: DataFrame, key: str, order: str, items: str, late
         return F.struct(F.concat(acc["done"], closed).cast(_VERSIONS).alias("done"), F.concat(kept, begun).cast(_VERSIONS).alias("open"))
 
     folded = F.aggregate("shots", F.struct(nothing.alias("done"), nothing.alias("open")), step, lambda acc: F.concat(acc["done"], acc["open"]))
-    parts = shots.select("key", "part", F.get(F.col("shots"), F.lit(0))["place"].alias("first"), folded.alias("versions"))
+    first = F.get(F.col("shots"), F.lit(0))["place"].alias("first")
 
+    # most keys are one range, whose versions are final; of the others, the places at which ranges begin are put in order
     along = Window.partitionBy("key").orderBy("part")
-    parts = parts.select("key", "versions", F.lead("first").over(along).alias("next"), F.lag("first").over(along).alias("before"))
-    lone = F.col("next").isNull() & F.col("before").isNull()
-    flat = parts.select("key", "next", (~lone).alias("joins"), F.inline("versions"))
-    open_ended = F.coalesce("valid_to", "next", F.lit(-1)).alias("valid_to")
-
-    # only histories of several ranges: neighbouring runs of one version that touch are one
+    ends = shots.select("key", "part", first).withColumns({"next": F.lead("first").over(along), "before": F.lag("first").over(along)})
+    several = ends.where("next is not null or before is not null").select("key", "part", "next")
+    single = shots.join(several, ["key", "part"], "left_anti").select("key", F.inline(folded)).select("key", "item", "version", "valid_from", F.coalesce("valid_to", F.lit(-1)).alias("valid_to"))
+    flat = shots.join(several, ["key", "part"]).select("key", first, "next", F.inline(folded))
+
+    # of several ranges, the versions that lie inside one are final; only those at its ends are shuffled, and those
+    # of one version that touch are one
+    at_end = F.col("valid_to").isNull() | (F.col("valid_from") == F.col("first"))
+    inside = flat.where(~at_end).select("key", "item", "version", "valid_from", "valid_to")
     runs = Window.partitionBy("key", "item").orderBy("valid_from")
-    several = flat.where("joins").select("key", "item", "version", "valid_from", open_ended)
+    parted = flat.where(at_end).select("key", "item", "version", "valid_from", F.coalesce("valid_to", "next", F.lit(-1)).alias("valid_to"))
     touches = (F.lag("version").over(runs) == F.col("version")) & (F.lag("valid_to").over(runs) == F.col("valid_from"))
-    several = several.withColumn("starts", F.when(touches, 0).otherwise(1))
-    several = several.withColumn("run", F.sum("starts").over(runs.rowsBetween(Window.unboundedPreceding, 0)))
-    several = several.groupBy("key", "item", "run").agg(F.first("version").alias("version"), F.min("valid_from").alias("valid_from"), F.max_by("valid_to", "valid_from").alias("valid_to"))
-    single = flat.where(~F.col("joins")).select("key", "item", "version", "valid_from", open_ended)
-    return single.unionByName(several.drop("run")).withColumnRenamed("key", key)
+    parted = parted.withColumn("starts", F.when(touches, 0).otherwise(1))
+    parted = parted.withColumn("run", F.sum("starts").over(runs.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = parted.groupBy("key", "item", "run").agg(F.first("version").alias("version"), F.min("valid_from").alias("valid_from"), F.max_by("valid_to", "valid_from").alias("valid_to"))
+    return single.unionByName(inside).unionByName(joined.drop("run")).withColumnRenamed("key", key)
 
 
 def canonical_attributes(attributes: Column) -> Column:
