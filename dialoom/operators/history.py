@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialoom.functions.text import BLANKS, strip
-from dialoom.session import table
+from dialoom.session import cut, table
 
 #: Snapshots of one key that are folded in one array; a longer history is folded in several and joined up.
 CHUNK = 256
@@ -54,14 +54,15 @@ def version_history(snapshots: DataFrame, key: str, order: str, items: str, late
         return F.struct(F.concat(acc["done"], closed).cast(_VERSIONS).alias("done"), F.concat(kept, begun).cast(_VERSIONS).alias("open"))
 
     folded = F.aggregate("shots", F.struct(nothing.alias("done"), nothing.alias("open")), step, lambda acc: F.concat(acc["done"], acc["open"]))
-    first = F.get(F.col("shots"), F.lit(0))["place"].alias("first")
+    # the folded ranges are written once, as they are read for their places and for their versions
+    parts = cut(shots.select("key", "part", F.get(F.col("shots"), F.lit(0))["place"].alias("first"), folded.alias("versions")))
 
     # most keys are one range, whose versions are final; of the others, the places at which ranges begin are put in order
     along = Window.partitionBy("key").orderBy("part")
-    ends = shots.select("key", "part", first).withColumns({"next": F.lead("first").over(along), "before": F.lag("first").over(along)})
+    ends = parts.select("key", "part", "first").withColumns({"next": F.lead("first").over(along), "before": F.lag("first").over(along)})
     several = ends.where("next is not null or before is not null").select("key", "part", "next")
-    single = shots.join(several, ["key", "part"], "left_anti").select("key", F.inline(folded)).select("key", "item", "version", "valid_from", F.coalesce("valid_to", F.lit(-1)).alias("valid_to"))
-    flat = shots.join(several, ["key", "part"]).select("key", first, "next", F.inline(folded))
+    single = parts.join(several, ["key", "part"], "left_anti").select("key", F.inline("versions")).select("key", "item", "version", "valid_from", F.coalesce("valid_to", F.lit(-1)).alias("valid_to"))
+    flat = parts.join(several, ["key", "part"]).select("key", "first", "next", F.inline("versions"))
 
     # of several ranges, the versions that lie inside one are final; only those at its ends are shuffled, and those
     # of one version that touch are one
