@@ -19,20 +19,20 @@ GENERIC_NEGATIVES = ["用药", "吃药", "服药", "药物", "检查", "检验",
 
 # Legacy attribute ``value``: the first key with one of its words in the fact's text.
 VALUE_KEYS = [
-    ("duration", "病程 持续 多久 时长 几天 多长时间"),
-    ("time", "开始 发病时间 昨 今 前 后 时间"),
-    ("frequency", "次数 频率 几次 一天 每 间隔 次/"),
-    ("color", "颜色 色"),
-    ("character", "性状 形状 干 稀 水样 香蕉形"),
-    ("body_part", "部位 位置 上腹 下腹 右 左 肚脐"),
-    ("severity", "程度 严重 轻 重 剧烈"),
-    ("result", "结果 谷丙 谷草 转氨酶 指标 阳性 阴性"),
-    ("temperature", "体温 温度 发热 发烧 低烧"),
-    ("dose", "剂量 用量"),
-    ("effect", "缓解 效果 改善"),
-    ("appetite", "食欲 胃口"),
-    ("sleep", "睡眠 入睡 醒"),
-    ("amount", "量 多 少 喝水 饮食 体重 身高 年龄"),
+    ("duration", ["病程", "持续", "多久", "时长", "几天", "多长时间"]),
+    ("time", ["开始", "发病时间", "昨", "今", "前", "后", "时间"]),
+    ("frequency", ["次数", "频率", "几次", "一天", "每", "间隔", "次/"]),
+    ("color", ["颜色", "色"]),
+    ("character", ["性状", "形状", "干", "稀", "水样", "香蕉形"]),
+    ("body_part", ["部位", "位置", "上腹", "下腹", "右", "左", "肚脐"]),
+    ("severity", ["程度", "严重", "轻", "重", "剧烈"]),
+    ("result", ["结果", "谷丙", "谷草", "转氨酶", "指标", "阳性", "阴性"]),
+    ("temperature", ["体温", "温度", "发热", "发烧", "低烧"]),
+    ("dose", ["剂量", "用量"]),
+    ("effect", ["缓解", "效果", "改善"]),
+    ("appetite", ["食欲", "胃口"]),
+    ("sleep", ["睡眠", "入睡", "醒"]),
+    ("amount", ["量", "多", "少", "喝水", "饮食", "体重", "身高", "年龄"]),
 ]
 
 # Short answers and chatter.
@@ -40,9 +40,9 @@ SHORT_ANSWERS = ["没有", "无", "正常", "不清楚", "不知道", "有", "
 CHATTER = [
     "好", "好的", "好吧", "行", "可以", "嗯", "嗯嗯", "恩", "恩恩", "哦", "哦哦", "噢", "知道了", "明白了", "了解了", "谢谢", "谢谢医生", "感谢", "感谢医生", "不客气", "再见", "拜拜", "麻烦了", "辛苦了",
 ]
-MEDICAL_SIGNALS = (
-    "药 吃 服 用 检查 复查 化验 验 做 去 明天 今天 昨天 现在 刚才 又 还 发烧 发热 疼 痛 咳 痰 拉 吐 恶心 腹 头晕 胸 血 尿 便 过敏".split()
-)
+MEDICAL_SIGNALS = [
+    "药", "吃", "服", "用", "检查", "复查", "化验", "验", "做", "去", "明天", "今天", "昨天", "现在", "刚才", "又", "还", "发烧", "发热", "疼", "痛", "咳", "痰", "拉", "吐", "恶心", "腹", "头晕", "胸", "血", "尿", "便", "过敏",
+]
 
 # Closing words, and words that open another topic.
 PATIENT_CLOSINGS = ["好的", "好吧", "嗯", "嗯嗯", "谢谢", "谢谢医生", "知道了", "明白了", "再见", "晚安"]

@@ -126,8 +126,8 @@ def recent_context(messages: DataFrame, max_messages: int, max_chars: int) -> Da
 
 
 def recent_context_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Context of two messages and 60 characters of every user message, as one text."""
-    rows = recent_context(_ordered(spark, sf_dir), 2, 60)
+    """Context of two messages and 600 characters of every user message, as one text."""
+    rows = recent_context(_ordered(spark, sf_dir), 2, 600)
     text = F.array_join(F.transform("context", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
     return rows.select("dialogue_id", "turn_id", F.size("context").cast("int").alias("messages"), text.alias("context"))
 
@@ -150,8 +150,8 @@ def truncated_context(messages: DataFrame, max_messages: int, max_chars: int) ->
 
 
 def recent_context_truncating(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Context of four messages and 50 characters of every user message, as one text."""
-    rows = truncated_context(_ordered(spark, sf_dir), 4, 50)
+    """Context of four messages and 1,000 characters of every user message, as one text."""
+    rows = truncated_context(_ordered(spark, sf_dir), 4, 1000)
     text = F.array_join(F.transform("context", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
     return rows.select("dialogue_id", "turn_id", text.alias("context"))
 
@@ -254,12 +254,17 @@ def message_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def block_order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks of interviewer_rows whose number isn't the one after the number before."""
-    rows = table(spark, sf_dir, "interviewer_rows").select("dialogue_id", "block_id").distinct()
+    """Blocks of interviewer_rows, and of planted sessions with gaps, whose number isn't the one after the number before."""
+    planted = spark.createDataFrame(PLANTED_BLOCKS, "dialogue_id string, block_id int")
+    rows = table(spark, sf_dir, "interviewer_rows").select("dialogue_id", "block_id").unionByName(planted).distinct()
     before = F.lag("block_id").over(Window.partitionBy("dialogue_id").orderBy("block_id"))
     return rows.withColumn("before", before).where("block_id <> coalesce(before, -1) + 1")
 
 
+#: Sessions that a check of the order must name, beside those of the table: a gap, a late begin, and a sound one.
+PLANTED_BLOCKS = [("planted gap", 0), ("planted gap", 1), ("planted gap", 3), ("planted late", 2), ("planted sound", 0), ("planted sound", 1)]
+
+
 QUERIES = {
     "scan_messages_roles": scan_messages_roles, "user_turn_counts": user_turn_counts, "prefix_select_by_user_turns": prefix_select, "previous_assistant_asof": previous_assistant_asof,
     "recent_context_budget": recent_context_budget, "recent_context_truncating": recent_context_truncating, "dialogue_blocks": dialogue_blocks, "block_next_lead": block_next_lead,
@@ -310,14 +315,14 @@ SELECT dialogue_id, turn_id, nullif(p, '') AS previous FROM looked WHERE role =
     sum(length(s.role) + length(s.content)) OVER (PARTITION BY u.dialogue_id, u.turn_id ORDER BY s.turn_id DESC) AS chars
   FROM messages_in_order u JOIN spoken s ON s.dialogue_id = u.dialogue_id AND s.turn_id < u.turn_id WHERE u.role = 'user'
 ), kept AS (
-  SELECT dialogue_id, turn_id, count(*) AS messages, string_agg(role || ':' || content, chr(10) ORDER BY t) AS context FROM pairs WHERE rn = 1 OR (rn <= 2 AND chars <= 60) GROUP BY ALL)
+  SELECT dialogue_id, turn_id, count(*) AS messages, string_agg(role || ':' || content, chr(10) ORDER BY t) AS context FROM pairs WHERE rn = 1 OR (rn <= 2 AND chars <= 600) GROUP BY ALL)
 SELECT u.dialogue_id, u.turn_id, CAST(coalesce(messages, 0) AS INTEGER) AS messages, coalesce(context, '') AS context FROM messages_in_order u LEFT JOIN kept k USING (dialogue_id, turn_id) WHERE u.role = 'user'""",
     "recent_context_truncating": f"""WITH {MESSAGES_SQL}, pairs AS (
   SELECT u.dialogue_id, u.turn_id, s.turn_id AS t, s.role, s.content, row_number() OVER w AS rn, sum(length(s.content)) OVER w - length(s.content) AS used
   FROM messages_in_order u JOIN messages_in_order s ON s.dialogue_id = u.dialogue_id AND s.turn_id < u.turn_id AND s.content <> '' WHERE u.role = 'user'
   WINDOW w AS (PARTITION BY u.dialogue_id, u.turn_id ORDER BY s.turn_id DESC)
 ), kept AS (
-  SELECT dialogue_id, turn_id, string_agg(coalesce(role, '') || ':' || right(content, CAST(least(50 - used, length(content)) AS BIGINT)), chr(10) ORDER BY t) AS context FROM pairs WHERE rn <= 4 AND used < 50 GROUP BY ALL)
+  SELECT dialogue_id, turn_id, string_agg(coalesce(role, '') || ':' || right(content, CAST(least(1000 - used, length(content)) AS BIGINT)), chr(10) ORDER BY t) AS context FROM pairs WHERE rn <= 4 AND used < 1000 GROUP BY ALL)
 SELECT u.dialogue_id, u.turn_id, coalesce(context, '') AS context FROM messages_in_order u LEFT JOIN kept k USING (dialogue_id, turn_id) WHERE u.role = 'user'""",
     "dialogue_blocks": f"""WITH {_BLOCKS_SQL}
 SELECT dialogue_id, block_id, array_to_string(patient_block, '|') AS patient_block, array_to_string(patient_turn_ids, '|') AS patient_turn_ids, array_to_string(doctor_block, '|') AS doctor_block, array_to_string(doctor_turn_ids, '|') AS doctor_turn_ids FROM blocks""",
@@ -350,5 +355,6 @@ SELECT dialogue_id, CAST(1 + count(*) FILTER (reason IN ('topic', 'complaint'))
   SELECT dialogue_id, turn_id, s IN ({_list(SHORT_ANSWERS)}) OR length(s) BETWEEN 1 AND 4 AS short,
     c <> '' AND (c IN ({_list(CHATTER)}) OR (NOT regexp_matches(c, '{"|".join(MEDICAL_SIGNALS)}') AND left_over = '')) AS chatter FROM rest)
 SELECT * FROM flags WHERE short OR chatter""",
-    "block_order_check": """SELECT dialogue_id, block_id, before FROM (SELECT dialogue_id, block_id, lag(block_id) OVER (PARTITION BY dialogue_id ORDER BY block_id) AS before FROM (SELECT DISTINCT dialogue_id, block_id FROM interviewer_rows)) WHERE block_id <> coalesce(before, -1) + 1""",
+    "block_order_check": f"""SELECT dialogue_id, block_id, before FROM (SELECT dialogue_id, block_id, lag(block_id) OVER (PARTITION BY dialogue_id ORDER BY block_id) AS before
+  FROM (SELECT DISTINCT dialogue_id, block_id FROM (SELECT dialogue_id, block_id FROM interviewer_rows UNION ALL VALUES {", ".join(map(str, PLANTED_BLOCKS))}))) WHERE block_id <> coalesce(before, -1) + 1""",
 }

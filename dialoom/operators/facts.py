@@ -74,9 +74,18 @@ def evidence_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validated(spark, sf_dir).groupBy("type").agg(F.count("*").alias("facts"), F.count_if(held).alias("held"))
 
 
+#: Attribute facts that a check of bindings must name, beside those of the table, and one turn that is sound.
+PLANTED_BINDINGS = [
+    ("planted", 0, 0, "attribute", "三天了", "腹痛", "duration", "三天"), ("planted", 0, 1, "attribute", "三天了", "腹泻", "duration", "三天"), ("planted", 1, 0, "attribute", "三天了", "腹痛", "duration", "三天"),
+    ("planted", 1, 1, "attribute", "三天了", "腹痛", "severity", "轻"), ("planted", 2, 0, "attribute", "很重", "腹痛", "severity", "重"), ("planted", 2, 1, "attribute", "很重", "未知", "severity", "重"),
+]
+
+
 def conflicting_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns in which one evidence binds one attribute key to several targets."""
-    facts = distinct_facts(table(spark, sf_dir, "facts")).where("type = 'attribute'")
+    """Turns, of the facts and of planted ones, in which one evidence binds one attribute key to several targets."""
+    planted = spark.createDataFrame(PLANTED_BINDINGS, "dialogue_id string, turn_id int, fact_pos int, type string, evidence string, target string, key string, value string")
+    planted = planted.select("dialogue_id", "turn_id", "fact_pos", "type", "evidence", F.create_map(F.lit("target"), "target", "key", "value").alias("attribute"))
+    facts = distinct_facts(table(spark, sf_dir, "facts")).unionByName(planted, allowMissingColumns=True).where("type = 'attribute'")
     target = F.trim(F.col("attribute")["target"])
     rows = facts.select("dialogue_id", "turn_id", F.trim(F.coalesce("evidence", F.lit(""))).alias("evidence"), target.alias("target"), F.explode("attribute").alias("key", "value"))
     rows = rows.where((F.col("key") != "target") & (F.coalesce("value", F.lit("")) != "") & F.coalesce(~F.col("target").isin(UNKNOWN_TARGETS), F.lit(False)))
@@ -140,7 +149,7 @@ def value_key(text: Column) -> Column:
     """The key for a legacy attribute ``value``, by the words around it."""
     out = F.lit("description")
     for key, words in reversed(VALUE_KEYS):
-        out = F.when(text.rlike("|".join(words.split())), key).otherwise(out)
+        out = F.when(text.rlike("|".join(words)), key).otherwise(out)
     return out
 
 
@@ -251,7 +260,8 @@ SELECT count(*) AS turns, count(*) FILTER (bad = 0) AS valid_turns, round(coales
     "evidence_substring_validation": f"""WITH {DISTINCT_SQL}, {UTTERANCES_SQL}
 SELECT type, count(*) AS facts, count(*) FILTER (coalesce(contains(patient_utterance, evidence), FALSE)) AS held FROM facts_once LEFT JOIN utterances USING (dialogue_id, turn_id) GROUP BY type""",
     "conflicting_bindings": f"""WITH {DISTINCT_SQL}, keys AS (
-  SELECT dialogue_id, turn_id, trim(coalesce(evidence, ''), ' ') AS evidence, trim(attribute['target'], ' ') AS target, unnest(map_entries(attribute)) AS e FROM facts_once WHERE type = 'attribute')
+  SELECT dialogue_id, turn_id, trim(coalesce(evidence, ''), ' ') AS evidence, trim(attribute['target'], ' ') AS target, unnest(map_entries(attribute)) AS e FROM (
+    SELECT dialogue_id, turn_id, evidence, attribute, type FROM facts_once UNION ALL SELECT d, t, e, MAP {{'target': target, k: v}}, kind FROM (VALUES {", ".join(map(str, PLANTED_BINDINGS))}) AS p(d, t, pos, kind, e, target, k, v)) WHERE type = 'attribute')
 SELECT dialogue_id, turn_id, evidence, e.key AS key, count(DISTINCT target) AS targets FROM keys
 WHERE e.key <> 'target' AND coalesce(e.value, '') <> '' AND target NOT IN ({_list(UNKNOWN_TARGETS)}) GROUP BY ALL HAVING count(DISTINCT target) > 1""",
     "attribute_alias_merge": f"""WITH {DISTINCT_SQL}, keys AS (
@@ -274,7 +284,7 @@ SELECT f.dialogue_id, f.turn_id, f.fact_pos, coalesce(attributes, '') AS attribu
 SELECT action, count(*) AS n FROM actions WHERE action IS NOT NULL GROUP BY action""",
     "legacy_value_keys": f"""WITH {DISTINCT_SQL}, texts AS (
   SELECT type, concat_ws(' ', coalesce(name, ''), coalesce(normalized_name, ''), coalesce(type, ''), coalesce(evidence, ''), coalesce(attribute['target'], '')) AS t FROM facts_once)
-SELECT type, CASE {" ".join(f"WHEN regexp_matches(t, '{'|'.join(w.split())}') THEN '{k}'" for k, w in VALUE_KEYS)} ELSE 'description' END AS key, count(*) AS n FROM texts GROUP BY ALL""",
+SELECT type, CASE {" ".join(f"WHEN regexp_matches(t, '{'|'.join(w)}') THEN '{k}'" for k, w in VALUE_KEYS)} ELSE 'description' END AS key, count(*) AS n FROM texts GROUP BY ALL""",
     "training_projection_null_codes": rf"""WITH {DISTINCT_SQL}
 SELECT dialogue_id, turn_id, fact_pos, regexp_replace(name, '\p{{Cf}}', '', 'g') AS name, regexp_replace(normalized_name, '\p{{Cf}}', '', 'g') AS normalized_name, type, status, subject,
   regexp_replace(evidence, '\p{{Cf}}', '', 'g') AS evidence, CAST(NULL AS VARCHAR) AS standard_code, CAST(NULL AS VARCHAR) AS terminology FROM facts_once WHERE NOT {_HEDGED_SQL}""",

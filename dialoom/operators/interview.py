@@ -11,14 +11,27 @@ from dialoom.session import table
 
 # Words by which a question asks for an attribute.
 SLOT_WORDS = {
-    "duration": "多久 多长时间 持续时间 持续了", "frequency": "几次 多少次 频率 经常 偶尔", "body_part": "哪里 哪个部位 什么位置 具体位置", "character": "什么性质 怎么疼 什么样的疼 怎样疼",
-    "severity": "严重吗 多严重 疼得厉害 程度", "time": "什么时候 几点 白天还是晚上", "trigger": "什么引起 什么诱发 和什么有关", "relieving_factor": "怎么缓解 什么能缓解 缓解因素",
-    "effect": "效果怎么样 有没有效果 是否有效", "amount": "多少量 量有多少 量大吗", "dose": "多大剂量 每次吃多少 一次吃多少 剂量", "result": "检查结果 结果怎么样 结果如何 是否正常",
-    "route": "怎么用药 怎么服用 什么途径", "side_effect": "副作用 不良反应", "aggravating_factor": "什么会加重 加重因素 怎样会加重",
-}
-INTERVAL_WORDS = "多久一次|多长时间一次|几天一次|几日一次|隔多久一次"
-INTERROGATIVES = "有没有|是否|多久|多长时间|几次|多少次|什么时候|哪里|哪个部位|什么性质|怎么疼"
-UNSAFE = "建议你 建议您 你可以 您可以 可以吃 吃点 需要服用 应该服用 可以服用 做个检查 建议检查 最好检查 考虑是 可能是 诊断为 治疗方案".split()
+    "duration": ["多久", "多长时间", "持续时间", "持续了"],
+    "frequency": ["几次", "多少次", "频率", "经常", "偶尔"],
+    "body_part": ["哪里", "哪个部位", "什么位置", "具体位置"],
+    "character": ["什么性质", "怎么疼", "什么样的疼", "怎样疼"],
+    "severity": ["严重吗", "多严重", "疼得厉害", "程度"],
+    "time": ["什么时候", "几点", "白天还是晚上"],
+    "trigger": ["什么引起", "什么诱发", "和什么有关"],
+    "relieving_factor": ["怎么缓解", "什么能缓解", "缓解因素"],
+    "effect": ["效果怎么样", "有没有效果", "是否有效"],
+    "amount": ["多少量", "量有多少", "量大吗"],
+    "dose": ["多大剂量", "每次吃多少", "一次吃多少", "剂量"],
+    "result": ["检查结果", "结果怎么样", "结果如何", "是否正常"],
+    "route": ["怎么用药", "怎么服用", "什么途径"],
+    "side_effect": ["副作用", "不良反应"],
+    "aggravating_factor": ["什么会加重", "加重因素", "怎样会加重"],
+}
+# Words by which a question asks for an interval, and words that make it a question.
+INTERVAL_WORDS = ["多久一次", "多长时间一次", "几天一次", "几日一次", "隔多久一次"]
+INTERROGATIVES = ["有没有", "是否", "多久", "多长时间", "几次", "多少次", "什么时候", "哪里", "哪个部位", "什么性质", "怎么疼"]
+# Words of advice that no question may give.
+UNSAFE = ["建议你", "建议您", "你可以", "您可以", "可以吃", "吃点", "需要服用", "应该服用", "可以服用", "做个检查", "建议检查", "最好检查", "考虑是", "可能是", "诊断为", "治疗方案"]
 
 
 def canonical_attribute(value: Column) -> Column:
@@ -38,10 +51,10 @@ def target_key(target: Column) -> Column:
 def question_slots(text: Column) -> Column:
     """Attributes that a question asks for; how often in what time is a frequency and no duration."""
     flat = question_text(text)
-    interval = flat.rlike(INTERVAL_WORDS)
+    interval = flat.rlike("|".join(INTERVAL_WORDS))
     found = []
     for slot, words in SLOT_WORDS.items():
-        hit = flat.rlike("|".join(words.split()))
+        hit = flat.rlike("|".join(words))
         hit = hit & ~interval if slot == "duration" else hit | interval if slot == "frequency" else hit
         found.append(F.when(hit, slot))
     return F.array_sort(F.filter(F.array(*found), lambda s: s.isNotNull()))
@@ -49,7 +62,7 @@ def question_slots(text: Column) -> Column:
 
 def is_compound(text: Column) -> Column:
     """Whether a question asks several things at once."""
-    return (F.size(question_slots(text)) > 1) | (F.regexp_count(text, F.lit(INTERROGATIVES)) > 1)
+    return (F.size(question_slots(text)) > 1) | (F.regexp_count(text, F.lit("|".join(INTERROGATIVES))) > 1)
 
 
 def questions(rows: DataFrame) -> DataFrame:
@@ -211,6 +224,9 @@ QUERIES = {
 }
 
 
+_INTERVALS, _ASKING = "|".join(INTERVAL_WORDS), "|".join(INTERROGATIVES)
+
+
 def _flat(column: str) -> str:
     return rf"lower(regexp_replace(coalesce({column}, ''), '[\s\p{{Z}}，。！？、；：,.!?;:]', '', 'g'))"
 
@@ -222,12 +238,12 @@ def _canonical(column: str) -> str:
 
 
 def _slots(column: str) -> str:
-    def hit(slot: str, words: str) -> str:
-        own = f"regexp_matches({column}, '{'|'.join(words.split())}')"
+    def hit(slot: str, words: list[str]) -> str:
+        own = f"regexp_matches({column}, '{'|'.join(words)}')"
         if slot == "duration":
-            own += f" AND NOT regexp_matches({column}, '{INTERVAL_WORDS}')"
+            own += f" AND NOT regexp_matches({column}, '{_INTERVALS}')"
         if slot == "frequency":
-            own += f" OR regexp_matches({column}, '{INTERVAL_WORDS}')"
+            own += f" OR regexp_matches({column}, '{_INTERVALS}')"
         return f"CASE WHEN {own} THEN '{slot}' END"
 
     return f"list_sort(list_filter([{', '.join(hit(s, w) for s, w in SLOT_WORDS.items())}], lambda s: s IS NOT NULL))"
@@ -243,7 +259,7 @@ _ONCE = f"""once AS (SELECT DISTINCT ON (dialogue_id, block_id) * FROM interview
     {_canonical("next_question_target.attribute")} AS canon, coalesce(utterance, '') AS u, {_flat("utterance")} AS fu, coalesce(patient_state.problems, []) AS problems FROM once
 ), target AS (SELECT *, CASE WHEN tn <> '' AND tt <> '' THEN {{'type': tt, 'name': tn, 'attribute': ta}} END AS k FROM keyed), asked AS (
   SELECT *, CASE WHEN action = 'ask' THEN k END AS ak, list_filter(coalesce(list(CASE WHEN action = 'ask' THEN k END) OVER (PARTITION BY dialogue_id ORDER BY block_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), []), lambda x: x IS NOT NULL) AS before FROM target)"""
-_COMPOUND = f"(len({_slots('fu')}) > 1 OR len(regexp_extract_all(u, '{INTERROGATIVES}')) > 1)"
+_COMPOUND = f"(len({_slots('fu')}) > 1 OR len(regexp_extract_all(u, '{_ASKING}')) > 1)"
 _CHECKED = f"""WITH {_ONCE}, checked AS (
   SELECT *, list_filter([
     CASE WHEN action = 'ask' AND NOT coalesce(usable, FALSE) THEN 'asked but unusable' END, CASE WHEN action = 'ask' AND ak IS NULL THEN 'no target' END,

@@ -69,7 +69,7 @@ def _dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pending_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dialogues, of all, that have neither questions nor a failure. Its SQL still stops at the first 900 dialogues."""
+    """Dialogues, of all, that have neither questions nor a failure."""
     asked = table(spark, sf_dir, "interviewer_rows").select(F.col("source_dialogue_id").alias("dialogue_id"))
     failed = failure_ledger(turn_events(table(spark, sf_dir, "turn_rows")), "dialogue_id")
     return pending(_dialogues(spark, sf_dir).select("dialogue_id", "source_pos"), asked, failed)
@@ -131,11 +131,12 @@ ledger AS (SELECT dialogue_id, count(*) AS attempts, arg_min(stage, (tm, stage,
 def _sql() -> dict[str, str]:
     from dialoom.operators.dialogue import MESSAGES_SQL
 
+    every = f"{MESSAGES_SQL}, selected AS (SELECT dialogue_id, min(source_pos) AS source_pos FROM messages_in_order GROUP BY dialogue_id)"
     selected = f"""{MESSAGES_SQL}, selected AS (SELECT dialogue_id, source_pos FROM (SELECT dialogue_id, min(source_pos) AS source_pos, row_number() OVER (ORDER BY min(source_pos)) AS rn FROM messages_in_order GROUP BY dialogue_id) WHERE rn <= 900)"""
     return {
         "ledger_upsert": f"WITH {_EVENTS} SELECT * FROM ledger",
         "ledger_last_wins": f"WITH {_EVENTS} SELECT DISTINCT ON (dialogue_id) dialogue_id, ok, error FROM events ORDER BY dialogue_id, tm DESC, ok DESC, stage DESC, error DESC",
-        "pending_antijoin": f"WITH {_EVENTS}, {selected} SELECT * FROM selected WHERE dialogue_id NOT IN (SELECT source_dialogue_id FROM interviewer_rows WHERE source_dialogue_id IS NOT NULL) AND dialogue_id NOT IN (SELECT dialogue_id FROM ledger)",
+        "pending_antijoin": f"WITH {_EVENTS}, {every} SELECT * FROM selected WHERE dialogue_id NOT IN (SELECT source_dialogue_id FROM interviewer_rows WHERE source_dialogue_id IS NOT NULL) AND dialogue_id NOT IN (SELECT dialogue_id FROM ledger)",
         "failed_prefix_semi": f"WITH {_EVENTS}, {selected} SELECT dialogue_id, source_pos, attempts FROM selected JOIN ledger USING (dialogue_id)",
         "precedence_union": """WITH tagged AS (SELECT DISTINCT dialogue_id, turn_id, 0 AS source FROM facts WHERE standard_code IS NOT NULL UNION ALL SELECT DISTINCT dialogue_id, turn_id, 1 FROM facts WHERE standard_code IS NULL UNION ALL SELECT DISTINCT dialogue_id, turn_id, 2 FROM turn_rows)
 SELECT dialogue_id, source, turn_id FROM tagged QUALIFY source = min(source) OVER (PARTITION BY dialogue_id)""",

@@ -15,6 +15,9 @@ from dialoom.session import table
 SPLITS = ["train", "valid", "test"]
 RATIOS = (0.9, 0.05, 0.05)
 LEAKS = ["weak_labels", "dialogue_id", "turn_id"]
+#: Rows that the checks must name, beside those of the tables, and sound ones.
+PLANTED_SPLITS = [("planted", "train"), ("planted", "test"), ("planted sound", "valid"), ("planted sound", "valid")]
+PLANTED_INPUTS = [("planted", 0, "患者当前发言：腹痛 weak_labels"), ("planted", 1, '{"turn_id": 3}'), ("planted", 2, "患者当前发言：腹痛")]
 
 
 def split_of(key: Column, seed: int = 42, ratios: tuple[float, float, float] = RATIOS) -> Column:
@@ -68,13 +71,16 @@ def split_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source dialogues of interviewer_rows that are in several splits."""
-    return overlapping(table(spark, sf_dir, "interviewer_rows"), "source_dialogue_id")
+    """Source dialogues of interviewer_rows, and of planted rows, that are in several splits."""
+    planted = spark.createDataFrame(PLANTED_SPLITS, "source_dialogue_id string, split string")
+    return overlapping(table(spark, sf_dir, "interviewer_rows").select("source_dialogue_id", "split").unionByName(planted), "source_dialogue_id")
 
 
 def leak_assert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training rows whose text has a word of the internal fields; a sound set gives none."""
-    return _training(spark, sf_dir).where(F.col("input").rlike("|".join(LEAKS))).select("dialogue_id", "turn_id")
+    """Training rows, and planted ones, whose text has a word of the internal fields; a sound set gives none."""
+    planted = spark.createDataFrame(PLANTED_INPUTS, "dialogue_id string, turn_id int, input string")
+    rows = _training(spark, sf_dir).select("dialogue_id", "turn_id", "input").unionByName(planted)
+    return rows.where(F.col("input").rlike("|".join(LEAKS))).select("dialogue_id", "turn_id")
 
 
 def alpaca_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,8 +116,8 @@ def _sql() -> dict[str, str]:
 """
     return {
         "split_by_hash": f"SELECT DISTINCT dialogue_id, {_SPLIT} AS split FROM messages WHERE dialogue_id IS NOT NULL",
-        "split_overlap_assert": "SELECT source_dialogue_id, count(DISTINCT split) AS splits FROM interviewer_rows GROUP BY ALL HAVING count(DISTINCT split) > 1",
-        "leak_assert": rows + f"SELECT dialogue_id, turn_id FROM inputs WHERE regexp_matches(input, '{'|'.join(LEAKS)}')",
+        "split_overlap_assert": f"SELECT source_dialogue_id, count(DISTINCT split) AS splits FROM (SELECT source_dialogue_id, split FROM interviewer_rows UNION ALL VALUES {', '.join(map(str, PLANTED_SPLITS))}) GROUP BY ALL HAVING count(DISTINCT split) > 1",
+        "leak_assert": rows + f"SELECT dialogue_id, turn_id FROM (SELECT dialogue_id, turn_id, input FROM inputs UNION ALL VALUES {', '.join(map(str, PLANTED_INPUTS))}) WHERE regexp_matches(input, '{'|'.join(LEAKS)}')",
         "alpaca_rows": rows + "SELECT dialogue_id, turn_id, split, input FROM inputs",
         "split_summary": f"""WITH {turns}, per AS (SELECT dialogue_id, turn_id, count(DISTINCT fact_pos) AS facts FROM facts GROUP BY ALL), bare AS (
   SELECT dialogue_id, {_SPLIT} AS split, coalesce(facts, 0) AS facts, regexp_replace(coalesce(t.u, ''), '[。！？!?，,\\s\\p{{Z}}]', '', 'g') AS b FROM turns LEFT JOIN per USING (dialogue_id, turn_id))

@@ -317,9 +317,19 @@ def state_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("dialogue_id", "bucket", name.alias("name"), "type", "status").where("name is not null").groupBy("bucket", "name", "type", "status").agg(F.count("*").alias("n"), F.count_distinct("dialogue_id").alias("dialogues"))
 
 
+#: Items of states that the check of a transition must name, beside those of the table, and sound ones.
+PLANTED_ITEMS = [
+    ("planted", 0, "disease", "patient", "ICD-10-CN", "K29", "severity", "轻"), ("planted", 0, "disease", "patient", "ICD-10-CN", "K29", "time", "夜间；午后"), ("planted", 1, "symptom", "patient", "ICD-10-CN", "R10", "time", "夜间；午后；夜间"),
+    ("planted", 2, "disease", "patient", "ICD-10-CN", "K29", "severity", "轻"), ("planted", 2, "disease", "family", "ICD-10-CN", "K29", "severity", "重"),
+]
+
+
 def state_transition_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Codes that a state has twice, and attribute values with a part twice."""
-    items = state_items(_states(spark, sf_dir))
+    """Codes that a state, of the table or planted, has twice, and attribute values with a part twice."""
+    fields = ["dialogue_id", "turn_id", "type", "subject", "terminology", "standard_code", "attributes"]
+    planted = spark.createDataFrame(PLANTED_ITEMS, "dialogue_id string, turn_id int, type string, subject string, terminology string, standard_code string, key string, value string")
+    planted = planted.withColumn("attributes", F.create_map("key", "value")).select(fields)
+    items = state_items(_states(spark, sf_dir)).select(fields).unionByName(planted)
     twice = items.where("standard_code is not null and terminology is not null").groupBy("dialogue_id", "turn_id", "terminology", "standard_code", "type", "subject").agg(F.count("*").alias("n")).where("n > 1")
     codes = twice.select("dialogue_id", "turn_id", F.lit("duplicate code").alias("error"), F.col("standard_code").alias("what"))
     values = items.select("dialogue_id", "turn_id", F.explode("attributes").alias("key", "value"))
@@ -392,7 +402,9 @@ ORACLE_SQL = {
 SELECT DISTINCT ON (dialogue_id, type, subject, entity) dialogue_id, type, subject, entity, status, first_turn, last_turn, evidence FROM grouped ORDER BY dialogue_id, type, subject, entity, run DESC""",
     "state_projection": f"""WITH {_STATES}, {_ITEMS}, named AS (SELECT dialogue_id, bucket, coalesce(nullif(trim(i.normalized_name, ' '), ''), nullif(trim(i.name, ' '), '')) AS name, i.type AS type, i.status AS status FROM items)
 SELECT bucket, name, type, status, count(*) AS n, count(DISTINCT dialogue_id) AS dialogues FROM named WHERE name IS NOT NULL GROUP BY ALL""",
-    "state_transition_errors": f"""WITH {_STATES}, {_ITEMS}
+    "state_transition_errors": f"""WITH {_STATES}, {_ITEMS.replace("items AS", "stored AS")}, items AS (
+  SELECT dialogue_id, turn_id, {{'type': i.type, 'subject': i.subject, 'terminology': i.terminology, 'standard_code': i.standard_code, 'attributes': i.attributes}} AS i FROM stored
+  UNION ALL SELECT d, t, {{'type': kind, 'subject': s, 'terminology': m, 'standard_code': c, 'attributes': MAP {{k: v}}}} FROM (VALUES {", ".join(map(str, PLANTED_ITEMS))}) AS p(d, t, kind, s, m, c, k, v))
 SELECT DISTINCT dialogue_id, turn_id, error, what FROM (
   SELECT dialogue_id, turn_id, 'duplicate code' AS error, i.standard_code AS what FROM items WHERE i.standard_code IS NOT NULL AND i.terminology IS NOT NULL GROUP BY dialogue_id, turn_id, i.terminology, i.standard_code, i.type, i.subject HAVING count(*) > 1
   UNION ALL SELECT dialogue_id, turn_id, 'duplicate part', e.key || '=' || e.value FROM (SELECT dialogue_id, turn_id, unnest(map_entries(i.attributes)) AS e FROM items)

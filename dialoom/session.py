@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import shutil
 import tempfile
 from pathlib import Path
@@ -19,12 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: the cluster's ``spark.checkpoint.dir``, or an own one where that is unset (tests)."""
+    """The folder for checkpoints: the cluster's ``spark.checkpoint.dir``; an own one where that is unset, in local mode alone.
+
+    On a cluster a folder of one machine would lose what other executors write, so that an unset folder is an error.
+    """
     sc = spark.sparkContext
     known = sc._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
-    path = spark.conf.get("spark.checkpoint.dir", "") or os.path.join(tempfile.gettempdir(), "dialoom-checkpoints")
+    path = spark.conf.get("spark.checkpoint.dir", "")
+    if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="dialoom-checkpoints-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return path
 
@@ -51,6 +59,7 @@ def ship(spark: SparkSession) -> None:
         return
     package = Path(__file__).resolve().parent
     aside = tempfile.mkdtemp()
+    atexit.register(shutil.rmtree, aside, ignore_errors=True)
     copy = Path(aside, "package", package.name)
     shutil.copytree(package, copy, ignore=shutil.ignore_patterns("__pycache__"))
     spark.sparkContext.addPyFile(shutil.make_archive(f"{aside}/{package.name}", "zip", copy.parent))
