@@ -1,12 +1,12 @@
-"""Questions: targets, slots, whether a target is known, and whether the next answer answered it."""
+"""Questions: targets, slots, what was asked before, and the contract of a decision."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dialoom.functions.lexicon import DEGREE_FORM, ELIDED_CUES, GENERIC_TARGETS, NO_ANSWERS, QUESTION_ATTRIBUTES, QUESTION_SYNONYMS, SHORT_ANSWER_FORMS, UNCERTAIN_CUES, YES_ANSWERS, YES_NO_CUES
-from dialoom.functions.text import lexically_related, question_text, ratio
+from dialoom.functions.lexicon import QUESTION_ATTRIBUTES, QUESTION_SYNONYMS
+from dialoom.functions.text import question_text, ratio
 from dialoom.session import table
 
 # Words by which a question asks for an attribute.
@@ -139,72 +139,6 @@ def dialogue_fail_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("source_dialogue_id").agg(F.count_if(F.size("errors") > 0).alias("errors"), F.count("*").alias("rows")).where("errors > 0")
 
 
-def _uncertain(text: Column) -> Column:
-    return question_text(text).rlike("|".join(UNCERTAIN_CUES))
-
-
-def answer_method(target: Column, before: Column, after: Column, answer: Column, question: Column) -> Column:
-    """The first rule that shows that the next block answered a target; null if none does or it was known before.
-
-    ``before`` and ``after``: arrays of ``struct(name, type, status)``; ``answer``: messages of the next block.
-    """
-    wanted, kind, attribute = question_text(target["name"]), target["type"], canonical_attribute(target["attribute"])
-    entity = attribute.isNull()
-
-    def knows(items: Column) -> Column:
-        return entity & F.exists(items, lambda i: (question_text(i["name"]) == wanted) & (i["type"] == kind))
-
-    new = F.filter(F.array_except(after, before), lambda i: i["type"] == kind)
-    said = F.array_join(answer, "")
-    short = question_text(said)
-    plain = (short != "") & (F.length(short) <= 16) & ~_uncertain(said)
-    yes_no = question_text(question).rlike("|".join(YES_NO_CUES)) & ~is_compound(question)
-    explicit = plain & yes_no & (short.isin(YES_ANSWERS + NO_ANSWERS) | short.rlike(DEGREE_FORM))
-    fits_form = F.lit(False)
-    for slot, form in SHORT_ANSWER_FORMS.items():
-        fits_form = fits_form | ((attribute == slot) & short.rlike(form))
-    of_slot = plain & F.coalesce(question_slots(question) == F.array(attribute), F.lit(False)) & fits_form
-    return (
-        F.when(F.coalesce(knows(before), F.lit(False)), F.lit(None))
-        .when(knows(after), "exact_state_match")
-        .when(entity & F.trim(target["name"]).isin(GENERIC_TARGETS) & (F.size(new) > 0), "generic_type_delta")
-        .when(entity & F.exists(new, lambda i: lexically_related(target["name"], i["name"])), "lexical_state_delta")
-        .when(entity & ~_uncertain(said) & lexically_related(target["name"], said), "lexical_answer_match")
-        .when(entity & explicit, "explicit_short_answer")
-        .when(~entity & of_slot, "short_attribute_answer")
-    )
-
-
-def answerability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Questions that the next block answered, and by which rule that shows."""
-    along = Window.partitionBy("dialogue_id").orderBy("block_id")
-    none = F.array().cast("array<struct<name:string,type:string,status:string>>")
-    rows = _questions(spark, sf_dir).withColumns({"after": F.lead("patient_state.problems").over(along), "answer": F.lead("patient_block").over(along)})
-    rows = rows.where("action = 'ask' and answer is not null and next_question_target.name is not null")
-    method = answer_method(F.col("next_question_target"), F.coalesce("patient_state.problems", none), F.coalesce("after", none), F.col("answer"), F.coalesce("utterance", F.lit("")))
-    return rows.select("dialogue_id", "block_id", method.alias("method")).where("method is not null")
-
-
-def resolved_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attribute questions bound to the one entity of the state that they name, or, if they name none, to its only one."""
-    target, problems = F.col("next_question_target"), F.coalesce(F.col("patient_state.problems"), F.array().cast("array<struct<name:string,type:string,status:string>>"))
-    fits = F.filter(problems, lambda i: i["type"] == target["type"])
-    exact = F.filter(fits, lambda i: (question_text(target["name"]) != "") & (question_text(i["name"]) == question_text(target["name"])))
-    elided = question_text(F.coalesce("utterance", F.lit(""))).rlike("|".join(ELIDED_CUES))
-    name = F.when(F.size(exact) == 1, exact[0]["name"]).when(elided & (F.size(fits) == 1), fits[0]["name"])
-    rows = _questions(spark, sf_dir).where((F.col("action") == "ask") & canonical_attribute(target["attribute"]).isNotNull())
-    return rows.select("dialogue_id", "block_id", canonical_attribute(target["attribute"]).alias("attribute"), name.alias("bound_to")).where("bound_to is not null")
-
-
-def answerable_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entities that the next state of a session has and this one hasn't: what a question could have asked for."""
-    along = Window.partitionBy("dialogue_id").orderBy("block_id")
-    none = F.array().cast("array<struct<name:string,type:string,status:string>>")
-    rows = _questions(spark, sf_dir).withColumn("after", F.lead("patient_state.problems").over(along))
-    new = F.array_except(F.coalesce("after", none), F.coalesce("patient_state.problems", none))
-    return rows.select("dialogue_id", "block_id", F.inline(new)).where("trim(name) <> ''").select("dialogue_id", "block_id", "name", "type").distinct()
-
-
 def interviewer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates over all questions of each split: one mark, unsafe, compound, asked again, ended."""
     rows = asked_before(_questions(spark, sf_dir)).where("usable")
@@ -220,24 +154,24 @@ def interviewer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "question_slot_flags": question_slot_flags, "target_keys": target_keys, "asked_targets_running": asked_targets_running, "decision_validation": decision_validation,
-    "dialogue_fail_propagation": dialogue_fail_propagation, "answerability": answerability, "resolved_targets": resolved_targets, "answerable_targets": answerable_targets, "interviewer_metrics": interviewer_metrics,
+    "dialogue_fail_propagation": dialogue_fail_propagation, "interviewer_metrics": interviewer_metrics,
 }
 
 
 _INTERVALS, _ASKING = "|".join(INTERVAL_WORDS), "|".join(INTERROGATIVES)
 
 
-def _flat(column: str) -> str:
+def flat_sql(column: str) -> str:
     return rf"lower(regexp_replace(coalesce({column}, ''), '[\s\p{{Z}}，。！？、；：,.!?;:]', '', 'g'))"
 
 
-def _canonical(column: str) -> str:
+def canonical_sql(column: str) -> str:
     names = ", ".join(f"'{a}'" for a in QUESTION_ATTRIBUTES)
     synonyms = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in QUESTION_SYNONYMS.items()) + "}"
     return f"CASE WHEN lower(trim({column}, ' ')) IN ({names}) THEN lower(trim({column}, ' ')) ELSE {synonyms}[trim({column}, ' ')] END"
 
 
-def _slots(column: str) -> str:
+def slots_sql(column: str) -> str:
     def hit(slot: str, words: list[str]) -> str:
         own = f"regexp_matches({column}, '{'|'.join(words)}')"
         if slot == "duration":
@@ -249,59 +183,37 @@ def _slots(column: str) -> str:
     return f"list_sort(list_filter([{', '.join(hit(s, w) for s, w in SLOT_WORDS.items())}], lambda s: s IS NOT NULL))"
 
 
-def _related(a: str, b: str) -> str:
+def related_sql(a: str, b: str) -> str:
     pairs = "list_filter(list_transform(range(1, length({0})), lambda j: substr({0}, j, 2)), lambda p: regexp_full_match(p, '[一-鿿]{{2}}'))"
     return f"({a} <> '' AND {b} <> '' AND (contains({a}, {b}) OR contains({b}, {a}) OR coalesce(list_has_any({pairs.format(a)}, {pairs.format(b)}), FALSE)))"
 
 
-_ONCE = f"""once AS (SELECT DISTINCT ON (dialogue_id, block_id) * FROM interviewer_rows ORDER BY dialogue_id, block_id, coalesce(utterance, '')), keyed AS (
-  SELECT *, next_question_target AS t, {_flat("next_question_target.name")} AS tn, {_flat("next_question_target.type")} AS tt, coalesce({_canonical("next_question_target.attribute")}, {_flat("next_question_target.attribute")}) AS ta,
-    {_canonical("next_question_target.attribute")} AS canon, coalesce(utterance, '') AS u, {_flat("utterance")} AS fu, coalesce(patient_state.problems, []) AS problems FROM once
+ONCE_SQL = f"""once AS (SELECT DISTINCT ON (dialogue_id, block_id) * FROM interviewer_rows ORDER BY dialogue_id, block_id, coalesce(utterance, '')), keyed AS (
+  SELECT *, next_question_target AS t, {flat_sql("next_question_target.name")} AS tn, {flat_sql("next_question_target.type")} AS tt, coalesce({canonical_sql("next_question_target.attribute")}, {flat_sql("next_question_target.attribute")}) AS ta,
+    {canonical_sql("next_question_target.attribute")} AS canon, coalesce(utterance, '') AS u, {flat_sql("utterance")} AS fu, coalesce(patient_state.problems, []) AS problems FROM once
 ), target AS (SELECT *, CASE WHEN tn <> '' AND tt <> '' THEN {{'type': tt, 'name': tn, 'attribute': ta}} END AS k FROM keyed), asked AS (
   SELECT *, CASE WHEN action = 'ask' THEN k END AS ak, list_filter(coalesce(list(CASE WHEN action = 'ask' THEN k END) OVER (PARTITION BY dialogue_id ORDER BY block_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), []), lambda x: x IS NOT NULL) AS before FROM target)"""
-_COMPOUND = f"(len({_slots('fu')}) > 1 OR len(regexp_extract_all(u, '{_ASKING}')) > 1)"
-_CHECKED = f"""WITH {_ONCE}, checked AS (
+COMPOUND_SQL = f"(len({slots_sql('fu')}) > 1 OR len(regexp_extract_all(u, '{_ASKING}')) > 1)"
+_CHECKED = f"""WITH {ONCE_SQL}, checked AS (
   SELECT *, list_filter([
     CASE WHEN action = 'ask' AND NOT coalesce(usable, FALSE) THEN 'asked but unusable' END, CASE WHEN action = 'ask' AND ak IS NULL THEN 'no target' END,
     CASE WHEN action = 'ask' AND len(regexp_extract_all(u, '[?？]')) <> 1 THEN 'not one question mark' END, CASE WHEN action = 'ask' AND regexp_matches(u, '{"|".join(UNSAFE)}') THEN 'unsafe' END,
-    CASE WHEN action = 'ask' AND t.attribute IS NOT NULL AND canon IS NULL THEN 'attribute unknown' END, CASE WHEN action = 'ask' AND {_COMPOUND} THEN 'compound' END,
+    CASE WHEN action = 'ask' AND t.attribute IS NOT NULL AND canon IS NULL THEN 'attribute unknown' END, CASE WHEN action = 'ask' AND {COMPOUND_SQL} THEN 'compound' END,
     CASE WHEN action = 'ask' AND ak IS NOT NULL AND list_contains(before, ak) THEN 'asked already' END,
-    CASE WHEN action = 'ask' AND t.attribute IS NULL AND len(list_filter(problems, lambda p: {_flat("p.name")} = tn AND p.type = t.type)) > 0 THEN 'known already' END,
+    CASE WHEN action = 'ask' AND t.attribute IS NULL AND len(list_filter(problems, lambda p: {flat_sql("p.name")} = tn AND p.type = t.type)) > 0 THEN 'known already' END,
     CASE WHEN action = 'end' AND (trim(u, ' ') <> '' OR t IS NOT NULL) THEN 'ended with a question' END, CASE WHEN action IS NULL AND skip_reason_code IS NULL THEN 'skipped without a reason' END
   ], lambda m: m IS NOT NULL) AS errors FROM asked)
 """
 ORACLE_SQL = {
-    "question_slot_flags": f"""WITH {_ONCE} SELECT DISTINCT utterance, t.attribute AS attribute, array_to_string({_slots("fu")}, ',') AS slots, {_COMPOUND} AS compound, canon IS NULL OR len({_slots("fu")}) = 0 OR {_slots("fu")} = [canon] AS fits FROM asked WHERE action = 'ask' AND utterance IS NOT NULL""",
-    "target_keys": f"WITH {_ONCE} SELECT k.type AS type, k.name AS name, k.attribute AS attribute, count(*) AS n FROM asked WHERE k IS NOT NULL GROUP BY ALL",
-    "asked_targets_running": f"WITH {_ONCE} SELECT dialogue_id, block_id, CAST(len(before) AS INTEGER) AS asked, list_contains(before, ak) AS again FROM asked WHERE ak IS NOT NULL",
+    "question_slot_flags": f"""WITH {ONCE_SQL} SELECT DISTINCT utterance, t.attribute AS attribute, array_to_string({slots_sql("fu")}, ',') AS slots, {COMPOUND_SQL} AS compound, canon IS NULL OR len({slots_sql("fu")}) = 0 OR {slots_sql("fu")} = [canon] AS fits FROM asked WHERE action = 'ask' AND utterance IS NOT NULL""",
+    "target_keys": f"WITH {ONCE_SQL} SELECT k.type AS type, k.name AS name, k.attribute AS attribute, count(*) AS n FROM asked WHERE k IS NOT NULL GROUP BY ALL",
+    "asked_targets_running": f"WITH {ONCE_SQL} SELECT dialogue_id, block_id, CAST(len(before) AS INTEGER) AS asked, list_contains(before, ak) AS again FROM asked WHERE ak IS NOT NULL",
     "decision_validation": _CHECKED + "SELECT dialogue_id, block_id, array_to_string(errors, '; ') AS errors FROM checked WHERE len(errors) > 0",
     "dialogue_fail_propagation": _CHECKED + "SELECT source_dialogue_id, count(*) FILTER (len(errors) > 0) AS errors, count(*) AS rows FROM checked GROUP BY ALL HAVING count(*) FILTER (len(errors) > 0) > 0",
-    "answerability": f"""WITH {_ONCE}, ahead AS (
-  SELECT *, lead(problems) OVER w AS after, lead(patient_block) OVER w AS answer FROM asked WINDOW w AS (PARTITION BY dialogue_id ORDER BY block_id)
-), texts AS (
-  SELECT *, coalesce(array_to_string(answer, ''), '') AS said, {_flat("array_to_string(answer, '')")} AS short, list_filter(list_distinct(coalesce(after, [])), lambda i: NOT list_contains(problems, i) AND i.type = t.type) AS fresh
-  FROM ahead WHERE action = 'ask' AND answer IS NOT NULL AND t.name IS NOT NULL
-), flags AS (
-  SELECT *, regexp_matches(short, '{"|".join(UNCERTAIN_CUES)}') AS unsure, short <> '' AND length(short) <= 16 AND NOT regexp_matches(short, '{"|".join(UNCERTAIN_CUES)}') AS plain,
-    canon IS NULL AND len(list_filter(problems, lambda i: {_flat("i.name")} = tn AND i.type = t.type)) > 0 AS known, canon IS NULL AND len(list_filter(coalesce(after, []), lambda i: {_flat("i.name")} = tn AND i.type = t.type)) > 0 AS now FROM texts
-), methods AS (
-  SELECT dialogue_id, block_id, CASE WHEN known THEN NULL WHEN now THEN 'exact_state_match' WHEN canon IS NULL AND trim(t.name, ' ') IN ({", ".join(f"'{g}'" for g in GENERIC_TARGETS)}) AND len(fresh) > 0 THEN 'generic_type_delta'
-    WHEN canon IS NULL AND len(list_filter(fresh, lambda i: {_related("tn", _flat("i.name"))})) > 0 THEN 'lexical_state_delta'
-    WHEN canon IS NULL AND NOT unsure AND {_related("tn", "short")} THEN 'lexical_answer_match'
-    WHEN canon IS NULL AND plain AND regexp_matches(fu, '{"|".join(YES_NO_CUES)}') AND NOT {_COMPOUND} AND (short IN ({", ".join(f"'{a}'" for a in YES_ANSWERS + NO_ANSWERS)}) OR regexp_matches(short, '{DEGREE_FORM}')) THEN 'explicit_short_answer'
-    WHEN canon IS NOT NULL AND plain AND {_slots("fu")} = [canon] AND ({" OR ".join(f"(canon = '{s}' AND regexp_matches(short, '{f}'))" for s, f in SHORT_ANSWER_FORMS.items())}) THEN 'short_attribute_answer' END AS method FROM flags)
-SELECT * FROM methods WHERE method IS NOT NULL""",
-    "resolved_targets": f"""WITH {_ONCE}, fitting AS (
-  SELECT *, list_filter(problems, lambda i: i.type = t.type) AS fits, list_filter(problems, lambda i: i.type = t.type AND tn <> '' AND {_flat("i.name")} = tn) AS exact FROM asked WHERE action = 'ask' AND canon IS NOT NULL
-), bound AS (SELECT dialogue_id, block_id, canon AS attribute, CASE WHEN len(exact) = 1 THEN exact[1].name WHEN regexp_matches(fu, '{"|".join(ELIDED_CUES)}') AND len(fits) = 1 THEN fits[1].name END AS bound_to FROM fitting)
-SELECT * FROM bound WHERE bound_to IS NOT NULL""",
-    "answerable_targets": f"""WITH {_ONCE}, ahead AS (SELECT dialogue_id, block_id, problems, lead(problems) OVER (PARTITION BY dialogue_id ORDER BY block_id) AS after FROM asked), fresh AS (
-  SELECT dialogue_id, block_id, unnest(list_filter(coalesce(after, []), lambda i: NOT list_contains(problems, i))) AS i FROM ahead)
-SELECT DISTINCT dialogue_id, block_id, i.name AS name, i.type AS type FROM fresh WHERE trim(i.name, ' ') <> ''""",
-    "interviewer_metrics": f"""WITH {_ONCE}
+    "interviewer_metrics": f"""WITH {ONCE_SQL}
 SELECT split, count(*) AS rows, count(*) FILTER (action = 'ask') AS asked, round(coalesce(count(*) FILTER (action = 'ask' AND len(regexp_extract_all(u, '[?？]')) = 1) / nullif(count(*) FILTER (action = 'ask'), 0), 0), 6) AS one_question_rate,
   round(coalesce(count(*) FILTER (action = 'ask' AND regexp_matches(u, '{"|".join(UNSAFE)}')) / nullif(count(*) FILTER (action = 'ask'), 0), 0), 6) AS unsafe_rate,
-  round(coalesce(count(*) FILTER (action = 'ask' AND {_COMPOUND}) / nullif(count(*) FILTER (action = 'ask'), 0), 0), 6) AS compound_rate,
+  round(coalesce(count(*) FILTER (action = 'ask' AND {COMPOUND_SQL}) / nullif(count(*) FILTER (action = 'ask'), 0), 0), 6) AS compound_rate,
   round(coalesce(count(*) FILTER (action = 'ask' AND list_contains(before, ak)) / nullif(count(*) FILTER (action = 'ask'), 0), 0), 6) AS again_rate, round(count(*) FILTER (action = 'end') / count(*), 6) AS end_rate
 FROM asked WHERE usable GROUP BY split""",
 }

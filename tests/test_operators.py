@@ -1,12 +1,14 @@
 """Rules that the tables alone don't reach, empty tables, nulls, repeated rows and clashing columns."""
 
+import json
 import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from dialoom.operators import dialogue, facts, interview, ledger, metrics, splits, terms
+from dialoom.operators import answers, dialogue, facts, interview, ledger, metrics, splits, terms
+from dialoom.operators.state import ITEM_DDL, STATE_DDL
 from dialoom.plans import pipelines
 from dialoom.sources import io
 
@@ -124,7 +126,45 @@ def test_fuzzy_candidates_lose_none(spark):
 def test_answers_are_found(spark, target, before, after, answer, question, method):
     item = "array<struct<name:string,type:string,status:string>>"
     df = spark.createDataFrame([(target, before, after, answer, question)], f"t struct<name:string,type:string,attribute:string>, b {item}, a {item}, answer array<string>, q string")
-    assert df.select(interview.answer_method(F.col("t"), F.col("b"), F.col("a"), F.col("answer"), F.col("q"))).first()[0] == method
+    full = lambda c: F.transform(c, lambda i: answers.seen_item(F.from_json(F.to_json(i), ITEM_DDL)))
+    assert df.select(answers.answer_method(F.col("t"), full("b"), full("a"), F.col("answer"), F.col("q"))).first()[0] == method
+
+
+def test_every_rule_of_an_answer_shows_once(spark):
+    method = answers.answer_method(F.col("next_question_target"), F.col("before"), F.col("after"), F.col("answer"), F.col("utterance"))
+    got = {r[0]: r[1] for r in answers._planted(spark).select("dialogue_id", method).collect()}
+    want = {f"planted {n}": case[0] if case[0] not in ("known before", "unsure") else None for n, case in enumerate(answers.PLANTED_ANSWERS)}
+    assert got == want and {"unique_attribute_delta", "short_attribute_answer"} <= set(got.values())
+
+
+def test_nulls_and_empty_states_answer_nothing(spark):
+    target = "struct<name:string,type:string,attribute:string>"
+    df = spark.createDataFrame([(None, None, None), (("", "symptom", None), [], ""), (("腹痛", None, "duration"), [None], "多久？")], f"t {target}, a array<string>, q string").withColumn("s", F.lit(None).cast(STATE_DDL))
+    items = answers.seen_items(F.col("s"))
+    rows = df.select(F.size(items), answers.answer_method(F.col("t"), items, items, F.col("a"), F.col("q")), answers.target_is_known(F.col("t"), items), F.size(answers.answerable(items, items))).collect()
+    assert [tuple(r) for r in rows] == [(0, None, False, 0)] * 3
+
+
+@pytest.mark.parametrize(
+    ("fact", "want"),
+    [
+        (("腹痛加重", "symptom", "present", "patient", {"severity": "重"}), ("程度", "attribute", {"severity": "重", "target": "腹痛"})),
+        (("隐痛", "symptom", "present", "patient", {"severity": "重", "time": "夜间"}), ("症状属性", "attribute", {"severity": "重", "time": "夜间", "target": "腹痛"})),
+        (("肛周疼痛", "symptom", "present", "patient", {"severity": "重"}), None), (("腹痛", "symptom", "present", "family", {"severity": "重"}), None), (("腹痛", "symptom", "absent", "patient", {"severity": "重"}), None),
+        (("腹痛", "symptom", "present", "patient", {}), None), (("头晕", "symptom", "present", "patient", {"severity": "重"}), None), (("腹痛", "disease", "present", "patient", {"severity": "重"}), None),
+    ],
+)
+def test_continuations_become_attributes(spark, fact, want):
+    ddl = "dialogue_id string, turn_id int, fact_pos int, name string, normalized_name string, type string, status string, subject string, attribute map<string,string>, evidence string"
+    name, kind, status, subject, attribute = fact
+    rows = spark.createDataFrame([("d", 1, 0, name, name, kind, status, subject, attribute, "clash")], ddl)
+    problem = {"name": "腹痛", "normalized_name": "腹痛", "type": "symptom", "status": "present", "subject": "patient", "aliases": [], "last_turn_id": 0}
+    turns = spark.createDataFrame([("d", 1, "腹痛的程度怎么样？", json.dumps({"problems": [problem]}))], "dialogue_id string, turn_id int, question string, s string").withColumn("state", F.from_json("s", STATE_DDL)).drop("s")
+    (got,) = answers.continuation_rewrites(rows, turns).collect()
+    assert got["rewritten"] == (want is not None)
+    assert (got["name"], got["type"], got["attribute"]) == (want or (name, kind, attribute))
+    unasked = answers.continuation_rewrites(rows, turns.withColumn("question", F.lit("还有吗？"))).first()
+    assert not unasked["rewritten"] and unasked["name"] == name
 
 
 @pytest.mark.parametrize(("question", "slots", "compound"), [("腹痛多久了？", ["duration"], False), ("多久一次？", ["frequency"], False), ("多久了，在哪里？", ["body_part", "duration"], True), ("有没有发热，有没有咳嗽？", [], True), ("", [], False)])
