@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from dialoom.operators import answers, dialogue, facts, history, interview, ledger, metrics, projection, splits, state, terms
+from dialoom.operators import answers, dialogue, facts, history, interview, ledger, metrics, projection, prompts, splits, state, terms
 from dialoom.sources import io
 from dialoom.streaming import sessions
 
-MODULES = [dialogue, facts, terms, state, projection, interview, answers, ledger, splits, metrics, history, sessions, io]
+MODULES = [dialogue, facts, terms, state, projection, interview, answers, prompts, ledger, splits, metrics, history, sessions, io]
 
 
 def queries() -> dict:
