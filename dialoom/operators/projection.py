@@ -9,7 +9,7 @@ from dialoom.functions.lexicon import BUCKETS, QUESTION_ATTRIBUTES
 from dialoom.functions.text import question_text
 from dialoom.operators.dialogue import running_total
 from dialoom.operators.facts import distinct_facts, latest_turns
-from dialoom.operators.interview import asked_before, canonical_attribute, is_compound, question_slots, questions
+from dialoom.operators.interview import COMPOUND_SQL, ONCE_SQL, asked_before, canonical_attribute, flat_sql, is_compound, question_slots, questions, slots_sql
 from dialoom.operators.state import ITEM_DDL
 from dialoom.operators.terms import MATCH_SQL, standardized
 from dialoom.session import table
@@ -129,10 +129,16 @@ def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prompt_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """States as prompts show them: their items, and hidden fields that shine through (none)."""
+    """States as prompts show them: the items of two parts, one whole and one brief, how many there are, and hidden fields that shine through (none)."""
     rows = _states(spark, sf_dir).select("dialogue_id", "turn_id", prompt_state(F.col("state")).alias("p"))
     items = sum((F.coalesce(F.size(f"p.{b}"), F.lit(0)) for b in FULL + BRIEF), F.lit(0))
-    return rows.select("dialogue_id", "turn_id", "p.chief_complaint", items.alias("items"), F.size(hidden_keys(F.to_json("p"))).alias("hidden"))
+
+    def shown(bucket: str, fields: list[str]) -> Column:
+        texts = F.transform(f"p.{bucket}", lambda i: F.concat_ws("/", *(i[f] for f in fields), F.coalesce(F.size(i["attributes"]), F.lit(0)).cast("string")))
+        return F.coalesce(F.array_join(texts, "|"), F.lit(""))
+
+    brief = ["name", "normalized_name", "type", "status", "subject", "time"]
+    return rows.select("dialogue_id", "turn_id", "p.chief_complaint", shown("problems", [*brief, "body_part"]).alias("problems"), shown("negative_findings", brief).alias("negative"), items.alias("items"), F.size(hidden_keys(F.to_json("p"))).alias("hidden"))
 
 
 def question_states(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,19 +162,12 @@ def standardization_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def positional_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns joined by their place with themselves in the same order: every pair agrees."""
-    turns = table(spark, sf_dir, "turn_rows").select("dialogue_id", "turn_id").distinct()
-    both = positional_join(turns, turns.withColumnsRenamed({"dialogue_id": "d", "turn_id": "t"}), ["dialogue_id", "turn_id"], ["d", "t"])
-    return both.groupBy((F.col("left.dialogue_id") == F.col("right.d")).alias("agree")).agg(F.count("*").alias("n"), F.max("position").alias("last"))
-
-
-def rebuilt_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dialogues by whether all of their user turns are processed: complete ones are replayed, the others named."""
-    from dialoom.operators.dialogue import ordered_messages
-
-    said = ordered_messages(table(spark, sf_dir, "messages")).where("role = 'user'").select("dialogue_id", "turn_id")
-    done = table(spark, sf_dir, "turn_rows").select("dialogue_id", "turn_id", F.lit(True).alias("done")).distinct()
-    return said.join(done, ["dialogue_id", "turn_id"], "left").groupBy("dialogue_id").agg(F.count("*").alias("turns"), F.count("done").alias("processed"), F.min(F.when(F.col("done").isNull(), F.col("turn_id"))).alias("first_missing"))
+    """Questions joined by place with the actions that a faulty model gives line by line (each seventh block ends)."""
+    rows = questions(table(spark, sf_dir, "interviewer_rows"))
+    gold = rows.select("dialogue_id", "block_id", "action")
+    lines = rows.select(F.concat_ws("#", "dialogue_id", F.lpad(F.col("block_id").cast("string"), 12, "0")).alias("line"), F.when(F.col("block_id") % 7 == 5, "end").otherwise(F.col("action")).alias("predict"))
+    both = positional_join(gold, lines, ["dialogue_id", "block_id"], ["line"])
+    return both.groupBy(F.col("left.action").alias("action"), F.col("right.predict").alias("predicted")).agg(F.count("*").alias("n"), F.sum("position").alias("places"))
 
 
 def state_after_next(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +185,7 @@ def canonical_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "candidate_selection": candidate_selection, "prompt_states": prompt_states, "question_states": question_states, "standardization_changes": standardization_changes,
-    "positional_join": positional_pairs, "rebuilt_dialogues": rebuilt_dialogues, "block_next_state": state_after_next, "canonical_targets": canonical_targets,
+    "positional_join": positional_pairs, "block_next_state": state_after_next, "canonical_targets": canonical_targets,
 }
 
 
@@ -195,16 +194,35 @@ def _sql() -> dict[str, str]:
 
     states = "states AS (SELECT dialogue_id, turn_id, s FROM (SELECT dialogue_id, turn_id, arg_max({'s': patient_state_after_turn}, processed_at).s AS s FROM turn_rows GROUP BY ALL) WHERE s IS NOT NULL)"
     items = " + ".join(f"coalesce(len(s.{b}), 0)" for b in FULL + BRIEF)
+    shown = "concat_ws('/', i.name, i.normalized_name, i.type, i.status, i.subject, i.time, {0}CAST(coalesce(len(map_keys(i.attributes)), 0) AS VARCHAR))"
     name = "coalesce(nullif(i.normalized_name, ''), nullif(i.name, ''))"
     return {
         "standardization_changes": MATCH_SQL + """, changed AS (
   SELECT CASE WHEN coalesce(m.n, nullif(normalized_name, ''), name) IS DISTINCT FROM normalized_name THEN 1 END AS names, CASE WHEN m IS NOT NULL AND m.c IS DISTINCT FROM standard_code THEN 1 END AS codes FROM probed)
 SELECT 'normalized_name' AS field, count(names) AS n FROM changed HAVING count(names) > 0 UNION ALL SELECT 'standard_code', count(codes) FROM changed HAVING count(codes) > 0""",
-        "prompt_states": f"WITH {states} SELECT dialogue_id, turn_id, s.chief_complaint AS chief_complaint, CAST({items} AS INTEGER) AS items, 0 AS hidden FROM states",
+        "prompt_states": f"""WITH {states} SELECT dialogue_id, turn_id, s.chief_complaint AS chief_complaint, coalesce(array_to_string(list_transform(s.problems, lambda i: {shown.format("i.body_part, ")}), '|'), '') AS problems,
+  coalesce(array_to_string(list_transform(s.negative_findings, lambda i: {shown.format("")}), '|'), '') AS negative, CAST({items} AS INTEGER) AS items, 0 AS hidden FROM states""",
         "question_states": f"WITH {states} SELECT dialogue_id, turn_id, coalesce(array_to_string(list_filter(list_transform(s.problems, lambda i: {name}), lambda n: n IS NOT NULL), '|'), '') AS problems, CAST(coalesce(len(list_filter(s.negative_findings, lambda i: {name} IS NOT NULL)), 0) AS INTEGER) AS negative FROM states",
-        "positional_join": "SELECT TRUE AS agree, count(*) AS n, count(*) - 1 AS last FROM (SELECT DISTINCT dialogue_id, turn_id FROM turn_rows)",
-        "rebuilt_dialogues": f"WITH {MESSAGES_SQL} SELECT m.dialogue_id, count(*) AS turns, count(t.turn_id) AS processed, min(m.turn_id) FILTER (t.turn_id IS NULL) AS first_missing FROM messages_in_order m LEFT JOIN (SELECT DISTINCT dialogue_id, turn_id FROM turn_rows) t ON t.dialogue_id = m.dialogue_id AND t.turn_id = m.turn_id WHERE m.role = 'user' GROUP BY m.dialogue_id",
+        "positional_join": """WITH once AS (SELECT DISTINCT ON (dialogue_id, block_id) * FROM interviewer_rows ORDER BY dialogue_id, block_id, coalesce(utterance, ''))
+SELECT action, CASE WHEN block_id % 7 = 5 THEN 'end' ELSE action END AS predicted, count(*) AS n, CAST(sum(place) AS BIGINT) AS places FROM (SELECT *, row_number() OVER (ORDER BY dialogue_id, block_id) - 1 AS place FROM once) GROUP BY ALL""",
         "block_next_state": "WITH once AS (SELECT DISTINCT ON (dialogue_id, block_id) * FROM interviewer_rows ORDER BY dialogue_id, block_id, coalesce(utterance, '')) SELECT dialogue_id, block_id, CAST(coalesce(len(lead(patient_state.problems) OVER (PARTITION BY dialogue_id ORDER BY block_id)), 0) AS INTEGER) AS next_problems FROM once",
+        "candidate_selection": f"""WITH {ONCE_SQL}, spoken AS (
+  SELECT dialogue_id, block_id, problems, before, list_filter(flatten(list_transform(coalesce(original_doctor_block, []), lambda x: regexp_extract_all(coalesce(x, ''), '[^。！!?？]+[?？]'))), lambda z: trim(z, ' ') <> '') AS sentences FROM asked
+), each AS (
+  SELECT dialogue_id, block_id, problems, before, unnest(sentences) AS u, generate_subscripts(sentences, 1) AS pos FROM spoken
+), flat AS (
+  SELECT *, {flat_sql("u")} AS fu, list_filter(problems, lambda p: coalesce(contains({flat_sql("u")}, {flat_sql("p.name")}) AND {flat_sql("p.name")} <> '', FALSE)) AS named FROM each
+), targets AS (
+  SELECT *, list_filter(named, lambda p: length(p.name) = list_max(list_transform(named, lambda x: length(x.name))))[1] AS best, CASE WHEN len({slots_sql("fu")}) = 1 THEN {slots_sql("fu")}[1] END AS attribute FROM flat
+), gates AS (
+  SELECT *, CASE WHEN {COMPOUND_SQL} THEN 'COMPOUND_QUESTION' WHEN best.name IS NULL THEN 'TARGET_NOT_RESOLVED'
+    WHEN list_contains(list_transform(before, lambda k: k.name || '/' || k.type || '/' || k.attribute), {flat_sql("best.name")} || '/' || coalesce(best.type, '') || '/' || coalesce(attribute, '')) THEN 'TARGET_ALREADY_ASKED'
+    WHEN attribute IS NULL AND list_contains(list_transform(problems, lambda p: {flat_sql("p.name")} || '/' || coalesce(p.type, '')), {flat_sql("best.name")} || '/' || coalesce(best.type, '')) THEN 'TARGET_ALREADY_KNOWN' ELSE '' END AS gate FROM targets
+), judged AS (
+  SELECT dialogue_id, block_id, count(*) AS candidates, arg_min({{'s': trim(u, ' '), 'n': best.name, 'a': attribute}}, pos) FILTER (gate = '') AS selected, list(gate) AS gates FROM gates GROUP BY ALL)
+SELECT dialogue_id, block_id, CAST(coalesce(candidates, 0) AS INTEGER) AS candidates, selected.s AS source_text, selected.n AS name, selected.a AS attribute, CASE WHEN selected IS NOT NULL THEN NULL
+  {" ".join(f"WHEN list_contains(coalesce(gates, []), '{r}') THEN '{r}'" for r in ("TARGET_ALREADY_ASKED", "TARGET_ALREADY_KNOWN", "TARGET_NOT_RESOLVED", "COMPOUND_QUESTION"))} ELSE 'NO_SAFE_DOCTOR_QUESTION' END AS reason
+FROM asked LEFT JOIN judged USING (dialogue_id, block_id)""",
         "canonical_targets": f"SELECT key, count(*) AS n, CASE WHEN lower(trim(key, ' ')) IN ({', '.join(repr(a) for a in QUESTION_ATTRIBUTES)}) THEN lower(trim(key, ' ')) END AS attribute FROM (SELECT unnest(map_keys(attribute)) AS key FROM facts) GROUP BY key",
     }
 

@@ -280,6 +280,28 @@ def state_full_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold_states(turns, last_only=True).select("dialogue_id", "turn_id", "state.chief_complaint", *(F.size(f"state.{b}").alias(b) for b in ALL_BUCKETS))
 
 
+def state_differences(folded: DataFrame, stored: DataFrame) -> DataFrame:
+    """``dialogue_id, turn_id, differs``: the parts in which a folded state and the stored one of its turn name other things."""
+    old = stored.select("dialogue_id", "turn_id", F.col("state").alias("stored"))
+    rows = folded.join(old, ["dialogue_id", "turn_id"])
+
+    def named(state: Column, bucket: str) -> Column:
+        items = F.coalesce(state[bucket], F.array().cast(f"array<{ITEM_DDL}>"))
+        return F.array_sort(F.transform(items, lambda i: F.concat_ws("/", F.coalesce(i["normalized_name"], i["name"]), i["type"], i["status"])))
+
+    parts = [F.when(~named(F.col("state"), b).eqNullSafe(named(F.col("stored"), b)), b) for b in ALL_BUCKETS]
+    chief = F.when(~F.col("state.chief_complaint").eqNullSafe(F.col("stored.chief_complaint")), "chief_complaint")
+    return rows.select("dialogue_id", "turn_id", F.filter(F.array(chief, *parts), lambda d: d.isNotNull()).alias("differs"))
+
+
+def replayed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts of all dialogues replayed turn by turn against the stored states: turns, and how many differ in each part."""
+    turns = turn_facts(distinct_facts(table(spark, sf_dir, "facts")), table(spark, sf_dir, "turn_rows"))
+    rows = state_differences(fold_states(turns), _states(spark, sf_dir))
+    counts = [F.count_if(F.array_contains("differs", b)).alias(b) for b in ("chief_complaint", *ALL_BUCKETS)]
+    return rows.agg(F.count("*").alias("turns"), F.count_if(F.size("differs") == 0).alias("same"), *counts)
+
+
 def state_core_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities of every dialogue in closed form: last status, first and last turn since it, and its pieces of evidence.
 
@@ -382,7 +404,7 @@ def checkpoint_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "state_core_fold": state_core_fold, "state_full_fold": state_full_fold, "state_projection": state_projection, "state_transition_errors": state_transition_errors,
+    "state_core_fold": state_core_fold, "state_full_fold": state_full_fold, "replayed_states": replayed_states, "state_projection": state_projection, "state_transition_errors": state_transition_errors,
     "state_new_items_delta": state_new_items_delta, "state_new_attributes_delta": state_new_attributes_delta, "checkpoint_rows": checkpoint_rows,
 }
 
