@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.functions.jsonx import canonical_fact, json_object_text
-from dialoom.functions.lexicon import FACT_TYPES, FORBIDDEN_KEYS, GENERIC_NEGATIVES, KEY_SYNONYMS, STATUSES, SUBJECTS, UNKNOWN_TARGETS, VALUE_KEYS
+from dialoom.functions.lexicon import CORE_FIELDS, FACT_TYPES, FORBIDDEN_KEYS, GENERIC_NEGATIVES, KEY_SYNONYMS, STATUSES, SUBJECTS, UNKNOWN_TARGETS, VALUE_KEYS
 from dialoom.functions.text import has_hedge, is_hedged_evidence, without_format
 from dialoom.session import table
 
@@ -62,6 +62,22 @@ def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.join(turns.drop("processed_at"), ["dialogue_id", "turn_id"], "left")
 
 
+def field_set_errors(fact_json: Column) -> Column:
+    """``missing, extra``: fields that a fact, as JSON text, lacks or has beyond the model's, sorted; null if it is no object."""
+    keys, core = F.json_object_keys(fact_json), F.array(*map(F.lit, CORE_FIELDS))
+    return F.when(keys.isNotNull(), F.struct(F.array_sort(F.array_except(core, keys)).alias("missing"), F.array_sort(F.array_except(keys, core)).alias("extra")))
+
+
+def field_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts as a faulty extractor would write them (some without evidence, some with a field more), by what is wrong with their fields."""
+    facts = distinct_facts(table(spark, sf_dir, "facts"))
+    whole, bare = (F.to_json(F.struct(*(F.col(c) for c in CORE_FIELDS if c != drop)), {"ignoreNullFields": "false"}) for drop in ("", "evidence"))
+    written = F.when(F.col("fact_pos") % 6 == 5, bare).otherwise(whole)
+    written = F.when(F.col("fact_pos") % 9 == 8, F.regexp_replace(written, r"\}$", ',"confidence":1}')).otherwise(written)
+    errors = facts.select(field_set_errors(written).alias("e"))
+    return errors.groupBy(F.array_join("e.missing", ",").alias("missing"), F.array_join("e.extra", ",").alias("extra")).agg(F.count("*").alias("n"))
+
+
 def fact_error_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts with errors, and the errors."""
     rows = _validated(spark, sf_dir).withColumn("errors", fact_errors())
@@ -218,6 +234,7 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "field_sets": field_sets,
     "fact_error_array": fact_error_array, "evidence_substring_validation": evidence_validation, "conflicting_bindings": conflicting_bindings, "attribute_alias_merge": attribute_alias_merge,
     "cleaning_actions": cleaning_actions, "legacy_value_keys": legacy_value_keys, "training_projection_null_codes": training_projection_null_codes, "canonical_json_facts": canonical_json_facts,
     "json_tolerant_parse": json_tolerant_parse, "hedge_flags": hedge_flags, "normalization_stats": normalization_stats, "fact_counts": fact_counts, "validation_report": validation_report,
@@ -252,6 +269,8 @@ WITH {DISTINCT_SQL}, {UTTERANCES_SQL}, checked AS (
   FROM facts_once f LEFT JOIN utterances USING (dialogue_id, turn_id))
 """
 ORACLE_SQL = {
+    "field_sets": """SELECT CASE WHEN fact_pos % 6 = 5 THEN 'evidence' ELSE '' END AS missing, CASE WHEN fact_pos % 9 = 8 THEN 'confidence' ELSE '' END AS extra, count(*) AS n
+FROM (SELECT DISTINCT dialogue_id, turn_id, fact_pos FROM facts) GROUP BY ALL""",
     "fact_error_array": _ERRORS_SQL + "SELECT dialogue_id, turn_id, fact_pos, array_to_string(errors, '; ') AS errors FROM checked WHERE len(errors) > 0",
     "fact_counts": _ERRORS_SQL + "SELECT type, status, subject, count(*) AS n FROM checked WHERE len(errors) = 0 GROUP BY ALL",
     "validation_report": _ERRORS_SQL + """, turns AS (SELECT dialogue_id, turn_id, max(CASE WHEN len(errors) > 0 THEN 1 ELSE 0 END) AS bad, count(*) AS facts FROM checked GROUP BY ALL)

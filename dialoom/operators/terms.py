@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,6 +16,8 @@ from dialoom.session import table
 
 #: Rows of a lookup table that may be broadcast; a larger one is joined by shuffle.
 BROADCAST_LOOKUP = 500_000
+#: Distinct characters of a list that may be broadcast with their counts.
+TOKENS = 100_000
 
 # Examinations that are known without a terminology.
 BUILTIN_EXAMINATIONS = [
@@ -42,6 +47,61 @@ def import_terms(rows: DataFrame) -> DataFrame:
     return flat.groupBy("terminology", "semantic_type", "code", "normalized_key").agg(first).select("terminology", "semantic_type", "code", "first.preferred_name", "first.alias", "normalized_key", "first.source")
 
 
+# Columns under which the sources of the terminology name things.
+ICD_COLUMNS = {
+    "code": ["code", "icd_code", "diagnosis_code", "疾病诊断代码", "编码", "代码"],
+    "name": ["preferred_name", "name", "disease", "diagnosis_name", "疾病诊断名称", "疾病名称", "名称", "诊断名称"],
+    "synonyms": ["synonyms", "alias", "aliases", "同义词", "别名"],
+}
+LOINC_COLUMNS = {"code": ["LOINC_NUM", "loinc", "code"], "name": ["LONG_COMMON_NAME", "COMPONENT", "name"]}
+LOINC_ZH_COLUMNS = {
+    "display": ["LinguisticVariantDisplayName", "DisplayName", "display_name"],
+    "short": ["SHORTNAME", "short_name", "短名"],
+    "component": ["COMPONENT"],
+    "long": ["LONG_COMMON_NAME", "zh_name", "name", "ChineseName", "中文名", "名称"],
+}
+LOINC_AXES = ["COMPONENT", "PROPERTY", "TIME_ASPCT", "SYSTEM", "SCALE_TYP", "METHOD_TYP"]
+
+
+def disease_rows(rows: DataFrame, pick: Callable[[DataFrame, list[str]], Column], source: str = "icd") -> DataFrame:
+    """A table of coded diseases as rows for :func:`import_terms`; ``pick`` finds a value under one of several columns."""
+    named = {k: pick(rows, names) for k, names in ICD_COLUMNS.items()}
+    out = rows.select(F.monotonically_increasing_id().alias("pos"), F.lit("ICD-10-CN").alias("terminology"), F.lit("disease").alias("semantic_type"), named["code"].alias("code"), named["name"].alias("preferred_name"), split_list(named["synonyms"]).alias("aliases"), F.lit(source).alias("source"))
+    return out.where("code <> '' and preferred_name <> ''")
+
+
+def examination_rows(table_: DataFrame | None, chinese: DataFrame | None, pick: Callable[[DataFrame, list[str]], Column], source: str = "loinc") -> DataFrame:
+    """The two tables of coded examinations, either of which may be missing, as rows for :func:`import_terms`.
+
+    The preferred name of a code is the shortest fit name for display of its Chinese rows, the first of equally short
+    ones (display name, short name, component, long name); else its first long name; else its first alias.
+    """
+    parts = []
+    names = "array<string>"
+    if table_ is not None:
+        code, name = pick(table_, LOINC_COLUMNS["code"]), pick(table_, LOINC_COLUMNS["name"])
+        whole = table_.select(F.monotonically_increasing_id().alias("pos"), code.alias("code"), name.alias("fallback"))
+        parts.append(whole.where("code <> '' and fallback <> ''").select("pos", "code", "fallback", F.array().cast(names).alias("shown"), F.array("fallback").alias("aliases")))
+    if chinese is not None:
+        found = {k: pick(chinese, columns) for k, columns in LOINC_ZH_COLUMNS.items()}
+        axes = F.filter(F.array(*(pick(chinese, [a]) for a in LOINC_AXES)), lambda x: x != "")
+        rows = chinese.select(F.monotonically_increasing_id().alias("pos"), pick(chinese, LOINC_COLUMNS["code"]).alias("code"), F.lit(None).cast("string").alias("fallback"), F.array(*found.values()).alias("shown"), F.concat(F.array(*found.values()), F.array(F.array_join(axes, "."))).alias("aliases"))
+        parts.append(rows.where("code <> ''"))
+    every = functools.reduce(DataFrame.unionByName, parts)
+    fit = F.filter(F.transform("shown", lambda n, i: F.struct(F.length(n).alias("size"), F.col("pos").alias("pos"), i.alias("place"), n.alias("name"))), lambda n: is_display_name(n["name"]))
+    per = every.withColumn("best", F.array_min(fit)).groupBy("code").agg(F.min("best").alias("best"), F.min_by("fallback", F.when(F.col("fallback").isNotNull(), F.col("pos"))).alias("fallback"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("aliases")))).alias("aliases"))
+    aliases = F.filter("aliases", lambda a: a != "")
+    named = F.coalesce("best.name", "fallback", F.get(aliases, F.lit(0)))
+    out = per.select(F.lit(0).cast("long").alias("pos"), F.lit("LOINC").alias("terminology"), F.lit("examination").alias("semantic_type"), "code", named.alias("preferred_name"), aliases.alias("aliases"), F.lit(source).alias("source"))
+    return out.where("preferred_name is not null")
+
+
+def term_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a terminology holds: rows, codes and keys of each list and type."""
+    rows = table(spark, sf_dir, "terms").withColumn("k", term_key(F.col("alias")))
+    return rows.groupBy("terminology", "semantic_type").agg(F.count("*").alias("rows"), F.count_distinct("code").alias("codes"), F.count_distinct("k").alias("keys"), F.count_if(F.col("source").isNull()).alias("without_source"))
+
+
 def term_dimension(terms: DataFrame) -> DataFrame:
     """The reference list with one row per identity, the smallest id's."""
     one = F.min_by(F.struct("id", "preferred_name", "alias", "source"), "id").alias("one")
@@ -123,9 +183,11 @@ def verified(facts: DataFrame, terms: DataFrame) -> DataFrame:
 def fuzzy_candidates(queries: DataFrame, terms: DataFrame, least: float = 75.0, k: int = 5) -> DataFrame:
     """Up to ``k`` entries for each query (``type, query``) by insertion-deletion ratio of the keys, ``least`` at least.
 
-    The ratio is 200·LCS/(a+b). The characters that two keys share, each counted as often as it occurs, are at least
-    as many as their LCS; pairs that share too few for the least ratio are never compared, and none is lost. The LCS
-    of the pairs left runs in Arrow batches.
+    The ratio is 200·LCS/(a+b), so that of a key at least a share of ``r / (2 - r)`` must be in the LCS (``r``: the
+    least ratio), as the other key is no shorter than the LCS. Characters, each counted as often as it occurs, are
+    put in the order of their frequency in the list; two keys that share so many have a common one among the rarest of
+    each, and only these are joined. Pairs that share too few for the least ratio are never compared, and none is
+    lost. The LCS of the pairs left runs in Arrow batches.
     """
     def lcs(a: str, b: str) -> int:
         row = [0] * (len(b) + 1)
@@ -139,16 +201,26 @@ def fuzzy_candidates(queries: DataFrame, terms: DataFrame, least: float = 75.0,
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([200.0 * lcs(x, y) / (len(x) + len(y)) for x, y in zip(a, b, strict=True)])
 
-    def with_chars(df: DataFrame, key: str) -> DataFrame:
+    def chars(key: str) -> Column:
         # the n-th occurrence of a character is a token of its own, so that shared tokens bound the LCS
-        chars = F.split(F.col(key), "")
-        counted = F.aggregate(chars, F.array().cast("array<string>"), lambda acc, c: F.concat(acc, F.array(F.concat(c, (F.size(F.filter(acc, lambda x: F.substring(x, 1, 1) == c))).cast("string")))))
-        return df.withColumn("token", F.explode(F.filter(counted, lambda c: F.length(c) > 1)))
-
-    q = queries.select("type", "query").distinct().withColumn("qk", term_key(F.col("query"))).where("qk <> ''")
-    t = terms.select("id", "terminology", F.col("semantic_type").alias("type"), "code", "preferred_name", "alias").withColumn("tk", term_key(F.col("alias"))).where("tk <> ''")
-    shared = with_chars(q, "qk").join(small(with_chars(t, "tk")), ["type", "token"]).groupBy("type", "query", "qk", "id", "terminology", "code", "preferred_name", "alias", "tk").agg(F.count("*").alias("common"))
-    near = shared.where(F.col("common") * 200.0 >= least * (F.length("qk") + F.length("tk")))
+        each = F.filter(F.split(F.col(key), ""), lambda c: c != "")
+        return F.transform(each, lambda c, i: F.concat(c, F.size(F.filter(F.slice(each, 1, i), lambda x: x == c)).cast("string")))
+
+    share = least / 100 / (2 - least / 100)
+    q = queries.select("type", "query").distinct().withColumn("qk", term_key(F.col("query"))).where("qk <> ''").withColumn("qc", chars("qk"))
+    t = terms.select("id", "terminology", F.col("semantic_type").alias("type"), "code", "preferred_name", "alias").withColumn("tk", term_key(F.col("alias"))).where("tk <> ''").withColumn("tc", chars("tk"))
+    counts = small(t.select("type", F.explode("tc").alias("token")).groupBy("type", "token").agg(F.count("*").alias("n")), TOKENS)
+
+    def rarest(df: DataFrame, ids: list[str], tokens: str) -> DataFrame:
+        rows = df.select("type", *ids, F.size(tokens).alias("size"), F.explode(tokens).alias("token")).join(counts, ["type", "token"], "left")
+        place = F.row_number().over(Window.partitionBy("type", *ids).orderBy(F.coalesce("n", F.lit(0)), "token"))
+        kept = F.col("size") - F.ceil(F.col("size") * F.lit(share) - F.lit(1e-9)) + 1
+        return rows.withColumn("place", place).where(F.col("place") <= kept).select("type", *ids, "token")
+
+    pairs = rarest(q, ["query"], "qc").join(rarest(t, ["id"], "tc"), ["type", "token"]).select("type", "query", "id").distinct()
+    near = pairs.join(q, ["type", "query"]).join(t, ["type", "id"])
+    common = F.size(F.array_intersect("qc", "tc"))
+    near = near.where(common * 200.0 >= least * (F.length("qk") + F.length("tk")))
     scored = near.withColumn("score", score("qk", "tk")).where(F.col("score") >= least)
     per_code = scored.groupBy("type", "query", "terminology", "code").agg(F.min_by(F.struct("score", "preferred_name", "alias", "id"), "id").alias("first"))
     rank = F.row_number().over(Window.partitionBy("type", "query").orderBy(F.desc("first.score"), F.asc("first.id")))
@@ -224,7 +296,7 @@ def term_alias_import(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "term_dimension_dedup": term_dimension_dedup, "term_exact_lookup_top1": term_exact_lookup, "term_unique_lookup": term_unique_lookup, "term_coalesced_match": term_coalesced_match,
-    "term_standardized": term_standardized, "term_verify_semi": term_verify, "term_fuzzy_topk": term_fuzzy_topk, "loinc_preferred_name_fold": term_preferred_names, "term_alias_import": term_alias_import,
+    "term_standardized": term_standardized, "term_verify_semi": term_verify, "term_fuzzy_topk": term_fuzzy_topk, "term_metadata": term_metadata, "loinc_preferred_name_fold": term_preferred_names, "term_alias_import": term_alias_import,
 }
 
 
@@ -258,6 +330,7 @@ MATCH_SQL = f"""WITH {_DIMENSION}, {_BUILTIN}, facts_once AS (SELECT DISTINCT ON
   LEFT JOIN unambiguous a1 ON f.expected IS NULL AND a1.semantic_type = f.type AND a1.normalized_key = f.k1 LEFT JOIN unambiguous a2 ON f.expected IS NULL AND a2.semantic_type = f.type AND a2.normalized_key = f.k2)
 """
 ORACLE_SQL = {
+    "term_metadata": f"SELECT terminology, semantic_type, count(*) AS rows, count(DISTINCT code) AS codes, count(DISTINCT {_key('alias')}) AS keys, count(*) FILTER (source IS NULL) AS without_source FROM terms GROUP BY ALL",
     "term_dimension_dedup": f"WITH {_DIMENSION} SELECT id, terminology, semantic_type, code, normalized_key, alias FROM dimension",
     "term_exact_lookup_top1": f"WITH {_DIMENSION} SELECT n.type, n.name, t.terminology, t.code, t.alias FROM (SELECT DISTINCT type, name, {_key('name')} AS k FROM facts) n JOIN in_terminology t ON t.semantic_type = n.type AND t.normalized_key = n.k",
     "term_unique_lookup": f"WITH {_DIMENSION} SELECT n.type, n.name, t.terminology, t.code, t.alias FROM (SELECT DISTINCT type, name, {_key('name')} AS k FROM facts) n JOIN unambiguous t ON t.semantic_type = n.type AND t.normalized_key = n.k",

@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import csv
+import functools
+import io as io_
+import itertools
 import json
 import logging
 import re
+import time
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,10 +57,20 @@ def write_jsonl_ordered(df: DataFrame, path: str, order: list[str], mode: str =
     write_jsonl(df.repartitionByRange(*order).sortWithinPartitions(*order), path, mode)
 
 
-def sniff(path: str) -> tuple[str, str]:
+def _head(spark: SparkSession, path: str, size: int = 1 << 16) -> bytes:
+    """The first bytes of a file on any file system that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
+    try:
+        return bytes(stream.readNBytes(size))
+    finally:
+        stream.close()
+
+
+def sniff(spark: SparkSession, path: str) -> tuple[str, str]:
     """Encoding and delimiter of a delimited file, from its head."""
-    with open(path, "rb") as f:
-        head = f.read(1 << 16)
+    head = _head(spark, path)
     for encoding in ENCODINGS:
         try:
             text = head.decode(encoding, errors="strict" if len(head) < 1 << 16 else "ignore")
@@ -70,27 +87,68 @@ def sniff(path: str) -> tuple[str, str]:
         return encoding, ","
 
 
+def _from_rows(spark: SparkSession, path: str, header: list[str], rows: Callable[[bytes], Iterator[list]]) -> DataFrame:
+    """A file that is read as a whole, in one task, as a table of text columns; a reference list is of that size."""
+    names = [str(c or "").strip() for c in header]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for content in batch["content"]:
+                body = [([None if v is None else str(v) for v in row] + [None] * len(names))[: len(names)] for row in rows(bytes(content)) if any(v not in (None, "") for v in row)]
+                yield pd.DataFrame({f"c{n}": [r[n] for r in body] for n in range(len(names))}, dtype=object)
+
+    fields = ", ".join(f"c{n} string" for n in range(len(names)))
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(read, fields).toDF(*names)
+
+
+def _delimited_rows(content: bytes, encoding: str, delimiter: str) -> Iterator[list]:
+    """The records behind the header; a quoted field may hold delimiters and line breaks."""
+    return itertools.islice(csv.reader(io_.StringIO(content.decode(encoding), newline=""), delimiter=delimiter), 1, None)
+
+
+def _sheet_rows(content: bytes) -> Iterator[list]:
+    """The rows of the first sheet of an XLSX workbook, read from its XML; absent cells are None."""
+    main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    with zipfile.ZipFile(io_.BytesIO(content)) as book:
+        shared = []
+        if "xl/sharedStrings.xml" in book.namelist():
+            shared = ["".join(t.text or "" for t in item.iter(f"{main}t")) for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{main}si")]
+        sheet = min(n for n in book.namelist() if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n))
+        for row in ElementTree.fromstring(book.read(sheet)).iter(f"{main}row"):
+            out: list = []
+            for cell in row.iter(f"{main}c"):
+                letters = re.match("[A-Z]*", cell.get("r", "")).group(0)
+                place = functools.reduce(lambda n, c: 26 * n + ord(c) - 64, letters, 0) - 1 if letters else len(out)
+                out += [None] * (place + 1 - len(out))
+                value = cell.find(f"{main}v")
+                if cell.get("t") == "inlineStr":
+                    out[place] = "".join(t.text or "" for t in cell.iter(f"{main}t"))
+                elif value is not None:
+                    out[place] = shared[int(value.text)] if cell.get("t") == "s" else value.text
+            yield out
+
+
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
     """A csv, tsv or txt table with a header, all columns as text; another suffix is an error."""
     if not path.endswith((".csv", ".tsv", ".txt")):
         raise ValueError(f"{path}: unknown kind of table")
-    encoding, delimiter = sniff(path)
-    if encoding == "gb18030":  # no encoding of Spark's reader: decoded in Python, line by line
-        with open(path, encoding=encoding, newline="") as f:
-            header = next(csv.reader([f.readline()], delimiter=delimiter))
-        fields = ", ".join(f"`{c.strip()}` string" for c in header)
-
-        def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for content in batch["content"]:
-                    yield pd.DataFrame({"value": [line for line in content.decode(encoding).splitlines()[1:] if line.strip()]})
-
-        lines = spark.read.format("binaryFile").load(path).select("content").mapInPandas(decoded, "value string")
-        return lines.select(F.from_csv("value", fields, {"sep": delimiter, "escape": '"'}).alias("row")).select("row.*")
+    encoding, delimiter = sniff(spark, path)
+    if encoding == "gb18030":  # no encoding of Spark's reader
+        header = next(csv.reader([_head(spark, path).decode(encoding, "ignore").splitlines()[0]], delimiter=delimiter))
+        return _from_rows(spark, path, header, lambda content: _delimited_rows(content, encoding, delimiter))
     df = spark.read.option("header", True).option("sep", delimiter).option("multiLine", True).option("escape", '"').csv(path)
     return df.toDF(*(c.lstrip("\ufeff") for c in df.columns))
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A delimited table or the first sheet of an XLSX workbook, with a header, all columns as text."""
+    if not path.endswith((".xlsx", ".xlsm")):
+        return read_delimited(spark, path)
+    content = spark.read.format("binaryFile").load(path).select("content").first()[0]
+    header = next(_sheet_rows(bytes(content)), [])
+    return _from_rows(spark, path, header, lambda data: itertools.islice(_sheet_rows(data), 1, None))
+
+
 def pick(df: DataFrame, names: list[str]) -> Column:
     """The first non-blank value of the columns that are named so, in the order of ``names``; "" if there is none."""
     known = {c.strip().lower(): c for c in df.columns}
@@ -140,6 +198,60 @@ def write_report(report: dict, path: str) -> None:
     os.replace(aside, path)
 
 
+def read_report(path: str) -> dict:
+    """A report that :func:`write_report` wrote; without one, an empty report."""
+    return json.loads(Path(path).read_text(encoding="utf-8")) if Path(path).exists() else {}
+
+
+def merged_report(paths: dict[str, str]) -> dict:
+    """Reports of several stages as one, each under its name; a stage without a report is left out."""
+    return {name: report for name, path in paths.items() if (report := read_report(path))}
+
+
+def backup(spark: SparkSession, paths: list[str], run_dir: str) -> list[str]:
+    """Copies of those ``paths`` that exist, in a folder of ``run_dir`` named by the time; what was copied."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    aside = f"{run_dir}/backup-{time.strftime('%Y%m%d-%H%M%S')}-{uuid.uuid4().hex[:6]}"
+    done = []
+    for path in paths:
+        source = jvm.org.apache.hadoop.fs.Path(path)
+        files = source.getFileSystem(conf)
+        if files.exists(source):
+            target = jvm.org.apache.hadoop.fs.Path(f"{aside}/{source.getName()}")
+            jvm.org.apache.hadoop.fs.FileUtil.copy(files, source, target.getFileSystem(conf), target, False, conf)
+            done.append(target.toString())
+    return done
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a stage wrote ``path`` to the end: Spark's commit leaves its mark there."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """``file, bytes, sha256`` of every file of a path."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def registry_errors(registry: dict, names: list[str], root: str) -> list[str]:
+    """What is wrong with a registry of training sets (name to ``file_name``): names that it lacks, twice, or without a file."""
+    errors = [f"{n}: named twice" for n in sorted({n for n in names if names.count(n) > 1})]
+    for name in dict.fromkeys(names):
+        entry = registry.get(name)
+        if not isinstance(entry, dict) or not entry.get("file_name"):
+            errors.append(f"{name}: not in the registry")
+        elif not Path(root, entry["file_name"]).exists():
+            errors.append(f"{name}: no file {entry['file_name']}")
+    return errors
+
+
+def dataset_names(value: str | list[str] | None) -> list[str]:
+    """The names of training sets of a setting: a list, or a text with commas."""
+    parts = value if isinstance(value, list) else (value or "").split(",")
+    return [p.strip() for p in parts if p.strip()]
+
+
 class Redacting(logging.Filter):
     """Takes keys and tokens out of what is logged."""
 

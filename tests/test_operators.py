@@ -1,13 +1,15 @@
 """Rules that the tables alone don't reach, empty tables, nulls, repeated rows and clashing columns."""
 
+import hashlib
 import json
 import random
+import zipfile
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from dialoom.operators import answers, dialogue, facts, interview, ledger, metrics, splits, terms
+from dialoom.operators import answers, dialogue, facts, interview, ledger, metrics, prompts, splits, terms
 from dialoom.operators.state import ITEM_DDL, STATE_DDL
 from dialoom.plans import pipelines
 from dialoom.sources import io
@@ -235,6 +237,63 @@ def test_files(spark, tmp_path):
     assert not io.write_ledger(rows.limit(0), str(tmp_path / "ledger")) and not (tmp_path / "ledger").exists()
 
 
+def test_tables_of_other_kinds(spark, tmp_path):
+    (tmp_path / "q.csv").write_bytes('编码,名称\nA,"胃炎，\n急性"\nB,"a,b"\n'.encode("gb18030"))
+    assert sorted(map(tuple, io.read_delimited(spark, str(tmp_path / "q.csv")).collect())) == [("A", "胃炎，\n急性"), ("B", "a,b")]
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(tmp_path / "t.xlsx", "w") as book:
+        book.writestr("xl/sharedStrings.xml", f"<sst {main}><si><t>code</t></si><si><t>name</t></si><si><r><t>胃</t></r><r><t>炎</t></r></si></sst>")
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet {main}><sheetData><row><c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c></row><row><c r="A2"><v>12</v></c><c r="C2" t="s"><v>2</v></c></row><row><c r="C3" t="inlineStr"><is><t>x</t></is></c></row><row/></sheetData></worksheet>')
+    df = io.read_table(spark, str(tmp_path / "t.xlsx"))
+    assert df.columns == ["code", "", "name"] and sorted(map(tuple, df.collect()), key=str) == [("12", None, "胃炎"), (None, None, "x")]
+
+
+def test_terminology_sources(spark, tmp_path):
+    icd = spark.createDataFrame([("K29", "胃炎", "急性胃炎；胃粘膜炎"), ("", "x", ""), ("K30", " ", "")], "`疾病诊断代码` string, `疾病诊断名称` string, `同义词` string")
+    got = terms.import_terms(terms.disease_rows(icd, io.pick)).select("code", "alias").collect()
+    assert sorted(map(tuple, got)) == [("K29", "急性胃炎"), ("K29", "胃炎"), ("K29", "胃粘膜炎")]
+    loinc = spark.createDataFrame([("1-8", "Glucose [Mass] in Blood"), ("2-6", "Iron")], "LOINC_NUM string, LONG_COMMON_NAME string")
+    chinese = spark.createDataFrame([("1-8", "葡萄糖.血液.定量", "血糖测定", "葡萄糖"), ("3-4", "很长.的^名称", "", "")], "LOINC_NUM string, LONG_COMMON_NAME string, SHORTNAME string, COMPONENT string")
+    rows = {r["code"]: (r["preferred_name"], set(r["aliases"])) for r in terms.examination_rows(loinc, chinese, io.pick).collect()}
+    assert rows["1-8"] == ("葡萄糖", {"葡萄糖.血液.定量", "血糖测定", "葡萄糖", "Glucose [Mass] in Blood"})
+    assert rows["2-6"][0] == "Iron" and rows["3-4"][0] == "很长.的^名称"
+    assert {r["code"] for r in terms.examination_rows(loinc, None, io.pick).collect()} == {"1-8", "2-6"}
+
+
+def test_reports_backups_and_registries(spark, tmp_path):
+    assert io.read_report(str(tmp_path / "none.json")) == {}
+    io.write_report({"rows": 3}, str(tmp_path / "r.json"))
+    assert io.read_report(str(tmp_path / "r.json")) == {"rows": 3} and io.merged_report({"a": str(tmp_path / "r.json"), "b": str(tmp_path / "none.json")}) == {"a": {"rows": 3}}
+    (copy,) = io.backup(spark, [str(tmp_path / "r.json"), str(tmp_path / "none.json")], str(tmp_path / "runs"))
+    assert io.read_report(copy.removeprefix("file:")) == {"rows": 3}
+    hashes = io.file_hashes(spark, str(tmp_path / "r.json")).first()
+    assert hashes["sha256"] == hashlib.sha256((tmp_path / "r.json").read_bytes()).hexdigest()
+    assert io.dataset_names(" a, b,,") == ["a", "b"] == io.dataset_names(["a", " b"]) and io.dataset_names(None) == []
+    assert io.registry_errors({"a": {"file_name": "r.json"}, "b": {"file_name": "x"}}, ["a", "b", "c", "a"], str(tmp_path)) == ["a: named twice", "b: no file x", "c: not in the registry"]
+
+
+def test_inputs_are_read_back(spark):
+    rows = [("多久了？", "三天\n了 ", '{"a":1}', "患者：痛"), (None, None, None, None), ("", "当前问诊状态：x", "bad", "")]
+    df = spark.createDataFrame(rows, "q string, u string, s string, c string").select(prompts.extractor_input(F.col("q"), F.col("u"), F.col("s"), F.col("c")).alias("t"))
+    parsed = df.select(prompts.utterance_of(F.col("t")), prompts.section(F.col("t"), "没有：")).collect()
+    assert [tuple(r) for r in parsed] == [("三天\n了", None), ("", None), ("当前问诊状态：x", None)]
+    ask = spark.createDataFrame([(["痛"], '{"chief_complaint":"腹痛"}', '[{"type":"symptom","name":"腹痛","attribute":""}]'), (None, None, None), ([], "bad", "bad")], "b array<string>, s string, a string")
+    text = prompts.interviewer_input(F.col("b"), F.col("s"), F.lit(None).cast("string"), F.col("a"))
+    got = ask.select(prompts.runtime_state(text, "struct<chief_complaint:string>")["chief_complaint"], F.size(prompts.runtime_asked(text))).collect()
+    assert [tuple(r) for r in got] == [("腹痛", 1), (None, 0), (None, 0)]
+
+
+def test_prompts_show_what_they_may(spark):
+    df = spark.createDataFrame([("有", ["e1", "e2"], "秘密")], "u string, e array<string>, next string")
+    row = df.select(prompts.user_prompt(F.lit("痛吗？"), F.col("u"), F.lit(None).cast("string"), F.lit(None).cast("string")).alias("p"), prompts.retry_prompt(F.col("e")).alias("r"), prompts.teacher_prompt({"patient_block": F.array("u"), "next_patient_block": F.col("next")}).alias("t")).first()
+    assert "很短" in row["p"] and row["r"].endswith("- e1\n- e2") and row["t"] == '{"patient_block":["有"]}'
+    assert df.select(prompts.unusable_decision("UNSAFE_QUESTION").alias("d")).first()["d"]["skip_reason_code"] == "UNSAFE_QUESTION"
+    with pytest.raises(ValueError, match="no reason"):
+        prompts.unusable_decision("OTHER")
+    with pytest.raises(Exception, match="no reason"):
+        df.select(prompts.unusable_decision(F.col("next"))).collect()
+
+
 def test_secrets_are_not_logged():
     import logging
 
@@ -246,5 +305,8 @@ def test_secrets_are_not_logged():
 def test_pipelines(spark, sf, tmp_path):
     report = pipelines.extractor_pipeline(spark, sf, str(tmp_path / "e"))
     assert report["facts_kept"] <= report["facts"] and sum(report["training_rows"].values()) > 0
+    again = pipelines.extractor_pipeline(spark, sf, str(tmp_path / "e"), resume=True)
+    assert again == report
     report = pipelines.interviewer_pipeline(spark, sf, str(tmp_path / "i"))
+    assert pipelines.interviewer_pipeline(spark, sf, str(tmp_path / "i"), run_dir=str(tmp_path / "runs")) == report and len(list((tmp_path / "runs").glob("*/*"))) == 2
     assert report["usable_rows"] <= report["rows"] and report["split_overlaps"] == 0
