@@ -13,6 +13,8 @@ GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορυχϲϳ"
 GREEK_AS = "ABEZHIKMNOPTYXaiKvopuxcj"
 CYRILLIC = "АВЕЅЗІЈКМНОРСТУХЬаегѕіјкорсухһԁԛԝ"
 CYRILLIC_AS = "ABES3IJKMHOPCTYXbaersijKopcyxhdqw"
+OTHERS = "ɑɡսոհցօԼՏՕᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃ"
+OTHERS_AS = "agunhgoLSOABCDEHJKLMPRSTVWZ"
 MARKS = "‐‑‒–—―−﹘‘’‛′“”‟″・•‧∙⋅〜∼"
 MARKS_AS = "--------''''\"\"\"\"·····~~"
 
@@ -24,7 +26,7 @@ INVISIBLE_RE = re.compile(f"[{INVISIBLE}]")
 @functools.cache
 def lookalikes() -> dict[str, str]:
     """One code point to the one that it looks like; accented letters follow their base letter."""
-    base = dict(zip(GREEK, GREEK_AS, strict=True)) | dict(zip(CYRILLIC, CYRILLIC_AS, strict=True)) | dict(zip(MARKS, MARKS_AS, strict=True))
+    base = dict(zip(GREEK, GREEK_AS, strict=True)) | dict(zip(CYRILLIC, CYRILLIC_AS, strict=True)) | dict(zip(OTHERS, OTHERS_AS, strict=True)) | dict(zip(MARKS, MARKS_AS, strict=True))
     out = dict(base)
     for code in (*range(0x370, 0x530), *range(0x1F00, 0x2000)):
         parts = unicodedata.normalize("NFD", chr(code))
