@@ -19,14 +19,22 @@ from dialoom.llm.arrow import bounded
 from dialoom.session import table
 
 
+def _name(column: str) -> str:
+    return '"' + column.replace('"', '""') + '"'
+
+
 def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def form_sql(column: str, chars: str) -> str:
-    """The DuckDB expression that brings ``column`` to its one form, given the distinct characters that occur in it.
+#: Most replacements in one expression; more go into further layers, as DuckDB bounds the depth of an expression.
+LAYER = 200
+
 
-    The tables come from the Unicode database; the expression holds the entries of the characters that are there,
+def form_layers(column: str, chars: str) -> list[str]:
+    """DuckDB expressions over ``column``, one after the other, that bring it to its one form, given the characters in it.
+
+    The tables come from the Unicode database; the expressions hold the entries of the characters that are there,
     which leaves the result as with the whole tables and spares their cost.
     """
     one_from, one_to, many = [], [], []
@@ -39,16 +47,27 @@ def form_sql(column: str, chars: str) -> str:
             else:
                 many.append((char, to))
     unseen = "".join(f"\\x{{{ord(c):X}}}" for c in chars if INVISIBLE_RE.match(c))
-    expr = f"regexp_replace({column}, '[{unseen}]', '', 'g')" if unseen else column
-    for char, to in many:
-        expr = f"replace({expr}, {_literal(char)}, {_literal(to)})"
+    layers = [f"regexp_replace({column}, '[{unseen}]', '', 'g')"] if unseen else []
+    for at in range(0, len(many), LAYER):
+        expr = column
+        for char, to in many[at : at + LAYER]:
+            expr = f"replace({expr}, {_literal(char)}, {_literal(to)})"
+        layers.append(expr)
     if one_from:
-        expr = f"translate({expr}, {_literal(''.join(one_from))}, {_literal(''.join(one_to))})"
+        layers.append(f"translate({column}, {_literal(''.join(one_from))}, {_literal(''.join(one_to))})")
     # composing may put an accent on a mapped letter, and a composed letter may itself have a look-alike
-    expr = f"nfc_normalize({expr})"
+    layers.append(f"nfc_normalize({column})")
     later = {c: x for c, x in lookalikes().items() if ord(c) > 0x2FF}
     if any("\u0300" <= c <= "\u036f" for c in chars):
-        expr = f"translate({expr}, {_literal(''.join(later))}, {_literal(''.join(later.values()))})"
+        layers.append(f"translate({column}, {_literal(''.join(later))}, {_literal(''.join(later.values()))})")
+    return layers
+
+
+def form_sql(column: str, chars: str) -> str:
+    """The layers of :func:`form_layers` as one expression."""
+    expr = column
+    for layer in form_layers("{}", chars):
+        expr = layer.replace("{}", expr, 1)
     return expr
 
 
@@ -64,9 +83,11 @@ def _run(batches: Iterator[pa.RecordBatch], columns: dict[str, str], where: str)
     con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
     for batch in bounded(batches, list(columns)):
         rows = pa.Table.from_batches([batch])
-        forms = {new: form_sql(f'"{old}"', _characters(rows.column(old).combine_chunks())) for old, new in columns.items()}
         con.register("batch", rows)
-        sql = f"SELECT *, {', '.join(f'{expr} AS "{new}"' for new, expr in forms.items())} FROM batch"
+        sql = f"SELECT *, {', '.join(f'{_name(old)} AS {_name(new)}' for old, new in columns.items())} FROM batch"
+        for old, new in columns.items():
+            for layer in form_layers(_name(new), _characters(rows.column(old).combine_chunks())):
+                sql = f"SELECT * REPLACE ({layer} AS {_name(new)}) FROM ({sql})"
         out = con.sql(f"SELECT * FROM ({sql}) WHERE {where}").to_arrow_table()
         con.unregister("batch")
         names = [*rows.column_names, *columns.values()]
@@ -114,7 +135,7 @@ def p2_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _whole_table() -> str:
     """The characters of the scripts and symbols of the tables, for the form as one fixed SQL expression."""
-    blocks = (range(0xA0, 0x530), range(0x1F00, 0x2070), range(0x2E80, 0x2FD6), range(0x3000, 0x3040), range(0x3380, 0x33E0), range(0xF900, 0xFB00), range(0xFE00, 0xFE10), range(0xFEFF, 0xFFF0))
+    blocks = (range(0xA0, 0x590), range(0x13A0, 0x1400), range(0x1F00, 0x2070), range(0x2E80, 0x2FD6), range(0x3000, 0x3040), range(0x3380, 0x33E0), range(0xF900, 0xFB00), range(0xFE00, 0xFE10), range(0xFEFF, 0xFFF0))
     return "".join(c for c in (chr(p) for r in blocks for p in r) if shape(c) != c)
 
 

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from dialoom.functions.unicode import fold
+from dialoom.functions.unicode import fold, shape
 from dialoom.llm.lookalike import one_form, same_reading
 
 ALPHABET = "ab腹痛⼤㎎Ｃ​﻿\xa0　́дсоВééö｡.' \"--–μΜ①ﬁ︎"
@@ -37,3 +37,12 @@ def test_long_empty_and_null_texts(spark):
     got = [r["form"] for r in one_form(df, {"t": "form"}).collect()]
     assert got == [unicodedata.normalize("NFKC", long), "", None, ""]
     assert one_form(df.limit(0), {"t": "form"}).count() == 0
+
+
+def test_every_form_of_several_letters_in_one_batch(spark):
+    """All 1,237 and more characters whose form is several letters, in one text and one by one."""
+    many = [chr(c) for c in range(0xA0, 0x30000) if not 0xD800 <= c < 0xE000 and len(shape(chr(c))) > 1]
+    assert len(many) > 1200
+    df = spark.createDataFrame([(n, t) for n, t in enumerate([*many, " ".join(many)])], "n int, t string").coalesce(1)
+    got = {r["n"]: r["f"] for r in one_form(df, {"t": "f"}).collect()}
+    assert all(got[n] == fold(t) for n, t in enumerate([*many, " ".join(many)]))
