@@ -66,13 +66,17 @@ def user_turn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def running_total(df: DataFrame, order: str, value: str, share: int = 10_000) -> DataFrame:
     """``df`` with ``before``: the sum of ``value`` over all rows before it in ``order`` (a non-negative integer).
 
-    A window over all rows would be one task. Sums of ranges of ``order`` are accumulated first (one row per
-    ``share``), and windows run inside the ranges.
+    A window over all rows would be one task. Sums of ranges of ``order`` are accumulated first, and windows run inside
+    the ranges. The sums are accumulated in the same way over ranges of ranges, so that the one window over all has a
+    row for ``share`` squared places: ten thousand rows for 10^12.
     """
     parts = df.withColumn("part", F.floor(F.col(order) / share))
-    sums = parts.groupBy("part").agg(F.sum(value).alias("n"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
+    sums = parts.groupBy("part").agg(F.sum(value).alias("n")).withColumn("whole", F.floor(F.col("part") / share))
+    tops = sums.groupBy("whole").agg(F.sum("n").alias("n"))
+    earlier = Window.orderBy("whole").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select("whole", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("top"))
+    among = Window.partitionBy("whole").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("own", F.coalesce(F.sum("n").over(among), F.lit(0))).join(tops, "whole").select("part", (F.col("own") + F.col("top")).alias("ahead"))
     inside = Window.partitionBy("part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return parts.withColumn("own", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(sums, "part").withColumn("before", F.col("own") + F.col("ahead")).drop("part", "own", "ahead")
 

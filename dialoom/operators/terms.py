@@ -16,6 +16,8 @@ from dialoom.session import table
 
 #: Rows of a lookup table that may be broadcast; a larger one is joined by shuffle.
 BROADCAST_LOOKUP = 500_000
+#: Bytes of the rows, as JSON, that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 #: Distinct characters of a list that may be broadcast with their counts.
 TOKENS = 100_000
 
@@ -29,8 +31,9 @@ BUILTIN_EXAMINATIONS = [
 
 
 def small(df: DataFrame, bound: int = BROADCAST_LOOKUP) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``bound`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+    """``df`` marked for broadcast if it has at most ``bound`` rows and ``BROADCAST_BYTES`` of text, else as it is."""
+    head = df.limit(bound + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes")).agg(F.count("*").alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if head["rows"] <= bound and head["bytes"] <= BROADCAST_BYTES else df
 
 
 def import_terms(rows: DataFrame) -> DataFrame:
