@@ -237,7 +237,7 @@ def reply_links(messages: DataFrame, channel: str | Column, thread: str | None =
 
     Copies collapse before the first shuffle. A channel with any share of all rows is cut into chunks of turns, each
     with the turns before it as candidates, and rows without a turn are spread; the trees of several chunks are joined
-    over the few turns at the chunks' ends.
+    over the few turns at the chunks' ends that they hang on.
     """
     turn = F.col("turn_id").cast("int").alias("turn_id")
     own = F.col(channel) if isinstance(channel, str) else channel
@@ -258,7 +258,9 @@ def reply_links(messages: DataFrame, channel: str | Column, thread: str | None =
     name = channel if isinstance(channel, str) else "channel"
     names = ["channel", *(["thread"] if thread else []), "turn_id", "speaker", "visible", *(["content"] if keep_content else []), "parent", "score", "again"]
     done = links.where("settled").select(*names, F.col("anchor").alias("tree"), "root")
-    ends = links.where(F.pmod("turn_id", F.lit(CHUNK)) >= CHUNK - WINDOW).select("channel", "turn_id", "thread_key", "anchor", "root", "settled")
+    # of the turns at the chunks' ends, only those that a tree of the next chunk hangs on: mostly one a chunk
+    hung = links.where("not settled").select("channel", F.col("anchor").alias("turn_id"), F.col("root").alias("thread_key")).distinct()
+    ends = links.where(F.pmod("turn_id", F.lit(CHUNK)) >= CHUNK - WINDOW).select("channel", "turn_id", "thread_key", "anchor", "root", "settled").join(hung, ["channel", "turn_id", "thread_key"], "left_semi")
     tops = ends.repartition("channel").sortWithinPartitions("channel", "turn_id").mapInArrow(lambda batches: _roots(batches, reach), "channel string, turn_id int, thread_key long, top int, top_root long")
     tops = tops.groupBy("channel", F.col("turn_id").alias("anchor"), F.col("thread_key").alias("root")).agg(F.min_by(F.struct("top", "top_root"), F.struct("top", "top_root")).alias("top"))
     late = links.where("not settled").join(tops, ["channel", "anchor", "root"], "left")

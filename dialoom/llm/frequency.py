@@ -246,12 +246,13 @@ def term_frequencies(df: DataFrame, record: str, terms: str | Column, max_n: int
     """
     if large is None:
         large = record_sizes(df, record)[1]
-    name = F.col(record).cast("string")
-    shares = F.lit(1)
-    for own, n in large.items():
-        shares = F.when(name.eqNullSafe(F.lit(own)), -(-n // RECORD_ROWS)).otherwise(shares)
-    cut_up, share = (shares > 1), (F.pmod(F.monotonically_increasing_id(), shares) if large else F.lit(0))
-    rows = df.select(name.alias("record"), cut_up.alias("cut_up"), share.alias("share"), (F.col(terms) if isinstance(terms, str) else terms).alias("terms"))
+    rows = df.select(F.col(record).cast("string").alias("record"), (F.col(terms) if isinstance(terms, str) else terms).alias("terms"))
+    if large:  # CUT_RECORDS at most
+        shares = df.sparkSession.createDataFrame([(own, -(-n // RECORD_ROWS)) for own, n in large.items()], "own string, shares long")
+        rows = rows.join(F.broadcast(shares), F.col("record").eqNullSafe(F.col("own")), "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
+        rows = rows.select("record", (F.col("shares") > 1).alias("cut_up"), F.pmod(F.monotonically_increasing_id(), F.col("shares")).alias("share"), "terms")
+    else:
+        rows = rows.select("record", F.lit(False).alias("cut_up"), F.lit(0).alias("share"), "terms")
     rows = rows.repartition("record", "share").sortWithinPartitions("record").drop("share")
     blocks = rows.mapInArrow(lambda batches: _count(batches, tag, max_n), _DDL)
     whole = blocks.groupBy("term", "record").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
