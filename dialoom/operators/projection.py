@@ -37,6 +37,21 @@ def prompt_state(state: Column) -> Column:
     return F.struct(state["chief_complaint"].alias("chief_complaint"), *map(items, [*FULL[:1], *BRIEF[:1], *FULL[1:], *BRIEF[1:]]))
 
 
+def model_visible_state(state: Column) -> Column:
+    """A state without its dialogue, turn and uncertain findings; empty parts are null, so that JSON leaves them out."""
+    parts = []
+    for bucket in [*FULL[:1], *BRIEF[:1], *FULL[1:], *BRIEF[1:]]:
+        parts.append(F.when(F.size(F.coalesce(state[bucket], F.array().cast(_NONE))) > 0, state[bucket]).alias(bucket))
+    return F.struct(F.nullif(state["chief_complaint"], F.lit("")).alias("chief_complaint"), *parts)
+
+
+def projection_errors(runtime: Column, training: Column) -> Column:
+    """Where a projection for training isn't the facts it was made of with their codes taken off, place by place."""
+    kept = ["name", "normalized_name", "type", "status", "subject", "evidence"]
+    coded = F.transform(F.filter(F.transform(training, lambda f, i: F.struct(i.alias("i"), f["standard_code"].isNotNull().alias("coded"))), lambda x: x["coded"]), lambda x: F.concat(F.lit("facts["), x["i"].cast("string"), F.lit("].standard_code")))
+    return F.when(F.size(runtime) != F.size(training), F.array(F.lit("number of facts"))).otherwise(F.concat(changes(runtime, training, kept), coded))
+
+
 def question_state(state: Column) -> Column:
     """A state as the next question sees it: seven parts, items by their normalised name, nameless ones left out."""
 

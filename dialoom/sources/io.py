@@ -161,6 +161,11 @@ def read_shards(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def write_shards(df: DataFrame, path: str, key: str) -> None:
+    """Rows as JSON lines in one folder per key, named by its hash; the write of all is the commit."""
+    df.withColumn("shard", shard_name(F.col(key))).repartition("shard").write.mode("overwrite").partitionBy("shard").option("ignoreNullFields", "false").json(path)
+
+
 def shard_name(key: Column) -> Column:
     """Name of a key's shard."""
     return F.substring(F.sha2(key, 256), 1, 24)

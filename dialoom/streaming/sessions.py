@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from dialoom.functions.lexicon import CHATTER, MEDICAL_SIGNALS
+from dialoom.operators.facts import latest_turns
 from dialoom.operators.state import ALL_BUCKETS, StateFold
-from dialoom.session import checkpoint_dir
-from dialoom.streaming.clients import TextModel
+from dialoom.session import checkpoint_dir, table
+from dialoom.streaming.clients import RuleModel, TextModel, asked_question, extracted_turn
 
 HISTORY = 4
 
@@ -76,6 +78,107 @@ def session_stream(requests: DataFrame, model: TextModel, history: int = HISTORY
     return keyed.groupBy("session_id").applyInPandasWithState(run, _SESSION_OUT, "session string", "append", GroupStateTimeout.NoTimeout)
 
 
+_QUESTION_OUT = "session_id string, seq long, ok boolean, error string, action string, utterance string, turn_count int"
+
+
+def step_questions(control: dict | None, request: dict, model: TextModel) -> tuple[dict | None, dict]:
+    """As :func:`step_session` where the request brings the state (JSON): only what was asked is kept. Ended ones go on."""
+    if request.get("reset"):
+        control = None
+    now = control or {"asked": [], "turn_count": 0, "ended": False}
+    try:
+        state = json.loads(request.get("state") or "{}")
+        if not isinstance(state, dict):
+            raise ValueError("state is no object")
+        decision, _ = asked_question(model, state, now["asked"])
+    except Exception as e:  # nothing of the request is kept
+        return control, {"ok": False, "error": str(e), "action": None, "utterance": None, "turn_count": now["turn_count"]}
+    asks = decision["action"] == "ask"
+    new = {"asked": now["asked"] + ([decision["target"]] if asks else []), "turn_count": now["turn_count"] + 1, "ended": not asks}
+    return new, {"ok": True, "error": None, "action": decision["action"], "utterance": decision["utterance"], "turn_count": new["turn_count"]}
+
+
+def question_stream(requests: DataFrame, model: TextModel) -> DataFrame:
+    """A question per request (``session_id, seq, state, reset``) of a stream, in the order of ``seq`` per session."""
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = json.loads(state.get[0]) if state.exists else None
+        out = []
+        for row in pd.concat(list(batches)).sort_values("seq").to_dict("records"):
+            now, response = step_questions(now, row, model)
+            out.append({"session_id": key[0], "seq": row["seq"]} | response)
+        if now is None:
+            state.remove()
+        else:
+            state.update((json.dumps(now, ensure_ascii=False),))
+        yield pd.DataFrame(out)
+
+    keyed = requests.withColumn("session_id", F.coalesce("session_id", F.lit("default")))
+    return keyed.groupBy("session_id").applyInPandasWithState(run, _QUESTION_OUT, "control string", "append", GroupStateTimeout.NoTimeout)
+
+
+_TURN_OUT = "dialogue_id string, turn_id int, ok boolean, error string, calls int, facts int, problems int"
+
+
+def synthesized_turns(turns: DataFrame, model: TextModel, attempts: int = 3) -> DataFrame:
+    """``turns`` (``dialogue_id, turn_id, question, utterance``) read by a model, in their order: one row per turn.
+
+    The state goes from turn to turn; after a turn that fails, the rest of its dialogue is left undone, as it would
+    build on a gap. Rows stream through the tasks, which hold the state of the present dialogue alone.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fold, failed = StateFold(None), False
+        for batch in batches:
+            out = []
+            for row in batch.to_dict("records"):
+                if fold.dialogue_id != row["dialogue_id"]:
+                    fold, failed = StateFold(row["dialogue_id"]), False
+                error, calls, facts = "a turn before failed", 0, []
+                if not failed:
+                    try:
+                        facts, calls = extracted_turn(model, row["utterance"] or "", row["question"], fold.as_dict(), attempts)
+                        fold.take_turn(facts, int(row["turn_id"]), row["question"])
+                        error = None
+                    except Exception as e:  # told in the row; the ledger takes it from there
+                        failed, error, calls = True, str(e), attempts
+                out.append({"dialogue_id": row["dialogue_id"], "turn_id": row["turn_id"], "ok": error is None, "error": error, "calls": calls, "facts": len(facts), "problems": len(fold.buckets["problems"])})
+            if out:
+                yield pd.DataFrame(out)
+
+    rows = turns.select("dialogue_id", "turn_id", "question", "utterance").repartition("dialogue_id").sortWithinPartitions("dialogue_id", "turn_id")
+    return rows.mapInPandas(run, _TURN_OUT)
+
+
+def synthesized_sessions(blocks: DataFrame, model: TextModel, attempts: int = 3) -> DataFrame:
+    """``blocks`` (``dialogue_id, block_id, state`` as JSON, ``is_terminal``) with the model's decision: one row per block.
+
+    A terminal block ends without a call. The targets that were asked go from block to block of a session.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, asked = None, []
+        for batch in batches:
+            out = []
+            for row in batch.to_dict("records"):
+                if now != row["dialogue_id"]:
+                    now, asked = row["dialogue_id"], []
+                error, calls, decision = None, 0, {"action": "end", "target": None, "utterance": ""}
+                if not row["is_terminal"]:
+                    try:
+                        decision, calls = asked_question(model, json.loads(row["state"] or "{}"), asked, attempts)
+                    except Exception as e:
+                        error, calls, decision = str(e), attempts, {"action": None, "target": None, "utterance": None}
+                if decision["action"] == "ask":
+                    asked = [*asked, decision["target"]]
+                out.append({"dialogue_id": row["dialogue_id"], "block_id": row["block_id"], "ok": error is None, "error": error, "calls": calls, "action": decision["action"], "utterance": decision["utterance"]})
+            if out:
+                yield pd.DataFrame(out)
+
+    rows = blocks.select("dialogue_id", "block_id", "state", "is_terminal").repartition("dialogue_id").sortWithinPartitions("dialogue_id", "block_id")
+    return rows.mapInPandas(run, "dialogue_id string, block_id int, ok boolean, error string, calls int, action string, utterance string")
+
+
 def fact_stream(facts: DataFrame) -> DataFrame:
     """The state of each dialogue after each micro-batch of its ``facts``; facts of a batch in the order of turn and place.
 
@@ -119,6 +222,17 @@ def stream_keyed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(fact_stream(facts))
 
 
+#: Names that the offline stand-in knows.
+STAND_IN = {"腹痛": "symptom", "腹泻": "symptom", "恶心": "symptom", "发热": "symptom", "胃炎": "disease"}
+
+
+def synthesized_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns read by the offline stand-in: turns, calls and facts by outcome."""
+    turns = latest_turns(table(spark, sf_dir, "turn_rows").select("dialogue_id", "turn_id", "previous_doctor_question", "patient_utterance", "processed_at"))
+    rows = turns.select("dialogue_id", "turn_id", F.col("previous_doctor_question").alias("question"), F.col("patient_utterance").alias("utterance"))
+    return synthesized_turns(rows, RuleModel(STAND_IN)).groupBy("ok").agg(F.count("*").alias("turns"), F.sum("calls").alias("calls"), F.sum("facts").alias("facts"))
+
+
 def event_time_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages by day of receipt as a stream with a watermark, closed days only."""
     rows = stream_table(spark, sf_dir, "messages").withColumn("at", F.col("received_at").cast("timestamp"))
@@ -126,8 +240,16 @@ def event_time_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(days.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "n"))
 
 
-QUERIES = {"stream_keyed_state": stream_keyed_state, "stream_event_time_counts": event_time_counts}
+QUERIES = {"stream_keyed_state": stream_keyed_state, "synthesized_reads": synthesized_reads, "stream_event_time_counts": event_time_counts}
+_STAND_IN_NAMES = "|".join(sorted(STAND_IN))
+_REST = "c"
+for _phrase in sorted(CHATTER, key=lambda p: (-len(p), p)):
+    _REST = f"replace({_REST}, '{_phrase}', '')"
 ORACLE_SQL = {
+    "synthesized_reads": f"""WITH turns AS (SELECT dialogue_id, turn_id, coalesce(arg_max({{'u': patient_utterance}}, processed_at).u, '') AS u FROM turn_rows GROUP BY ALL), bare AS (
+  SELECT *, regexp_replace(u, '[。！？!?，,、~～.\\s\\p{{Z}}]', '', 'g') AS c FROM turns
+), told AS (SELECT *, c <> '' AND (c IN ({", ".join(f"'{w}'" for w in CHATTER)}) OR ({_REST} = '' AND NOT regexp_matches(c, '{"|".join(MEDICAL_SIGNALS)}'))) AS courtesy FROM bare)
+SELECT TRUE AS ok, count(*) AS turns, count(*) FILTER (NOT courtesy) AS calls, CAST(sum(CASE WHEN courtesy THEN 0 ELSE len(regexp_extract_all(u, '{_STAND_IN_NAMES}')) END) AS BIGINT) AS facts FROM told""",
     "stream_event_time_counts": """
 SELECT strftime(date_trunc('day', received_at), '%Y-%m-%d') AS day, count(*) AS n FROM messages
 WHERE date_trunc('day', received_at) + INTERVAL 1 DAY <= (SELECT max(received_at) - INTERVAL 2 DAY FROM messages) GROUP BY 1"""

@@ -9,10 +9,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from dialoom.operators import answers, dialogue, facts, interview, ledger, metrics, prompts, splits, terms
+from dialoom.operators import answers, dialogue, facts, interview, ledger, metrics, projection, prompts, splits, terms
 from dialoom.operators.state import ITEM_DDL, STATE_DDL
 from dialoom.plans import pipelines
 from dialoom.sources import io
+from dialoom.streaming import clients, sessions
 
 MESSAGES = "source_pos long, dialogue_id string, turn_id int, role string, content string, received_at timestamp"
 
@@ -294,6 +295,75 @@ def test_prompts_show_what_they_may(spark):
         df.select(prompts.unusable_decision(F.col("next"))).collect()
 
 
+class Faulty(clients.RuleModel):
+    """Answers wrongly until it is told its errors."""
+
+    def extract(self, utterance, question, state, errors=None):
+        good = super().extract(utterance, question, state)
+        return good if errors or utterance == "腹痛" else [f | {"evidence": "没说"} for f in good]
+
+
+def test_turns_are_read_with_feedback():
+    model = Faulty({"腹痛": "symptom"})
+    assert clients.extracted_turn(model, "好的，谢谢。", None, {}) == ([], 0)
+    facts_, calls = clients.extracted_turn(model, "我腹痛", None, {})
+    assert calls == 2 and facts_[0]["evidence"] == "腹痛"
+    with pytest.raises(ValueError, match="evidence not in utterance"):
+        clients.extracted_turn(model, "我腹痛", None, {}, attempts=1)
+    assert clients.is_courtesy("嗯嗯，好的") and not clients.is_courtesy("好的，我去吃药") and not clients.is_courtesy("")
+
+
+def test_retries_wait_and_give_up():
+    waits, tries = [], []
+
+    def call():
+        tries.append(1)
+        raise TimeoutError("late")
+
+    with pytest.raises(TimeoutError):
+        clients.with_retries(call, 3, 0.2, waits.append, jitter=lambda a, b: b)()
+    assert len(tries) == 3 and waits == [1.0, 1.5]
+    with pytest.raises(ValueError, match="bad"):
+        clients.with_retries(lambda: (_ for _ in ()).throw(ValueError("bad")), 3, sleep=waits.append)()
+    assert len(waits) == 2
+
+
+def test_dialogues_stop_at_a_failed_turn(spark):
+    rows = [("a", 0, None, "腹痛"), ("a", 1, None, "还有腹痛"), ("a", 2, None, "腹痛"), ("b", 0, None, "腹痛"), ("b", 1, None, None)]
+    got = sessions.synthesized_turns(spark.createDataFrame(rows, "dialogue_id string, turn_id int, question string, utterance string"), Faulty({"腹痛": "symptom"}), attempts=1).collect()
+    assert {(r["dialogue_id"], r["turn_id"]): r["ok"] for r in got} == {("a", 0): True, ("a", 1): False, ("a", 2): False, ("b", 0): True, ("b", 1): True}
+    blocks = [("s", n, '{"problems": [{"type": "symptom", "normalized_name": "腹痛"}]}', n == 4) for n in range(5)]
+    decided = sessions.synthesized_sessions(spark.createDataFrame(blocks, "dialogue_id string, block_id int, state string, is_terminal boolean"), Faulty({})).orderBy("block_id").collect()
+    assert [(r["action"], r["calls"]) for r in decided] == [("ask", 1), ("ask", 1), ("ask", 1), ("end", 1), ("end", 0)] and len({r["utterance"] for r in decided[:3]}) == 3
+
+
+def test_questions_over_a_stream(spark, tmp_path):
+    state = '{"problems": [{"type": "symptom", "normalized_name": "腹痛"}]}'
+    rows = [("s", 2, state, False), ("s", 1, state, False), ("s", 3, "[1]", False), (None, 1, None, False), ("s", 4, state, True)]
+    schema = "session_id string, seq long, state string, reset boolean"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = sessions.question_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), clients.RuleModel({}))
+    got = {(r["session_id"], r["seq"]): (r["ok"], r["action"], r["turn_count"]) for r in sessions.run_to_table(stream, str(tmp_path / "out")).collect()}
+    assert got == {("s", 1): (True, "ask", 1), ("s", 2): (True, "ask", 2), ("s", 3): (False, None, 2), ("s", 4): (True, "ask", 1), ("default", 1): (True, "end", 1)}
+
+
+def test_projections_are_checked(spark):
+    fact = "array<struct<name:string,normalized_name:string,type:string,status:string,subject:string,evidence:string,standard_code:string>>"
+    a, b = ("腹痛", "腹痛", "symptom", "present", "patient", "腹痛", "C"), ("腹痛", "腹痛", "symptom", "present", "patient", "腹痛", None)
+    df = spark.createDataFrame([([a], [b]), ([a], [a]), ([a, a], [b]), ([a], [("胃痛", *b[1:])])], f"r {fact}, t {fact}")
+    got = [r[0] for r in df.select(projection.projection_errors(F.col("r"), F.col("t"))).collect()]
+    assert got == [[], ["facts[0].standard_code"], ["number of facts"], ["facts[0].name"]]
+    seen = spark.createDataFrame([('{"dialogue_id":"d","chief_complaint":"","problems":[{"name":"腹痛"}],"uncertain_findings":[{"name":"x"}],"lifestyle":[]}',)], "j string").select(F.to_json(projection.model_visible_state(F.from_json("j", STATE_DDL)))).first()[0]
+    assert json.loads(seen) == {"problems": [{"name": "腹痛"}]}
+
+
+def test_shards_hold_a_key_each(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", None)], "dialogue_id string, v int")
+    io.write_shards(df, str(tmp_path / "s"), "dialogue_id")
+    assert len(list((tmp_path / "s").glob("shard=*"))) == 2
+    assert sorted(map(tuple, spark.read.schema("dialogue_id string, v int").json(str(tmp_path / "s")).select("dialogue_id", "v").collect()), key=str) == [("a", 1), ("a", 2), ("b", None)]
+
+
 def test_secrets_are_not_logged():
     import logging
 
