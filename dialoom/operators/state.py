@@ -280,6 +280,18 @@ def state_full_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold_states(turns, last_only=True).select("dialogue_id", "turn_id", "state.chief_complaint", *(F.size(f"state.{b}").alias(b) for b in ALL_BUCKETS))
 
 
+def state_coded_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fold of :class:`StateFold` over the coded facts: every item of the last state of every dialogue.
+
+    With codes alone it is plain which entity a fact is of, so that SQL can tell the outcome in closed form.
+    """
+    facts = distinct_facts(table(spark, sf_dir, "facts"))
+    coded = facts.where("coalesce(standard_code, '') <> '' and coalesce(terminology, '') <> '' and type <> 'attribute' and status in ('present', 'absent')")
+    states = fold_states(turn_facts(coded), last_only=True)
+    items = state_items(states, ALL_BUCKETS)
+    return items.select("dialogue_id", "bucket", "terminology", "standard_code", "type", "subject", "status", "first_turn_id", "last_turn_id", F.size("evidence").alias("evidence"))
+
+
 def state_differences(folded: DataFrame, stored: DataFrame) -> DataFrame:
     """``dialogue_id, turn_id, differs``: the parts in which a folded state and the stored one of its turn name other things."""
     old = stored.select("dialogue_id", "turn_id", F.col("state").alias("stored"))
@@ -404,7 +416,7 @@ def checkpoint_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "state_core_fold": state_core_fold, "state_full_fold": state_full_fold, "replayed_states": replayed_states, "state_projection": state_projection, "state_transition_errors": state_transition_errors,
+    "state_core_fold": state_core_fold, "state_full_fold": state_full_fold, "state_coded_fold": state_coded_fold, "replayed_states": replayed_states, "state_projection": state_projection, "state_transition_errors": state_transition_errors,
     "state_new_items_delta": state_new_items_delta, "state_new_attributes_delta": state_new_attributes_delta, "checkpoint_rows": checkpoint_rows,
 }
 
@@ -422,6 +434,17 @@ ORACLE_SQL = {
 ), grouped AS (
   SELECT dialogue_id, type, subject, entity, run, min(status) AS status, min(turn_id) AS first_turn, max(turn_id) AS last_turn, count(DISTINCT (turn_id, evidence)) FILTER (evidence IS NOT NULL) AS evidence FROM runs GROUP BY ALL)
 SELECT DISTINCT ON (dialogue_id, type, subject, entity) dialogue_id, type, subject, entity, status, first_turn, last_turn, evidence FROM grouped ORDER BY dialogue_id, type, subject, entity, run DESC""",
+    "state_coded_fold": f"""WITH facts_once AS (SELECT DISTINCT ON (dialogue_id, turn_id, fact_pos) * FROM facts), coded AS (
+  SELECT * FROM facts_once WHERE coalesce(standard_code, '') <> '' AND coalesce(terminology, '') <> '' AND type <> 'attribute' AND status IN ('present', 'absent') AND trim(coalesce(nullif(normalized_name, ''), name, ''), ' ') <> ''
+), flips AS (
+  SELECT *, CASE WHEN lag(status) OVER w = status THEN 0 ELSE 1 END AS flip FROM coded WINDOW w AS (PARTITION BY dialogue_id, type, subject, terminology, standard_code ORDER BY turn_id, fact_pos)
+), runs AS (
+  SELECT *, sum(flip) OVER (PARTITION BY dialogue_id, type, subject, terminology, standard_code ORDER BY turn_id, fact_pos) AS run FROM flips
+), grouped AS (
+  SELECT dialogue_id, type, subject, terminology, standard_code, run, min(status) AS status, min(turn_id) AS first_turn_id, max(turn_id) AS last_turn_id, count(DISTINCT (turn_id, evidence)) FILTER (coalesce(evidence, '') <> '') AS evidence FROM runs GROUP BY ALL
+), last AS (SELECT DISTINCT ON (dialogue_id, type, subject, terminology, standard_code) * FROM grouped ORDER BY dialogue_id, type, subject, terminology, standard_code, run DESC)
+SELECT dialogue_id, CASE WHEN status = 'absent' THEN 'negative_findings' WHEN type IN ('symptom', 'disease') THEN 'problems' {" ".join(f"WHEN type = '{k}' THEN '{b}'" for k, b in HOME.items())} ELSE 'other_facts' END AS bucket,
+  terminology, standard_code, type, subject, status, first_turn_id, last_turn_id, CAST(evidence AS INTEGER) AS evidence FROM last""",
     "state_projection": f"""WITH {_STATES}, {_ITEMS}, named AS (SELECT dialogue_id, bucket, coalesce(nullif(trim(i.normalized_name, ' '), ''), nullif(trim(i.name, ' '), '')) AS name, i.type AS type, i.status AS status FROM items)
 SELECT bucket, name, type, status, count(*) AS n, count(DISTINCT dialogue_id) AS dialogues FROM named WHERE name IS NOT NULL GROUP BY ALL""",
     "state_transition_errors": f"""WITH {_STATES}, {_ITEMS.replace("items AS", "stored AS")}, items AS (
