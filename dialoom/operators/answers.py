@@ -219,6 +219,28 @@ def answerable_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("dialogue_id", "block_id", F.inline(answerable(F.col("before"), F.col("after"))))
 
 
+def decision_gates(target: Column, before: Column, after: Column, answer: Column, question: Column) -> Column:
+    """What stands against asking for a target: it is known, binds no entity, or the next block doesn't answer it.
+
+    The last one needs the next block; without one (null) nothing tells it.
+    """
+    attribute = canonical_attribute(target["attribute"]).isNotNull()
+    known = target_is_known(target, before)
+    checks = [
+        (known, "TARGET_ALREADY_KNOWN"),
+        (attribute & resolved_target(target, before, question).isNull(), "TARGET_NOT_RESOLVED"),
+        (answer.isNotNull() & ~known & answer_method(target, before, after, answer, question).isNull(), "ANSWER_NOT_OBSERVED"),
+    ]
+    return F.filter(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.lit(m)) for c, m in checks)), lambda m: m.isNotNull())
+
+
+def gated_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions of the table by what stands against them over whole states."""
+    rows = _asked(spark, sf_dir).where("action = 'ask' and next_question_target.name is not null")
+    gates = decision_gates(F.col("next_question_target"), F.col("before"), F.col("after"), F.col("answer"), F.coalesce("utterance", F.lit("")))
+    return rows.select(F.array_join(gates, ",").alias("gates")).groupBy("gates").agg(F.count("*").alias("n"))
+
+
 #: What an attribute is called as a fact of its own.
 DISPLAY_NAMES = {
     "time": "发生时间", "body_part": "部位", "duration": "持续时间", "episode_duration": "单次持续时间", "frequency": "频率", "character": "性质", "severity": "程度", "trigger": "诱因", "aggravating_factor": "加重因素",
@@ -282,7 +304,7 @@ def rewritten_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where("rewritten").select("dialogue_id", "turn_id", "fact_pos", "name", "type", F.col("attribute")["target"].alias("target"), F.size("attribute").alias("attributes"))
 
 
-QUERIES = {"answerability": answerability, "known_targets": known_targets, "resolved_targets": resolved_targets, "answerable_targets": answerable_targets, "rewritten_facts": rewritten_facts}
+QUERIES = {"answerability": answerability, "known_targets": known_targets, "resolved_targets": resolved_targets, "answerable_targets": answerable_targets, "gated_decisions": gated_decisions, "rewritten_facts": rewritten_facts}
 
 
 def _list(words: list[str]) -> str:
@@ -323,8 +345,7 @@ def _knows(items: str) -> str:
 
 _SAME = "x.names = i.names AND x.type IS NOT DISTINCT FROM i.type AND x.status IS NOT DISTINCT FROM i.status AND x.subject IS NOT DISTINCT FROM i.subject"
 _KIN = "x.type IS NOT DISTINCT FROM i.type AND x.status IS NOT DISTINCT FROM i.status AND x.subject IS NOT DISTINCT FROM i.subject AND list_has_any(x.names, i.names)"
-ORACLE_SQL = {
-    "answerability": f"""{_BEFORE_SQL}, cases AS (
+_METHODS_SQL = f"""{_BEFORE_SQL}, cases AS (
   SELECT dialogue_id, block_id, t, b, a, answer, u FROM around WHERE action = 'ask' AND answer IS NOT NULL AND t.name IS NOT NULL UNION ALL {_PLANTED_SQL}
 ), texts AS (
   SELECT *, {flat_sql("t.name")} AS tn, {canonical_sql("t.attribute")} AS canon, {flat_sql("u")} AS fu, {flat_sql("array_to_string(answer, '')")} AS short,
@@ -341,8 +362,15 @@ ORACLE_SQL = {
     WHEN canon IS NULL AND len(list_filter(fresh, lambda i: len(list_filter(i.names, lambda n: {related_sql("tn", "n")})) > 0)) > 0 THEN 'lexical_state_delta'
     WHEN canon IS NULL AND NOT unsure AND {related_sql("tn", "short")} THEN 'lexical_answer_match'
     WHEN canon IS NULL AND plain AND regexp_matches(fu, '{"|".join(YES_NO_CUES)}') AND NOT {COMPOUND_SQL} AND (short IN ({_list(YES_ANSWERS + NO_ANSWERS)}) OR regexp_matches(short, '{DEGREE_FORM}')) THEN 'explicit_short_answer'
-    WHEN canon IS NOT NULL AND plain AND {slots_sql("fu")} = [canon] AND ({" OR ".join(f"(canon = '{s}' AND regexp_matches(short, '{f}'))" for s, f in SHORT_ANSWER_FORMS.items())}) THEN 'short_attribute_answer' END AS method FROM flags)
-SELECT * FROM methods WHERE method IS NOT NULL""",
+    WHEN canon IS NOT NULL AND plain AND {slots_sql("fu")} = [canon] AND ({" OR ".join(f"(canon = '{s}' AND regexp_matches(short, '{f}'))" for s, f in SHORT_ANSWER_FORMS.items())}) THEN 'short_attribute_answer' END AS method FROM flags)"""
+ORACLE_SQL = {
+    "answerability": _METHODS_SQL + " SELECT * FROM methods WHERE method IS NOT NULL",
+    "gated_decisions": f"""{_METHODS_SQL}, gated AS (
+  SELECT list_filter([CASE WHEN {_knows("b")} THEN 'TARGET_ALREADY_KNOWN' END,
+    CASE WHEN canon IS NOT NULL AND (t.type IS NULL OR t.type NOT IN ({_list(FACT_TYPES)}) OR NOT coalesce(len(list_filter(b, lambda i: i.type = t.type AND list_contains(i.names, tn))) = 1 OR (regexp_matches(fu, '{"|".join(ELIDED_CUES)}') AND len(list_filter(b, lambda i: i.type = t.type)) = 1), FALSE)) THEN 'TARGET_NOT_RESOLVED' END,
+    CASE WHEN answer IS NOT NULL AND NOT ({_knows("b")}) AND m.method IS NULL THEN 'ANSWER_NOT_OBSERVED' END], lambda g: g IS NOT NULL) AS gates
+  FROM around LEFT JOIN methods m USING (dialogue_id, block_id) WHERE action = 'ask' AND t.name IS NOT NULL)
+SELECT array_to_string(gates, ',') AS gates, count(*) AS n FROM gated GROUP BY ALL""",
     "known_targets": f"""{_BEFORE_SQL} SELECT CASE WHEN canon IS NULL THEN 'entity' ELSE 'attribute' END AS asked_for, {_knows("b")} AS known_before, {_knows("a")} AS known_after,
   len(list_filter(b, lambda i: list_contains(i.names, tn) AND i.type = t.type)) = 1 AS one_entity, count(*) AS n FROM around WHERE action = 'ask' AND t.name IS NOT NULL GROUP BY ALL""",
     "resolved_targets": f"""{_BEFORE_SQL}, fitting AS (

@@ -9,7 +9,7 @@ from dialoom.functions.lexicon import BUCKETS, QUESTION_ATTRIBUTES
 from dialoom.functions.text import question_text
 from dialoom.operators.dialogue import running_total
 from dialoom.operators.facts import distinct_facts, latest_turns
-from dialoom.operators.interview import COMPOUND_SQL, ONCE_SQL, asked_before, canonical_attribute, flat_sql, is_compound, question_slots, questions, slots_sql
+from dialoom.operators.interview import COMPOUND_SQL, ONCE_SQL, asked_before, canonical_attribute, canonical_sql, flat_sql, is_compound, question_slots, questions, slots_sql
 from dialoom.operators.state import ITEM_DDL
 from dialoom.operators.terms import MATCH_SQL, standardized
 from dialoom.session import table
@@ -114,6 +114,33 @@ def question_candidates(rows: DataFrame) -> DataFrame:
     return rows.withColumn("candidates", F.transform(sentences, candidate))
 
 
+def candidate_errors(candidate: Column, doctor_block: Column) -> Column:
+    """What is wrong with a candidate that claims to be a question of the doctor's block."""
+    source, attribute = F.coalesce(candidate["source_text"], F.lit("")), canonical_attribute(candidate["attribute"])
+    slots, name = question_slots(source), question_text(candidate["name"])
+    said = F.exists(F.coalesce(doctor_block, F.array().cast("array<string>")), lambda m: F.coalesce(F.contains(m, source), F.lit(False)))
+    checks = [
+        ((source == "") | ~said, "source not in the doctor's words"),
+        (F.size(slots) > 1, "several slots"),
+        (attribute.isNotNull() & (F.size(slots) > 0) & ~F.coalesce(slots == F.array(attribute), F.lit(False)), "another slot"),
+        (candidate["attribute"].isNotNull() & attribute.isNull(), "attribute unknown"),
+        ((name != "") & ~F.contains(question_text(source), name), "name not in the question"),
+    ]
+    return F.filter(F.array(*(F.when(c, F.lit(m)) for c, m in checks)), lambda m: m.isNotNull())
+
+
+def checked_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates as a faulty model would give them (by the block's number), by what is wrong with them."""
+    rows = question_candidates(questions(table(spark, sf_dir, "interviewer_rows"))).select("block_id", "original_doctor_block", F.explode("candidates").alias("c"))
+    block, c = F.col("block_id") % 5, F.col("c")
+    given = F.struct(
+        F.when(block == 1, F.concat(c["source_text"], F.lit("x"))).otherwise(c["source_text"]).alias("source_text"), F.when(block == 2, F.concat(c["name"], F.lit("症"))).otherwise(c["name"]).alias("name"),
+        c["type"].alias("type"), F.when(block == 3, "severity").when(block == 4, "nonsense").otherwise(c["attribute"]).alias("attribute"),
+    )
+    errors = rows.select(F.array_join(candidate_errors(given, F.col("original_doctor_block")), "; ").alias("errors"))
+    return errors.groupBy("errors").agg(F.count("*").alias("n"))
+
+
 def selected_question(rows: DataFrame) -> DataFrame:
     """``rows`` (with ``candidates``, ``asked``, ``patient_state``) with ``selected``, the first candidate that passes all
     gates, else ``reason``: asked already > known already > not resolved > compound > no question."""
@@ -199,7 +226,7 @@ def canonical_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "candidate_selection": candidate_selection, "prompt_states": prompt_states, "question_states": question_states, "standardization_changes": standardization_changes,
+    "candidate_selection": candidate_selection, "checked_candidates": checked_candidates, "prompt_states": prompt_states, "question_states": question_states, "standardization_changes": standardization_changes,
     "positional_join": positional_pairs, "block_next_state": state_after_next, "canonical_targets": canonical_targets,
 }
 
@@ -211,7 +238,29 @@ def _sql() -> dict[str, str]:
     items = " + ".join(f"coalesce(len(s.{b}), 0)" for b in FULL + BRIEF)
     shown = "concat_ws('/', i.name, i.normalized_name, i.type, i.status, i.subject, i.time, {0}CAST(coalesce(len(map_keys(i.attributes)), 0) AS VARCHAR))"
     name = "coalesce(nullif(i.normalized_name, ''), nullif(i.name, ''))"
+    candidates = f"""WITH {ONCE_SQL}, spoken AS (
+  SELECT dialogue_id, block_id, problems, before, list_filter(flatten(list_transform(coalesce(original_doctor_block, []), lambda x: regexp_extract_all(coalesce(x, ''), '[^。！!?？]+[?？]'))), lambda z: trim(z, ' ') <> '') AS sentences FROM asked
+), each AS (
+  SELECT dialogue_id, block_id, problems, before, unnest(sentences) AS u, generate_subscripts(sentences, 1) AS pos FROM spoken
+), flat AS (
+  SELECT *, {flat_sql("u")} AS fu, list_filter(problems, lambda p: coalesce(contains({flat_sql("u")}, {flat_sql("p.name")}) AND {flat_sql("p.name")} <> '', FALSE)) AS named FROM each
+), targets AS (
+  SELECT *, list_filter(named, lambda p: length(p.name) = list_max(list_transform(named, lambda x: length(x.name))))[1] AS best, CASE WHEN len({slots_sql("fu")}) = 1 THEN {slots_sql("fu")}[1] END AS attribute FROM flat
+"""
+    wrong = {
+        "source not in the doctor's words": "source = '' OR len(list_filter(coalesce(doctor, []), lambda m: coalesce(contains(m, source), FALSE))) = 0",
+        "several slots": f"len({slots_sql('fs')}) > 1",
+        "another slot": f"canon IS NOT NULL AND len({slots_sql('fs')}) > 0 AND {slots_sql('fs')} <> [canon]",
+        "attribute unknown": "attr IS NOT NULL AND canon IS NULL",
+        "name not in the question": f"{flat_sql('named')} <> '' AND NOT contains(fs, {flat_sql('named')})",
+    }
+    checks = ", ".join("CASE WHEN {} THEN '{}' END".format(c, m.replace("'", "''")) for m, c in wrong.items())
     return {
+        "checked_candidates": f"""{candidates}), given AS (
+  SELECT o.original_doctor_block AS doctor, CASE WHEN g.block_id % 5 = 1 THEN trim(u, ' ') || 'x' ELSE trim(u, ' ') END AS source, CASE WHEN g.block_id % 5 = 2 THEN best.name || '症' ELSE best.name END AS named,
+    CASE WHEN g.block_id % 5 = 3 THEN 'severity' WHEN g.block_id % 5 = 4 THEN 'nonsense' ELSE attribute END AS attr FROM targets g JOIN once o USING (dialogue_id, block_id)
+), read AS (SELECT *, {flat_sql("source")} AS fs, {canonical_sql("attr")} AS canon FROM given)
+SELECT array_to_string(list_filter([{checks}], lambda e: e IS NOT NULL), '; ') AS errors, count(*) AS n FROM read GROUP BY ALL""",
         "standardization_changes": MATCH_SQL + """, changed AS (
   SELECT CASE WHEN coalesce(m.n, nullif(normalized_name, ''), name) IS DISTINCT FROM normalized_name THEN 1 END AS names, CASE WHEN m IS NOT NULL AND m.c IS DISTINCT FROM standard_code THEN 1 END AS codes FROM probed)
 SELECT 'normalized_name' AS field, count(names) AS n FROM changed HAVING count(names) > 0 UNION ALL SELECT 'standard_code', count(codes) FROM changed HAVING count(codes) > 0""",
@@ -221,15 +270,7 @@ SELECT 'normalized_name' AS field, count(names) AS n FROM changed HAVING count(n
         "positional_join": """WITH once AS (SELECT DISTINCT ON (dialogue_id, block_id) * FROM interviewer_rows ORDER BY dialogue_id, block_id, coalesce(utterance, ''))
 SELECT action, CASE WHEN block_id % 7 = 5 THEN 'end' ELSE action END AS predicted, count(*) AS n, CAST(sum(place) AS BIGINT) AS places FROM (SELECT *, row_number() OVER (ORDER BY dialogue_id, block_id) - 1 AS place FROM once) GROUP BY ALL""",
         "block_next_state": "WITH once AS (SELECT DISTINCT ON (dialogue_id, block_id) * FROM interviewer_rows ORDER BY dialogue_id, block_id, coalesce(utterance, '')) SELECT dialogue_id, block_id, CAST(coalesce(len(lead(patient_state.problems) OVER (PARTITION BY dialogue_id ORDER BY block_id)), 0) AS INTEGER) AS next_problems FROM once",
-        "candidate_selection": f"""WITH {ONCE_SQL}, spoken AS (
-  SELECT dialogue_id, block_id, problems, before, list_filter(flatten(list_transform(coalesce(original_doctor_block, []), lambda x: regexp_extract_all(coalesce(x, ''), '[^。！!?？]+[?？]'))), lambda z: trim(z, ' ') <> '') AS sentences FROM asked
-), each AS (
-  SELECT dialogue_id, block_id, problems, before, unnest(sentences) AS u, generate_subscripts(sentences, 1) AS pos FROM spoken
-), flat AS (
-  SELECT *, {flat_sql("u")} AS fu, list_filter(problems, lambda p: coalesce(contains({flat_sql("u")}, {flat_sql("p.name")}) AND {flat_sql("p.name")} <> '', FALSE)) AS named FROM each
-), targets AS (
-  SELECT *, list_filter(named, lambda p: length(p.name) = list_max(list_transform(named, lambda x: length(x.name))))[1] AS best, CASE WHEN len({slots_sql("fu")}) = 1 THEN {slots_sql("fu")}[1] END AS attribute FROM flat
-), gates AS (
+        "candidate_selection": f"""{candidates}), gates AS (
   SELECT *, CASE WHEN {COMPOUND_SQL} THEN 'COMPOUND_QUESTION' WHEN best.name IS NULL THEN 'TARGET_NOT_RESOLVED'
     WHEN list_contains(list_transform(before, lambda k: k.name || '/' || k.type || '/' || k.attribute), {flat_sql("best.name")} || '/' || coalesce(best.type, '') || '/' || coalesce(attribute, '')) THEN 'TARGET_ALREADY_ASKED'
     WHEN attribute IS NULL AND list_contains(list_transform(problems, lambda p: {flat_sql("p.name")} || '/' || coalesce(p.type, '')), {flat_sql("best.name")} || '/' || coalesce(best.type, '')) THEN 'TARGET_ALREADY_KNOWN' ELSE '' END AS gate FROM targets
