@@ -313,7 +313,8 @@ def conversations(links: DataFrame, part: int = 4096) -> DataFrame:
     sound = dialogue_defects(links).where("defect is null").select("dialogue_id")
     rows = links.join(sound, "dialogue_id", "left_semi")
     message = F.struct("turn_id", "speaker", "content", "parent")
-    return rows.groupBy("dialogue_id", F.floor(F.col("turn_id") / part).cast("int").alias("part")).agg(F.array_sort(F.collect_list(message)).alias("messages"))
+    trees = rows.groupBy("channel", "tree", "root", F.floor(F.col("turn_id") / part).cast("int").alias("part")).agg(F.min("dialogue_id").alias("dialogue_id"), F.array_sort(F.collect_list(message)).alias("messages"))
+    return trees.select("dialogue_id", "part", "messages")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,7 +186,8 @@ def _label(batches: Iterator[pa.RecordBatch], model: NaiveBayes) -> Iterator[pa.
         main = weight.argmax(axis=1)
         scores[np.arange(len(lines)), main[doc]] += MARGIN
         best = scores.argmax(axis=1)
-        odds = np.exp(scores - scores.max(axis=1, keepdims=True))
+        # every character is in N n-grams, which say much the same: their evidence counts once
+        odds = np.exp((scores - scores.max(axis=1, keepdims=True)) / N)
         out = pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").take(pa.array(doc)),
