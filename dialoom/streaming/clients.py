@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 import re
 import time
 from collections.abc import Callable
@@ -50,8 +49,11 @@ class RuleModel:
 RETRYABLE = (ConnectionError, TimeoutError, OSError)
 
 
-def with_retries(call: Callable, attempts: int = 3, base: float = 0.5, sleep: Callable[[float], None] = time.sleep, retryable: tuple[type[BaseException], ...] = RETRYABLE, jitter: Callable[[float, float], float] = random.uniform) -> Callable:
-    """``call`` repeated after a ``retryable`` error, with exponential waiting and jitter; the last error is raised."""
+def with_retries(call: Callable, attempts: int = 3, base: float = 0.5, sleep: Callable[[float], None] = time.sleep, retryable: tuple[type[BaseException], ...] = RETRYABLE, jitter: Callable[[float, float], float] | None = None) -> Callable:
+    """``call`` repeated after a ``retryable`` error, with exponential waiting; the last error is raised.
+
+    ``jitter`` (such as ``random.uniform``) adds to each wait, so that many callers don't come back at once.
+    """
 
     def tried(*args: object, **kwargs: object) -> object:
         least = max(0.5, base)
@@ -61,7 +63,7 @@ def with_retries(call: Callable, attempts: int = 3, base: float = 0.5, sleep: Ca
             except retryable:
                 if n + 1 == attempts:
                     raise
-                sleep(least * 2**n + jitter(0.0, least))
+                sleep(least * 2**n + (jitter(0.0, least) if jitter else 0.0))
         return None
 
     return tried
