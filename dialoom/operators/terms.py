@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from dialoom.session import table
 BROADCAST_LOOKUP = 500_000
 #: Bytes of the rows, as JSON, that may be broadcast.
 BROADCAST_BYTES = 64 << 20
+#: Pairs of keys that are compared side by side.
+LCS_PAIRS = 10_000
 #: Distinct characters of a list that may be broadcast with their counts.
 TOKENS = 100_000
 
@@ -183,6 +186,23 @@ def verified(facts: DataFrame, terms: DataFrame) -> DataFrame:
     return rows.withColumn("verified", none | fits).drop("vt", "vn", "vc", "there")
 
 
+def common_subsequences(a: list[str], b: list[str]) -> np.ndarray:
+    """Length of the longest common subsequence of each pair; all pairs go through the table side by side, row by row."""
+
+    def codes(texts: list[str], pad: int) -> np.ndarray:
+        out = np.full((len(texts), max(map(len, texts), default=0)), pad, dtype=np.int32)
+        out[np.arange(out.shape[1]) < np.array([len(t) for t in texts])[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.int32)
+        return out
+
+    x, y = codes(a, -1), codes(b, -2)
+    row = np.zeros((len(a), y.shape[1] + 1), dtype=np.int32)
+    for i in range(x.shape[1]):
+        # pads match nothing, so that a row behind the end of a text is as the one before
+        taken = np.where(x[:, i : i + 1] == y, row[:, :-1] + 1, 0)
+        row[:, 1:] = np.maximum.accumulate(np.maximum(row[:, 1:], taken), axis=1)
+    return row[:, -1]
+
+
 def fuzzy_candidates(queries: DataFrame, terms: DataFrame, least: float = 75.0, k: int = 5) -> DataFrame:
     """Up to ``k`` entries for each query (``type, query``) by insertion-deletion ratio of the keys, ``least`` at least.
 
@@ -192,17 +212,11 @@ def fuzzy_candidates(queries: DataFrame, terms: DataFrame, least: float = 75.0,
     each, and only these are joined. Pairs that share too few for the least ratio are never compared, and none is
     lost. The LCS of the pairs left runs in Arrow batches.
     """
-    def lcs(a: str, b: str) -> int:
-        row = [0] * (len(b) + 1)
-        for x in a:
-            last = 0
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], (last + 1 if x == y else max(row[j], row[j - 1]))
-        return row[-1]
-
     @F.pandas_udf("double")
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([200.0 * lcs(x, y) / (len(x) + len(y)) for x, y in zip(a, b, strict=True)])
+        left, right = a.tolist(), b.tolist()
+        parts = [200.0 * common_subsequences(left[n : n + LCS_PAIRS], right[n : n + LCS_PAIRS]) for n in range(0, len(left), LCS_PAIRS)]
+        return pd.Series(np.concatenate(parts or [np.zeros(0)]) / (a.str.len() + b.str.len()).to_numpy())
 
     def chars(key: str) -> Column:
         # the n-th occurrence of a character is a token of its own, so that shared tokens bound the LCS

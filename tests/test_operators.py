@@ -102,6 +102,13 @@ def _next(row, x, b):
     return out
 
 
+def test_subsequences_side_by_side_equal_the_table():
+    rng = random.Random(8)
+    pairs = [("".join(rng.choice("上下左右腹痛") for _ in range(rng.randrange(9))), "".join(rng.choice("上下左右腹痛") for _ in range(rng.randrange(7)))) for _ in range(500)]
+    assert terms.common_subsequences(*map(list, zip(*pairs, strict=True))).tolist() == [_lcs(a, b) for a, b in pairs]
+    assert terms.common_subsequences([], []).tolist() == []
+
+
 def test_fuzzy_candidates_lose_none(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("上下左右腹痛胀满刺") for _ in range(rng.randrange(1, 7)))
