@@ -7,6 +7,8 @@ the attributes of a question that they have a value for. An attribute counts as
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,10 @@ from dialoom.operators.state import ITEM_DDL, names_of
 from dialoom.session import table
 
 SEEN_DDL = "struct<name:string,names:array<string>,type:string,status:string,subject:string,known:array<string>>"
-_NONE = f"array<{SEEN_DDL}>"
+_SEEN_LIST = f"array<{SEEN_DDL}>"
+#: Fields of an item that the compared form is made of.
+_READ_DDL = "struct<name:string,normalized_name:string,aliases:array<string>,type:string,status:string,subject:string,attributes:map<string,string>>"
+_READ = ["name", "normalized_name", "aliases", "type", "status", "subject", "attributes"]
 
 
 def known_attributes(attributes: Column) -> Column:
@@ -36,11 +41,33 @@ def seen_item(item: Column) -> Column:
 
 
 def seen_items(state: Column) -> Column:
-    """All items of a state, bucket by bucket, in the form in which they are compared; none for a null state."""
-    items = F.concat(*(F.coalesce(state[b], F.array().cast(f"array<{ITEM_DDL}>")) for b in BUCKETS))
+    """All items of a state, bucket by bucket, in the form in which they are compared; none for a null state.
+
+    Each field is taken by itself, so that a scan reads those alone.
+    """
+    read = f"array<{_READ_DDL}>"
+    items = F.concat(*(F.coalesce(F.arrays_zip(*(state[b][f] for f in _READ)).cast(read), F.array().cast(read)) for b in BUCKETS))
     return F.transform(items, seen_item)
 
 
+def written_items(state: Column) -> Column:
+    """:func:`seen_items` of a state as JSON text: a sixth of what the state itself takes in a shuffle or a sort."""
+    return F.to_json(seen_items(state))
+
+
+def read_items(text: Column) -> Column:
+    """Items that :func:`written_items` wrote; none for null."""
+    return F.from_json(F.coalesce(text, F.lit("[]")), _SEEN_LIST, {"mode": "FAILFAST"})
+
+
+def with_items(result: Callable[[Column, Column], Column], *columns: str) -> Column:
+    """``result`` of the items in ``columns``, which are worked out once, however often it names them.
+
+    The optimizer would copy what makes a column to every place that names it, if a filter or a lambda does.
+    """
+    return F.get(F.transform(F.array(F.struct(*columns)), lambda s: result(*(s[c] for c in columns))), F.lit(0))
+
+
 def target_is_known(target: Column, items: Column) -> Column:
     """Whether an item has the target's name and type and, if it asks for an attribute, a value for it."""
     wanted, attribute = question_text(target["name"]), canonical_attribute(target["attribute"])
@@ -143,18 +170,22 @@ def answerable(before: Column, after: Column) -> Column:
     return F.array_distinct(F.filter(F.flatten(F.transform(usable, targets)), lambda t: t["name"] != ""))
 
 
-def asked_states(rows: DataFrame, turn_rows: DataFrame) -> DataFrame:
+def asked_states(rows: DataFrame, turn_rows: DataFrame, *keep: str) -> DataFrame:
     """Questions (once per block) with ``before`` and ``after``: the states after their own and after the next block.
 
-    The state of a block is that of its last turn in the source dialogue. Two shuffles: by dialogue and turn, then by
-    session; sessions are short.
+    Of a question's other columns only those in ``keep`` come along, and ``answer``, the next block, if ``patient_block``
+    is one. The state of a block is that of its last turn in the source dialogue. Two shuffles of the states, as text:
+    by dialogue and turn, then by session; sessions are short. The join is never a broadcast: Spark takes the
+    states for less than its threshold when they have hundreds of MB, and the driver would have to hold them.
     """
-    states = latest_turns(turn_rows.select("dialogue_id", "turn_id", "patient_state_after_turn", "processed_at"))
-    states = states.select(F.col("dialogue_id").alias("source_dialogue_id"), F.col("turn_id").alias("last_turn"), seen_items(F.col("patient_state_after_turn")).alias("state"))
-    blocks = questions(rows).withColumn("last_turn", F.array_max("patient_turn_ids")).join(states, ["source_dialogue_id", "last_turn"], "left")
+    states = turn_rows.select("dialogue_id", "turn_id", written_items(F.col("patient_state_after_turn")).alias("state"), "processed_at")
+    states = latest_turns(states).select(F.col("dialogue_id").alias("source_dialogue_id"), F.col("turn_id").alias("last_turn"), "state")
+    blocks = rows.select("dialogue_id", "block_id", "source_dialogue_id", F.array_max("patient_turn_ids").alias("last_turn"), *dict.fromkeys(["utterance", *keep]))
     along = Window.partitionBy("dialogue_id").orderBy("block_id")
-    none = F.array().cast(_NONE)
-    return blocks.withColumns({"before": F.coalesce("state", none), "after": F.coalesce(F.lead("state").over(along), none), "answer": F.lead("patient_block").over(along)})
+    blocks = questions(blocks).join(states.hint("merge"), ["source_dialogue_id", "last_turn"], "left").withColumn("next_state", F.lead("state").over(along))
+    if "patient_block" in keep:
+        blocks = blocks.withColumn("answer", F.lead("patient_block").over(along))
+    return blocks.select("*", read_items(F.col("state")).alias("before"), read_items(F.col("next_state")).alias("after"))
 
 
 #: Cases that every rule must show once, beside those of the tables: target, items before and after (name, type,
@@ -185,13 +216,13 @@ def _planted(spark: SparkSession) -> DataFrame:
     return df.select("dialogue_id", "block_id", "next_question_target", items("b").alias("before"), items("a").alias("after"), "answer", "utterance")
 
 
-def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return asked_states(table(spark, sf_dir, "interviewer_rows"), table(spark, sf_dir, "turn_rows"))
+def _asked(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    return asked_states(table(spark, sf_dir, "interviewer_rows"), table(spark, sf_dir, "turn_rows"), *keep)
 
 
 def answerability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions, of the table and planted ones, that the next block answered, and by which rule that shows."""
-    rows = _asked(spark, sf_dir).where("action = 'ask' and answer is not null and next_question_target.name is not null")
+    rows = _asked(spark, sf_dir, "action", "next_question_target", "patient_block").where("action = 'ask' and answer is not null and next_question_target.name is not null")
     rows = rows.select("dialogue_id", "block_id", "next_question_target", "before", "after", "answer", F.coalesce("utterance", F.lit("")).alias("utterance")).unionByName(_planted(spark))
     method = answer_method(F.col("next_question_target"), F.col("before"), F.col("after"), F.col("answer"), F.col("utterance"))
     return rows.select("dialogue_id", "block_id", method.alias("method")).where("method is not null")
@@ -200,7 +231,7 @@ def answerability(spark: SparkSession, sf_dir: str) -> DataFrame:
 def known_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions by whether their target is known before and after the answer, and names exactly one entity."""
     target = F.col("next_question_target")
-    rows = _asked(spark, sf_dir).where("action = 'ask' and next_question_target.name is not null")
+    rows = _asked(spark, sf_dir, "action", "next_question_target").where("action = 'ask' and next_question_target.name is not null")
     asked_for = F.when(canonical_attribute(target["attribute"]).isNull(), "entity").otherwise("attribute")
     rows = rows.select(asked_for.alias("asked_for"), target_is_known(target, F.col("before")).alias("known_before"), target_is_known(target, F.col("after")).alias("known_after"), target_entity_exists(target, F.col("before")).alias("one_entity"))
     return rows.groupBy("asked_for", "known_before", "known_after", "one_entity").agg(F.count("*").alias("n"))
@@ -208,7 +239,7 @@ def known_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resolved_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions for an attribute with the entity of the state that they bind."""
-    rows = _asked(spark, sf_dir).where("action = 'ask'")
+    rows = _asked(spark, sf_dir, "action", "next_question_target").where("action = 'ask'")
     name = resolved_target(F.col("next_question_target"), F.col("before"), F.coalesce("utterance", F.lit("")))
     return rows.select("dialogue_id", "block_id", canonical_attribute(F.col("next_question_target.attribute")).alias("attribute"), name.alias("bound_to")).where("bound_to is not null")
 
@@ -216,7 +247,7 @@ def resolved_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def answerable_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a question could have asked for: targets, entities and attributes, that the next block answered."""
     rows = _asked(spark, sf_dir)
-    return rows.select("dialogue_id", "block_id", F.inline(answerable(F.col("before"), F.col("after"))))
+    return rows.select("dialogue_id", "block_id", F.inline(with_items(answerable, "before", "after")))
 
 
 def decision_gates(target: Column, before: Column, after: Column, answer: Column, question: Column) -> Column:
@@ -236,7 +267,7 @@ def decision_gates(target: Column, before: Column, after: Column, answer: Column
 
 def gated_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions of the table by what stands against them over whole states."""
-    rows = _asked(spark, sf_dir).where("action = 'ask' and next_question_target.name is not null")
+    rows = _asked(spark, sf_dir, "action", "next_question_target", "patient_block").where("action = 'ask' and next_question_target.name is not null")
     gates = decision_gates(F.col("next_question_target"), F.col("before"), F.col("after"), F.col("answer"), F.coalesce("utterance", F.lit("")))
     return rows.select(F.array_join(gates, ",").alias("gates")).groupBy("gates").agg(F.count("*").alias("n"))
 
