@@ -268,7 +268,7 @@ def decision_gates(target: Column, before: Column, after: Column, answer: Column
 def gated_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions of the table by what stands against them over whole states."""
     rows = _asked(spark, sf_dir, "action", "next_question_target", "patient_block").where("action = 'ask' and next_question_target.name is not null")
-    gates = decision_gates(F.col("next_question_target"), F.col("before"), F.col("after"), F.col("answer"), F.coalesce("utterance", F.lit("")))
+    gates = with_items(lambda before, after: decision_gates(F.col("next_question_target"), before, after, F.col("answer"), F.coalesce("utterance", F.lit(""))), "before", "after")
     return rows.select(F.array_join(gates, ",").alias("gates")).groupBy("gates").agg(F.count("*").alias("n"))
 
 
