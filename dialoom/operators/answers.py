@@ -220,12 +220,17 @@ def _asked(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     return asked_states(table(spark, sf_dir, "interviewer_rows"), table(spark, sf_dir, "turn_rows"), *keep)
 
 
+def _given(value: Column) -> Column:
+    """A value where it isn't null, else no row; as a filter would work it out a second time."""
+    return F.explode(F.array_compact(F.array(value)))
+
+
 def answerability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions, of the table and planted ones, that the next block answered, and by which rule that shows."""
     rows = _asked(spark, sf_dir, "action", "next_question_target", "patient_block").where("action = 'ask' and answer is not null and next_question_target.name is not null")
     rows = rows.select("dialogue_id", "block_id", "next_question_target", "before", "after", "answer", F.coalesce("utterance", F.lit("")).alias("utterance")).unionByName(_planted(spark))
-    method = answer_method(F.col("next_question_target"), F.col("before"), F.col("after"), F.col("answer"), F.col("utterance"))
-    return rows.select("dialogue_id", "block_id", method.alias("method")).where("method is not null")
+    method = with_items(lambda before, after: answer_method(F.col("next_question_target"), before, after, F.col("answer"), F.col("utterance")), "before", "after")
+    return rows.select("dialogue_id", "block_id", _given(method).alias("method"))
 
 
 def known_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
