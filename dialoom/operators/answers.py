@@ -238,7 +238,11 @@ def known_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = F.col("next_question_target")
     rows = _asked(spark, sf_dir, "action", "next_question_target").where("action = 'ask' and next_question_target.name is not null")
     asked_for = F.when(canonical_attribute(target["attribute"]).isNull(), "entity").otherwise("attribute")
-    rows = rows.select(asked_for.alias("asked_for"), target_is_known(target, F.col("before")).alias("known_before"), target_is_known(target, F.col("after")).alias("known_after"), target_entity_exists(target, F.col("before")).alias("one_entity"))
+
+    def flags(before: Column, after: Column) -> Column:
+        return F.struct(target_is_known(target, before).alias("known_before"), target_is_known(target, after).alias("known_after"), target_entity_exists(target, before).alias("one_entity"))
+
+    rows = rows.select(asked_for.alias("asked_for"), with_items(flags, "before", "after").alias("flags")).select("asked_for", "flags.*")
     return rows.groupBy("asked_for", "known_before", "known_after", "one_entity").agg(F.count("*").alias("n"))
 
 
