@@ -249,8 +249,8 @@ def known_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resolved_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions for an attribute with the entity of the state that they bind."""
     rows = _asked(spark, sf_dir, "action", "next_question_target").where("action = 'ask'")
-    name = resolved_target(F.col("next_question_target"), F.col("before"), F.coalesce("utterance", F.lit("")))
-    return rows.select("dialogue_id", "block_id", canonical_attribute(F.col("next_question_target.attribute")).alias("attribute"), name.alias("bound_to")).where("bound_to is not null")
+    name = with_items(lambda before: resolved_target(F.col("next_question_target"), before, F.coalesce("utterance", F.lit(""))), "before")
+    return rows.select("dialogue_id", "block_id", canonical_attribute(F.col("next_question_target.attribute")).alias("attribute"), _given(name).alias("bound_to"))
 
 
 def answerable_targets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from dialoom.operators.state import STATE_DDL
 ROWS = "dialogue_id string, source_dialogue_id string, block_id int, patient_turn_ids array<int>, patient_block array<string>, utterance string"
 
 
-@pytest.mark.parametrize("name", ["answerable_targets", "gated_decisions", "answerability", "known_targets"])
+@pytest.mark.parametrize("name", ["answerable_targets", "gated_decisions", "answerability", "known_targets", "resolved_targets"])
 def test_states_reach_no_driver(spark, sf, name):
     df = answers.QUERIES[name](spark, sf)
     plan, tree = df._jdf.queryExecution().executedPlan().toString(), df._jdf.queryExecution().optimizedPlan().toString()
